@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -34,11 +35,11 @@ def scratch_dir(spark: SparkSession) -> str:
     local master: on a cluster a machine-local folder is not shared between
     executors, so that case is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="lendmark-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    spark.sparkContext.setCheckpointDir(path)
     return path
