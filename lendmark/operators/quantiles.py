@@ -20,7 +20,8 @@ SKETCH_ACCURACY = 10_000
 GRID_STEPS = 1000
 
 
-def _array(values: Sequence[float]) -> Column:
+def sql_array(values: Sequence[float]) -> Column:
+    """A literal array in one parse, rather than one call per element."""
     return F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")")
 
 
@@ -124,7 +125,7 @@ def exact_quantiles(
     before the shuffle, and a sketch error costs a pass, never a wrong result.
     """
     searches = {c: _Search(probs) for c, probs in wanted.items()}
-    grid = _array([i / GRID_STEPS for i in range(GRID_STEPS + 1)])
+    grid = sql_array([i / GRID_STEPS for i in range(GRID_STEPS + 1)])
     while any(s.open for s in searches.values()):
         still = [c for c, s in searches.items() if s.open]
         values = df.select(*(present(F.col(c)).alias(f"v{i}") for i, c in enumerate(still)))
@@ -185,7 +186,7 @@ def running_totals(
     slice are sorted together.
     """
     grid = [i / slices for i in range(1, slices)]
-    bounds = df.select(F.percentile_approx(order, _array(grid), F.lit(SKETCH_ACCURACY))).first()[0]
+    bounds = df.select(F.percentile_approx(order, sql_array(grid), F.lit(SKETCH_ACCURACY))).first()[0]
     splits = [-math.inf, *sorted(set(bounds or ())), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="__order", outputCol="__slice", handleInvalid="keep")
     sliced = bucketizer.transform(df.withColumn("__order", F.col(order).cast("double")))
