@@ -29,10 +29,11 @@ def psi_edges(df: DataFrame, score: str = "score", n: int = 10) -> list[float]:
 
 def hist_edges(df: DataFrame, score: str = "score", n: int = 10) -> list[float]:
     """Decile edges with finite ends moved out by 1e-5, duplicates kept."""
-    edges = _quantiles(df, score, n)
-    edges[0] -= 1e-5
-    edges[-1] += 1e-5
-    return edges
+    return padded(_quantiles(df, score, n))
+
+
+def padded(edges: Sequence[float]) -> list[float]:
+    return [edges[0] - 1e-5, *edges[1:-1], edges[-1] + 1e-5]
 
 
 def hist_index(c: Column, edges: Sequence[float]) -> Column:
@@ -68,15 +69,20 @@ def psi_cells(
     ``mode="hist"`` uses left-closed bins between finite ends.
     """
     rows = df.filter(F.col(score).isNotNull() & F.col(epoch).isNotNull())
+    scores = rows.groupBy(epoch, score).agg(F.count("*").alias("n"))
+    if on_bounded_scale(df, score):
+        scores = settle(scores)
     if edges is None:
         if baseline is None:
             raise ValueError("edges are needed when there is no baseline")
-        make = psi_edges if mode == "cut" else hist_edges
-        edges = make(rows.filter(F.col(epoch) == baseline), score, n)
+        is_base = F.col(epoch) == baseline
+        counts = scores.filter(is_base) if on_bounded_scale(df, score) else None
+        raw = score_edges(rows.filter(is_base), counts, score, n, "n")
+        edges = open_edges(raw) if mode == "cut" else padded(raw)
     locate = bin_index if mode == "cut" else hist_index
     n_bins = len(edges) - 1
     counts = settle(
-        rows.groupBy(epoch, locate(F.col(score).cast("double"), edges).alias("__bin")).agg(F.count("*").alias("n"))
+        scores.groupBy(epoch, locate(F.col(score).cast("double"), edges).alias("__bin")).agg(F.sum("n").alias("n"))
     )  # epochs x bins
     # one wide row per epoch, then every bin in turn, so that empty bins stay
     per_bin = [F.sum(F.when(F.col("__bin") == i, F.col("n")).otherwise(0)).alias(f"b{i}") for i in range(n_bins)]
