@@ -4,71 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lendmark.operators.history import latest, upsert
+from lendmark.operators.history import latest, newer_than, upsert
 
 
-class VersionedTable:
-    """A Parquet table rewritten per batch: ``<path>/v=<batch>``.
+def fold_batch(path: str, key: str, ts: str):
+    """``foreachBatch`` function: dedup the new rows and upsert them into the table at ``path``.
 
-    A batch reads the newest version below its own id and writes its own id,
-    overwriting what an earlier attempt may have left. Repeating a batch after
-    a lost executor or driver therefore yields the same table. The newest
-    finished version is the current one.
+    Batch ``n`` reads ``v=n-1`` and overwrites ``v=n``, so repeating a batch
+    after a failure gives the same table.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("v=") and fs.exists(done):
-                found.append(int(name[2:]))
-        return sorted(found)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        ready = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={ready[-1]}") if ready else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-
-
-def fold_batch(table: VersionedTable, key: str, ts: str):
-    """``foreachBatch`` function: dedup the batch, upsert it, keep newer target rows."""
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        current = table.read(before=batch_id)
-        if current is None:
-            table.write(latest(batch, key, [ts]), batch_id)
+        if batch_id == 0:
+            folded = latest(batch, key, [ts])
         else:
-            mark = current.agg(F.max(ts)).first()[0]
-            fresh = batch if mark is None else batch.filter(F.col(ts) > F.lit(mark))
-            table.write(upsert(current, fresh, key, [ts]), batch_id)
+            before = batch.sparkSession.read.parquet(f"{path}/v={batch_id - 1}")
+            folded = upsert(before, newer_than(batch, ts, before), key, [ts])
+        folded.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
 
     return run
 
 
 def load_stream(
-    spark: SparkSession, landing: str, table: VersionedTable, checkpoint: str, schema, key: str, ts: str,
+    spark: SparkSession,
+    landing: str,
+    path: str,
+    checkpoint: str,
+    schema: T.StructType,
+    key: str,
+    ts: str,
     files_per_batch: int = 1000,
-) -> None:
-    """Fold all landing files not seen yet into the table, then stop.
+) -> None:
+    """Fold all landing files not seen yet into the table at ``path``, then stop.
 
-    The checkpoint remembers the files, so a second run without new files is a
-    no-op. Files of one batch are deduplicated together.
+    The checkpoint remembers the files, so a run without new files is a no-op.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = (
-        stream.writeStream.foreachBatch(fold_batch(table, key, ts))
+        stream.writeStream.foreachBatch(fold_batch(path.rstrip("/"), key, ts))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -76,4 +51,8 @@ def load_stream(
     query.awaitTermination()
 
 
-__all__ = ["VersionedTable", "fold_batch", "load_stream"]
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the table; the filter prunes the older folders."""
+    versions = spark.read.parquet(path)
+    newest = versions.agg(F.max("v")).first()[0]
+    return versions.filter(F.col("v") == newest).drop("v")
