@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.errors import IllegalArgumentException
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,38 +26,26 @@ from lendmark.operators.quantiles import present
 class Correlations:
     features: list[str]
     matrix: np.ndarray
-    with_nulls: frozenset[str]
 
     def without(self, feature: str) -> Correlations:
         keep = [i for i, f in enumerate(self.features) if f != feature]
-        return Correlations([self.features[i] for i in keep], self.matrix[np.ix_(keep, keep)], self.with_nulls)
+        return Correlations([self.features[i] for i in keep], self.matrix[np.ix_(keep, keep)])
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> Correlations:
-    """Pairwise correlations over the rows that have all features (one aggregate)."""
+    """Pairwise correlations over the rows that have all features.
+
+    Spark ML sums features x features blocks per task and combines them in a
+    tree, so only one small matrix reaches the driver.
+    """
     features = list(features)
-    cols = [present(F.col(f)).alias(f) for f in features]
-    complete = F.lit(True)
-    for f in features:
-        complete = complete & F.col(f).isNotNull()
-    pairs = [(i, j) for i in range(len(features)) for j in range(i)]
-    row = (
-        df.select(*cols)
-        .select("*", complete.alias("__complete"))
-        .agg(
-            *(F.count_if(F.col(f).isNull()).alias(f"n{i}") for i, f in enumerate(features)),
-            *(
-                F.corr(F.when(F.col("__complete"), F.col(features[i])), F.col(features[j])).alias(f"c{i}_{j}")
-                for i, j in pairs
-            ),
-        )
-        .first()
-    )
-    matrix = np.eye(len(features))
-    for i, j in pairs:
-        value = row[f"c{i}_{j}"]
-        matrix[i, j] = matrix[j, i] = math.nan if value is None else value
-    return Correlations(features, matrix, frozenset(f for i, f in enumerate(features) if row[f"n{i}"]))
+    complete = df.select(*(present(F.col(f)).alias(f) for f in features)).dropna()
+    vectors = VectorAssembler(inputCols=features, outputCol="__x").transform(complete).select("__x")
+    try:
+        matrix = Correlation.corr(vectors, "__x").first()[0].toArray()
+    except IllegalArgumentException:  # fewer than two complete rows
+        matrix = np.full((len(features), len(features)), math.nan)
+    return Correlations(features, matrix)
 
 
 def inflation(corr: Correlations) -> dict[str, float]:
@@ -112,7 +103,8 @@ def vif_filter(df: DataFrame, features: Sequence[str], threshold: float = 10.0)
         feature = next(f for v, f in rated if v == worst)
         dropped.append((feature, worst))
         rest = [f for f in corr.features if f != feature]
-        corr = correlations(df, rest) if feature in corr.with_nulls else corr.without(feature)
+        no_gaps = df.filter(present(F.col(feature)).isNull()).isEmpty()
+        corr = corr.without(feature) if no_gaps else correlations(df, rest)
 
 
 def vif_oneshot(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -> DataFrame:

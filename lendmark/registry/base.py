@@ -244,8 +244,9 @@ def woe_sql(numeric: Sequence[str], categorical: Sequence[str] = (), n: int = 5,
     if categorical:
         parts.append(long_sql(categorical, "long_text", value="coalesce({f}, 'nan')"))
         sources.append(
-            "SELECT feature, NULL::INT, NULL::DOUBLE, NULL::DOUBLE, value, count(target), "
-            "count(*) FILTER (WHERE target = 0), count(*) FILTER (WHERE target = 1) "
+            "SELECT feature, NULL::INT AS bin, NULL::DOUBLE AS lower, NULL::DOUBLE AS upper, value AS category, "
+            "count(target) AS total, count(*) FILTER (WHERE target = 0) AS goods, "
+            "count(*) FILTER (WHERE target = 1) AS bads "
             "FROM long_text GROUP BY feature, value"
         )
     parts.append(
