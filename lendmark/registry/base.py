@@ -110,7 +110,7 @@ def names(text: str) -> list[str]:
 def out(keys: str, doubles: str, source: str) -> str:
     """SELECT list of plain and of rounded columns."""
     columns = names(keys) + [f"0.0::DOUBLE + round(CAST({c} AS DOUBLE), 6) AS {c}" for c in names(doubles)]
-    return f"SELECT {', '.join(columns)} FROM {source}"
+    return f"SELECT {', '.join(columns)}\nFROM {source}"
 
 
 def with_(*parts: str, select: str) -> str:
@@ -256,20 +256,26 @@ def woe_sql(numeric: Sequence[str], categorical: Sequence[str] = (), n: int = 5,
     return ",\n".join(parts)
 
 
-def weighed_sql(numeric: Sequence[str], categorical: Sequence[str] = ()) -> str:
-    """CTE ``weighed``: base plus one ``<feature>_woe`` column per feature."""
-    hits = "SELECT loan_id, feature, woe FROM long JOIN woe USING (feature) WHERE value > lower AND value <= upper"
+def weighed_sql(
+    numeric: Sequence[str], categorical: Sequence[str] = (), source: str = "base", name: str = "weighed"
+) -> str:
+    """CTE ``weighed``: the source plus one ``<feature>_woe`` column per feature, weights from ``woe``."""
+    parts = [long_sql(numeric, f"{name}_long", source)]
+    hits = (
+        f"SELECT loan_id, feature, woe FROM {name}_long JOIN woe USING (feature) WHERE value > lower AND value <= upper"
+    )
     if categorical:
+        parts.append(long_sql(categorical, f"{name}_text", source, value="coalesce({f}, 'nan')"))
         hits += (
-            " UNION ALL SELECT loan_id, t.feature, woe FROM long_text t JOIN woe w "
+            f" UNION ALL SELECT loan_id, t.feature, woe FROM {name}_text t JOIN woe w "
             "ON t.feature = w.feature AND t.value = w.category"
         )
     columns = ", ".join(
         f"coalesce(max(woe) FILTER (WHERE feature = '{f}'), 0.0::DOUBLE) AS {f}_woe" for f in [*numeric, *categorical]
     )
-    return f"""hits AS ({hits}),
-weights AS (SELECT loan_id, {columns} FROM hits GROUP BY loan_id),
-weighed AS (SELECT * FROM base JOIN weights USING (loan_id))"""
+    parts.append(f"{name}_weights AS (SELECT loan_id, {columns} FROM ({hits}) GROUP BY loan_id)")
+    parts.append(f"{name} AS (SELECT * FROM {source} JOIN {name}_weights USING (loan_id))")
+    return ",\n".join(parts)
 
 
 CARD_NUMERIC = [f for f in CARD_FEATURES if f != "home_ownership"]
@@ -279,14 +285,14 @@ FACTOR, OFFSET = repr(CARD.pdo.factor), repr(CARD.pdo.offset)
 
 CARD_WOE = MODEL_LOANS + ",\n" + woe_sql(CARD_NUMERIC, ["home_ownership"])
 WEIGHED = CARD_WOE + ",\n" + weighed_sql(CARD_NUMERIC, ["home_ownership"])
-SCORED = (
-    WEIGHED
-    + f""",
-scored AS (
-  SELECT *, 1.0 / (1.0 + exp(-({LOGIT}))) AS pd,
-         {SCORE_OF.format(x=f'{OFFSET}::DOUBLE - {FACTOR}::DOUBLE * ({LOGIT})')} AS score
-  FROM weighed)"""
-)
+
+
+def scored_sql(source: str = "weighed", name: str = "scored") -> str:
+    score = SCORE_OF.format(x=f"{OFFSET}::DOUBLE - {FACTOR}::DOUBLE * ({LOGIT})")
+    return f"{name} AS (SELECT *, 1.0 / (1.0 + exp(-({LOGIT}))) AS pd, {score} AS score FROM {source})"
+
+
+SCORED = WEIGHED + ",\n" + scored_sql()
 
 
 def epoch_sql(year: str = "issue_year") -> str:
