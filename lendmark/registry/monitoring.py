@@ -1 +1,319 @@
-"""To be filled."""
+"""Drift, governance, reason codes and the whole lifecycle."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import functions as F
+
+from lendmark.functions.expr import clip
+from lendmark.functions.scale import tau
+from lendmark.operators import drift, explain, govern, validate
+from lendmark.operators.card import scored
+from lendmark.operators.explain import FRAMEWORK, OTHER_REASON, REASONS
+from lendmark.operators.woe import apply_woe
+from lendmark.plans.layers import preprocess, with_epoch
+from lendmark.plans.lifecycle import lifecycle
+from lendmark.registry.base import (
+    CARD,
+    CARD_FEATURES,
+    CARD_NUMERIC,
+    FIRST_YEAR,
+    SCORED,
+    WEIGHED,
+    epoch_sql,
+    fitted,
+    fresh_path,
+    held,
+    model_loans,
+    out,
+    probs_sql,
+    query,
+    rounded,
+    scored_loans,
+    scored_sql,
+    weighed_loans,
+    weighed_sql,
+    with_,
+)
+from lendmark.sources import files
+from lendmark.sources.tables import EPOCHS, loan_view
+
+# ---------------------------------------------------------------------- drift
+
+
+def by_epoch(spark, sf_dir):
+    return with_epoch(scored_loans(spark, sf_dir), EPOCHS).select("epoch", "score", "target", "pd")
+
+
+def shocked(spark, sf_dir):
+    """Baseline scores, and the drift years rescored after a worsening of two features."""
+    loans = model_loans(spark, sf_dir)
+    model = fitted(loans, CARD_FEATURES)
+    base = loans.filter(F.col("issue_year") <= 1997).withColumn("epoch", F.lit("baseline"))
+    worse = (
+        loans.filter(F.col("issue_year").between(1999, 2000))
+        .withColumn("dti", F.col("dti") * 1.5)
+        .withColumn("revol_util", clip(F.col("revol_util") + 20.0, 0.0, 100.0))
+        .withColumn("epoch", F.lit("shocked"))
+    )
+    return scored(apply_woe(base.unionByName(worse), model), CARD).select("epoch", "score")
+
+
+ROUTED = SCORED + f""",
+pool AS (SELECT {epoch_sql()} AS epoch, score FROM scored)"""
+SHOCKED = (
+    SCORED
+    + """,
+worse AS (SELECT * EXCLUDE (dti, revol_util), dti * 1.5 AS dti, least(greatest(revol_util + 20.0, 0.0), 100.0)::DOUBLE AS revol_util
+  FROM base WHERE issue_year BETWEEN 1999 AND 2000),
+"""
+    + weighed_sql(CARD_NUMERIC, ["home_ownership"], "worse", "worse_weighed")
+    + ",\n"
+    + scored_sql("worse_weighed", "worse_scored")
+    + """,
+pool AS (SELECT 'baseline' AS epoch, score FROM scored WHERE issue_year <= 1997
+         UNION ALL SELECT 'shocked', score FROM worse_scored)"""
+)
+
+
+def psi_sql(eps: str = "1e-4", uniform: bool = False) -> str:
+    """CTE ``cells`` from ``pool(epoch, score)`` against its baseline epoch."""
+    expected = "1" if uniform else "count(*) FILTER (WHERE epoch = 'baseline')"
+    return f"""psi_edges AS (
+  SELECT e[2:len(e) - 1] AS e FROM (SELECT list_sort(list_distinct(quantile_cont(score::DOUBLE, {probs_sql(10)}))) AS e
+  FROM pool WHERE epoch = 'baseline')),
+located AS (SELECT epoch, len(list_filter(e, lambda x: x < score)) AS bin FROM pool CROSS JOIN psi_edges),
+{cells_sql(eps, expected)}"""
+
+
+def cells_sql(eps: str, expected: str) -> str:
+    return f"""bin_ids AS (SELECT unnest(range(len(e) + 1)) AS bin FROM psi_edges),
+base_counts AS (
+  SELECT b.bin, ({expected.replace('count(*)', 'count(epoch)')})::DOUBLE AS n FROM bin_ids b LEFT JOIN located l USING (bin) GROUP BY b.bin),
+later AS (SELECT DISTINCT epoch FROM located WHERE epoch <> 'baseline'),
+late_counts AS (
+  SELECT t.epoch, b.bin, count(l.epoch)::DOUBLE AS n FROM later t CROSS JOIN bin_ids b
+  LEFT JOIN located l ON l.epoch = t.epoch AND l.bin = b.bin GROUP BY t.epoch, b.bin),
+floored AS (
+  SELECT a.epoch, a.bin, greatest(b.n / sum(b.n) OVER p, {eps}::DOUBLE) AS e, greatest(a.n / sum(a.n) OVER p, {eps}::DOUBLE) AS a
+  FROM late_counts a JOIN base_counts b USING (bin) WINDOW p AS (PARTITION BY a.epoch)),
+shares AS (
+  SELECT epoch, (bin + 1)::INT AS bin_index, e / sum(e) OVER p AS expected_share, a / sum(a) OVER p AS actual_share
+  FROM floored WINDOW p AS (PARTITION BY epoch)),
+cells AS (
+  SELECT *, (actual_share - expected_share) * ln(actual_share / expected_share) AS psi_contribution FROM shares)"""
+
+
+CELLS = "expected_share actual_share psi_contribution"
+STATUS = (
+    "CASE WHEN sum(psi_contribution) < 0.10 THEN 'STABLE' WHEN sum(psi_contribution) < 0.25 THEN 'MODERATE_DRIFT' "
+    "ELSE 'SIGNIFICANT_DRIFT' END AS status"
+)
+TOTALS = f"SELECT epoch, round(sum(psi_contribution), 4) AS psi, {STATUS} FROM cells GROUP BY epoch"
+
+
+@query("psi_edges", with_(SCORED, f"""ends AS (
+  SELECT list_sort(list_distinct(quantile_cont(score::DOUBLE, {probs_sql(10)}))) AS e FROM scored WHERE issue_year <= 1997),
+bounds AS (SELECT [NULL::DOUBLE] || e[2:len(e) - 1] || [NULL::DOUBLE] AS e FROM ends)""",
+       select=out("bin_index", "lower upper", "(SELECT n::INT AS bin_index, e[n] AS lower, e[n + 1] AS upper "
+                  "FROM (SELECT e, unnest(range(1, len(e))) AS n FROM bounds))")))
+def psi_edges(spark, sf_dir):
+    rows = by_epoch(spark, sf_dir)
+    return rounded(drift.edge_rows(rows, drift.psi_edges(rows.filter(F.col("epoch") == "baseline"))))
+
+
+@query("psi_breakdown", with_(SHOCKED, psi_sql(), select="SELECT epoch, bin_index, round(expected_share * 100.0, 2) AS expected_pct, "
+       "round(actual_share * 100.0, 2) AS actual_pct, round(psi_contribution, 4) AS psi_contribution FROM cells"))
+def psi_breakdown(spark, sf_dir):
+    return drift.breakdown(drift.psi_cells(shocked(spark, sf_dir), "epoch", "baseline"))
+
+
+@query("psi_status", with_(SHOCKED, psi_sql(), select=TOTALS))
+def psi_status(spark, sf_dir):
+    return drift.psi_by(shocked(spark, sf_dir), "epoch", "baseline")
+
+
+@query("psi_uniform_expected", with_(SHOCKED, psi_sql(uniform=True), select=out("bin_index", CELLS, "cells")))
+def psi_uniform_expected(spark, sf_dir):
+    rows = shocked(spark, sf_dir)
+    with held(rows) as both:
+        edges = drift.psi_edges(both.filter(F.col("epoch") == "baseline"))
+        cells = drift.psi(both.filter(F.col("epoch") == "shocked"), None, edges=edges)
+    return rounded(cells.drop("epoch"))
+
+
+@query("psi_histogram", with_(SHOCKED, f"""raw_ends AS (
+  SELECT quantile_cont(score::DOUBLE, {probs_sql(10)}) AS q FROM pool WHERE epoch = 'baseline'),
+ends AS (SELECT [q[1] - 1e-5] || q[2:len(q) - 1] || [q[len(q)] + 1e-5] AS q FROM raw_ends),
+psi_edges AS (SELECT q[2:len(q) - 1] AS e FROM ends),
+located AS (
+  SELECT epoch, len(list_filter(q[2:len(q) - 1], lambda x: x <= score)) AS bin
+  FROM pool CROSS JOIN ends WHERE score >= q[1] AND score <= q[len(q)])""",
+       cells_sql("1e-6", "count(*) FILTER (WHERE epoch = 'baseline')"), select=out("epoch bin_index", CELLS, "cells")))
+def psi_histogram(spark, sf_dir):
+    return rounded(drift.psi_cells(shocked(spark, sf_dir), "epoch", "baseline", mode="hist", eps=1e-6))
+
+
+@query("psi_by_epoch", with_(ROUTED, psi_sql(), select=TOTALS))
+def psi_by_epoch(spark, sf_dir):
+    return drift.psi_by(by_epoch(spark, sf_dir), "epoch", "baseline")
+
+
+@query("retrain_trigger", with_(SHOCKED, psi_sql(), select=f"SELECT *, psi >= 0.25 AS retrain FROM ({TOTALS})"))
+def retrain_trigger(spark, sf_dir):
+    return govern.retrain_decision(drift.psi_by(shocked(spark, sf_dir), "epoch", "baseline"))
+
+
+HOLDOUT = SCORED + f""",
+held_out AS (SELECT * FROM scored WHERE {epoch_sql()} = 'holdout'),
+cuts AS (SELECT list_sort(list_distinct(quantile_cont(score::DOUBLE, {probs_sql(10)}))) AS e FROM held_out),
+grouped AS (
+  SELECT len(list_filter(e[2:len(e) - 1], lambda x: x < score)) AS bin, sum(target) AS bads, count(*) - sum(target) AS goods
+  FROM held_out CROSS JOIN cuts GROUP BY 1),
+gaps AS (
+  SELECT abs(sum(bads) OVER w / sum(bads) OVER () - sum(goods) OVER w / sum(goods) OVER ()) AS gap
+  FROM grouped WINDOW w AS (ORDER BY bin))"""
+
+
+@query("oot_gate", with_(HOLDOUT, select=out("decision", "ks threshold", "(SELECT max(gap) AS ks, 0.2 AS threshold, "
+       "CASE WHEN max(gap) >= 0.2 THEN 'PROMOTE' ELSE 'REJECT' END AS decision FROM gaps)")))
+def oot_gate(spark, sf_dir):
+    held_out = by_epoch(spark, sf_dir).filter(F.col("epoch") == "holdout")
+    return rounded(govern.oot_decision(validate.ks(validate.deciles(held_out))))
+
+
+@query("run_log")
+def run_log(spark, sf_dir):
+    """Metrics of the scored loans, appended in two runs and read back."""
+    path = fresh_path(spark, "runs")
+    metrics = validate.evaluate(scored_loans(spark, sf_dir)).first().asDict()
+    govern.log_run(spark, path, "baseline", {"pdo": CARD.pdo.pdo}, metrics, {"status": "logged"})
+    psi = drift.psi_by(by_epoch(spark, sf_dir), "epoch", "baseline").collect()
+    govern.log_run(spark, path, "watch", {}, {r["epoch"]: r["psi"] for r in psi})
+    return spark.read.parquet(path).drop("logged_at")
+
+
+@query("lifecycle_3_epochs")
+def lifecycle_3_epochs(spark, sf_dir):
+    loans = preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR)
+    with held(loans) as rows:
+        result = lifecycle(rows, EPOCHS, rolling=(1997, 2000))
+        return result.stages
+
+
+# -------------------------------------------------------------- explanations
+
+MEANS = "means AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in CARD.coefs) + " FROM weighed)"
+
+
+def phi(column: str) -> str:
+    return f"{CARD.coefs[column]!r} * ({column} - m_{column})"
+
+
+def phi_long(source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT loan_id, '{c.removesuffix('_woe')}' AS feature, {phi(c)} AS phi FROM {source} CROSS JOIN means" for c in CARD.coefs
+    )
+
+
+PHI_COLUMNS = [f"phi_{f}" for f in CARD.features]
+
+
+@query("linear_attribution", with_(WEIGHED, MEANS, select=out("loan_id", " ".join(PHI_COLUMNS), "(SELECT loan_id, "
+       + ", ".join(f"{phi(c)} AS phi_{c.removesuffix('_woe')}" for c in CARD.coefs) + " FROM weighed CROSS JOIN means)")))
+def linear_attribution(spark, sf_dir):
+    rows, _ = weighed_loans(spark, sf_dir)
+    means = explain.woe_means(rows, CARD)
+    return rounded(explain.attributions(rows, CARD, means).select("loan_id", *PHI_COLUMNS))
+
+
+@query("decline_filter", with_(SCORED, select=f"""SELECT 'score' AS policy, loan_id, score FROM scored WHERE target = 1 OR score < 600
+UNION ALL SELECT 'cutoff', loan_id, score FROM scored WHERE pd >= {tau()!r}"""))
+def decline_filter(spark, sf_dir):
+    rows = scored_loans(spark, sf_dir)
+    parts = [explain.declined(rows, p).select(F.lit(p).alias("policy"), "loan_id", "score") for p in ("score", "cutoff")]
+    return parts[0].unionByName(parts[1])
+
+
+def reason_sql(column: str, values: Sequence[tuple[str, str]], other: str) -> str:
+    cases = " ".join("WHEN '{}' THEN '{}'".format(f, v.replace("'", "''")) for f, v in values)
+    return f"CASE feature {cases} ELSE {other} END AS {column}"
+
+
+CODE = reason_sql("reason_code", [(f, c) for f, (c, _) in REASONS.items()], f"'{OTHER_REASON}'")
+STATEMENT = reason_sql("statement", [(f, s) for f, (_, s) in REASONS.items()],
+                       "'The credit profile entry ''' || feature || ''' does not meet the lending criteria.'")
+
+
+@query("reason_code_join", with_(WEIGHED, MEANS, f"phis AS ({phi_long('weighed')})",
+       select=out("loan_id feature reason_code statement", "phi", f"(SELECT *, {CODE}, {STATEMENT} FROM phis)")))
+def reason_code_join(spark, sf_dir):
+    rows, _ = weighed_loans(spark, sf_dir)
+    long = explain.attribution_long(rows, CARD, explain.woe_means(rows, CARD))
+    return rounded(explain.with_reasons(long.drop("position")))
+
+
+DECLINED = SCORED + f""",
+{MEANS},
+declined AS (SELECT * FROM scored WHERE target = 1 OR score < 600),
+phis AS ({phi_long('declined')}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY phi DESC, feature) AS position FROM phis),
+top AS (SELECT loan_id, position::INT AS position, feature AS feature_name, round(phi, 4) + 0.0::DOUBLE AS attribution_impact,
+               {CODE}, {STATEMENT} FROM ranked WHERE position <= 4)"""
+
+
+def declined_with_means(spark, sf_dir):
+    rows, _ = weighed_loans(spark, sf_dir)
+    means = explain.woe_means(rows, CARD)
+    return explain.declined(scored(rows, CARD)), means
+
+
+@query("top_reasons", with_(DECLINED, select="SELECT loan_id, position, reason_code, feature_name, attribution_impact FROM top"))
+def top_reasons(spark, sf_dir):
+    rows, means = declined_with_means(spark, sf_dir)
+    ready = explain.top_reasons(explain.attributions(rows, CARD, means), CARD)
+    flat = ready.select("loan_id", F.posexplode("reasons").alias("position", "r"))
+    return rounded(
+        flat.select(
+            "loan_id", (F.col("position") + 1).alias("position"), "r.reason_code", "r.feature_name", "r.attribution_impact"
+        )
+    )
+
+
+@query("adverse_action_notice", with_(DECLINED, select=f"""SELECT loan_id AS application_id, 'DECLINED' AS decision,
+  '{FRAMEWORK}' AS regulatory_framework, score AS calculated_fico_score, round(pd, 4) AS predicted_default_probability,
+  round({tau()!r}::DOUBLE, 4) AS decision_threshold_tau_star, position, reason_code, feature_name, attribution_impact, statement
+FROM declined JOIN top USING (loan_id)"""))
+def adverse_action_notice(spark, sf_dir):
+    rows, means = declined_with_means(spark, sf_dir)
+    letters = explain.notices(rows, CARD, means)
+    flat = letters.select("*", F.posexplode("top_adverse_action_reasons").alias("at", "r"))
+    return rounded(
+        flat.select(
+            *letters.columns[:-1],
+            (F.col("at") + 1).alias("position"),
+            "r.reason_code",
+            "r.feature_name",
+            "r.attribution_impact",
+            "r.statement",
+        )
+    )
+
+
+@query("attribution_long", with_(WEIGHED, MEANS, f"phis AS ({phi_long('weighed')})", select=out("loan_id position feature", "phi",
+       "(SELECT *, (row_number() OVER (PARTITION BY loan_id ORDER BY phi, feature))::INT AS position FROM phis)")))
+def attribution_long(spark, sf_dir):
+    rows, _ = weighed_loans(spark, sf_dir)
+    return rounded(explain.attribution_long(rows, CARD, explain.woe_means(rows, CARD)))
+
+
+@query("sink_notice_json", with_(DECLINED, select="SELECT loan_id AS application_id, score AS calculated_fico_score, "
+       "4 AS reasons FROM declined"))
+def sink_notice_json(spark, sf_dir):
+    rows, means = declined_with_means(spark, sf_dir)
+    letters = explain.notices(rows, CARD, means)
+    path = fresh_path(spark, "notices")
+    files.write_notices(letters, path)
+    back = spark.read.schema(letters.schema).json(path)
+    return back.select("application_id", "calculated_fico_score", F.size("top_adverse_action_reasons").alias("reasons"))

@@ -110,14 +110,18 @@ def cost_cutoff(spark, sf_dir):
     )
 
 
-@query("confusion_at_cutoff", with_(SCORED, """cells AS (
-  SELECT 0.5 AS cutoff, count(*) FILTER (WHERE pd < 0.5 AND target = 0) AS tn, count(*) FILTER (WHERE pd >= 0.5 AND target = 0) AS fp,
-         count(*) FILTER (WHERE pd < 0.5 AND target = 1) AS fn, count(*) FILTER (WHERE pd >= 0.5 AND target = 1) AS tp
+TAU = f"{tau()!r}::DOUBLE"
+
+
+@query("confusion_at_cutoff", with_(SCORED, f"""cells AS (
+  SELECT {TAU} AS cutoff, count(*) FILTER (WHERE pd < {TAU} AND target = 0) AS tn,
+         count(*) FILTER (WHERE pd >= {TAU} AND target = 0) AS fp, count(*) FILTER (WHERE pd < {TAU} AND target = 1) AS fn,
+         count(*) FILTER (WHERE pd >= {TAU} AND target = 1) AS tp
   FROM scored)""", select=out("tn fp fn tp", "cutoff precision recall total_loss",
        "(SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, "
        "fp * 300.0 + fn * 10000.0 AS total_loss FROM cells)")))
 def confusion_at_cutoff(spark, sf_dir):
-    return rounded(validate.confusion(scores(spark, sf_dir), cutoff=0.5))
+    return rounded(validate.confusion(scores(spark, sf_dir)))
 
 
 CURVE = """counts AS (
