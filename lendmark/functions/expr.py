@@ -116,13 +116,14 @@ def bin_index(c: Column, edges: Sequence[float]) -> Column:
     Null (and NaN) has no bin, nor has a value outside finite outer edges. The
     comparisons are literals, so this needs no range join.
     """
-    infinite = (float("-inf"), float("inf"))
+    first, *inner, last = edges
+    bound = float(first) != float("-inf"), float(last) != float("inf")
     out = F.when(c.isNull() | F.isnan(c), None)
-    if edges[0] not in infinite:
-        out = out.when(c <= F.lit(float(edges[0])), None)
-    for i, upper in enumerate(edges[1:]):
-        out = out.when(F.lit(True) if upper in infinite else c <= F.lit(float(upper)), i)
-    return out.cast("int")
+    if bound[0]:
+        out = out.when(c <= F.lit(float(first)), None)
+    for i, upper in enumerate([*inner, last] if bound[1] else inner):
+        out = out.when(c <= F.lit(float(upper)), i)
+    return out.cast("int") if bound[1] else out.otherwise(len(inner)).cast("int")
 
 
 def epoch_label(year: Column, ranges: Mapping[str, tuple[int, int]]) -> Column:

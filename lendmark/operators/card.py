@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmark.functions.scale import Pdo, pd_from_logit, score_from_logit
-from lendmark.functions.state import local_frame, settle
+from lendmark.functions.state import local_frame
 from lendmark.operators.woe import WoeModel, map_bins
 
 
+CELLS_PER_TASK = 50_000
+
+
 @dataclass(frozen=True)
 class Card:
     """Intercept and one coefficient per ``<feature>_woe`` column."""
@@ -60,8 +63,11 @@ def fit_card(
     """
     cells = df.groupBy(*columns, target).agg(F.count("*").alias("__n")).cache()
     try:
-        sizes = {r[0]: r[1] for r in cells.groupBy(target).agg(F.sum("__n")).collect() if r[0] is not None}
+        tally = cells.groupBy(target).agg(F.sum("__n"), F.count("*")).collect()
+        sizes = {r[0]: r[1] for r in tally if r[0] is not None}
         n = sum(sizes.values())
+        # every iteration is a job: give its tasks at least CELLS_PER_TASK rows each
+        tasks = max(1, sum(r[2] for r in tally) // CELLS_PER_TASK)
         weighted = (
             with_weights(cells, target, sizes)
             .filter(F.col(target).isNotNull())
@@ -77,7 +83,7 @@ def fit_card(
             standardization=False,
             maxIter=max_iter,
             tol=1e-10,
-        ).fit(vectors.select("__x", F.col(target).cast("double").alias(target), "__w"))
+        ).fit(vectors.select("__x", F.col(target).cast("double").alias(target), "__w").coalesce(tasks))
     finally:
         cells.unpersist()
     return Card(float(model.intercept), dict(zip(columns, map(float, model.coefficients.toArray()))), pdo)
@@ -131,14 +137,17 @@ def score_by_points(df: DataFrame, model: WoeModel, points_table: DataFrame, car
 
     A value without a bin gets the points of a neutral (zero) weight.
     """
-    table = settle(points_table)
     numeric: dict[str, list[float]] = {f: [0.0] * (len(e) - 1) for f, e in model.edges.items()}
-    for row in table.filter("kind = 'numeric'").select("feature", "bin_id", "scorecard_points").collect():
+    for row in points_table.filter("kind = 'numeric'").select("feature", "bin_id", "scorecard_points").collect():
         numeric[row[0]][row[1]] = float(row[2])
-    named = table.filter("kind = 'categorical'").select(
+    named = points_table.filter("kind = 'categorical'").select(
         "feature", "category", F.col("scorecard_points").cast("double").alias("value")
     )
+    few: dict[str, dict[str, float]] = {}
+    if model.category_woe:
+        for row in named.filter(F.col("feature").isin(*model.category_woe)).collect():
+            few.setdefault(row[0], {})[row[1]] = row[2]
     neutral = float(round((card.pdo.offset - card.pdo.factor * card.intercept) / len(card.coefs)))
-    out = map_bins(df, model, numeric, named, "_points", missing=neutral)
+    out = map_bins(df, model, numeric, few, named, "_points", missing=neutral)
     total = sum((F.col(f + "_points") for f in card.features), F.lit(0.0))
     return out.withColumn("points_score", total.cast("int"))

@@ -7,6 +7,7 @@ large continuous column, so both are rebuilt here from mergeable aggregates.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import math
 from collections.abc import Mapping, Sequence
@@ -17,7 +18,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-GRID_STEPS = 1000
+SLACK = 2 / SKETCH_ACCURACY  # a sketch may be off by half of this
+EVEN_GRID = [i / 1000 for i in range(1001)]
+LARGEST = 1.7976931348623157e308  # fixed value: the largest double
 
 
 def sql_array(values: Sequence[float]) -> Column:
@@ -49,7 +52,7 @@ class _Search:
         # Regions are the left-closed stretches between neighbouring splits. Every
         # cut is followed by the next double, so that a cut is a region of its own.
         self.cuts: set[float] = set()
-        self.splits: list[float] = [-math.inf, 0.0, math.inf]
+        self.splits: list[float] = [-math.inf, LARGEST, math.inf]
         self.fetch: set[int] = set()  # regions whose value counts the next pass returns
         self.sketch: set[int] = {0, 1}  # regions the next pass sketches
 
@@ -57,7 +60,7 @@ class _Search:
     def open(self) -> bool:
         return self.size is None or len(self.found) < len(self.ranks)
 
-    def read(self, rows: Sequence, settle_rows: int) -> None:
+    def read(self, rows: Sequence, probs: Sequence[float], settle_rows: int) -> None:
         """Take the counts of one pass, settle ranks or propose narrower cuts."""
         rows = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1]))
         if self.size is None:
@@ -77,14 +80,13 @@ class _Search:
                 # the sketch had pointed elsewhere: look at this stretch next
                 (small if n <= settle_rows else large).append((self.splits[region], self.splits[region + 1]))
             elif inside:
-                slack = 2 / SKETCH_ACCURACY
                 for k in inside:
-                    share = (k - below) / n
-                    low = max(0, math.floor((share - slack) * GRID_STEPS))
-                    high = min(GRID_STEPS, math.ceil((share + slack) * GRID_STEPS) + 1)
-                    expected = n * ((high - low) / GRID_STEPS + slack)
+                    first, last = (k - below) / n - SLACK, (k - below + 1) / n + SLACK
+                    low = max(0, bisect.bisect_right(probs, first) - 1)
+                    high = min(len(probs) - 1, bisect.bisect_left(probs, last))
                     bracket = (grid[low], grid[high])
                     cuts.update(bracket)
+                    expected = n * (probs[high] - probs[low] + SLACK)
                     (small if expected <= settle_rows else large).append(bracket)
             below += n
         self.cuts = cuts
@@ -125,7 +127,10 @@ def exact_quantiles(
     before the shuffle, and a sketch error costs a pass, never a wrong result.
     """
     searches = {c: _Search(probs) for c, probs in wanted.items()}
-    grid = sql_array([i / GRID_STEPS for i in range(GRID_STEPS + 1)])
+    # the first pass asks the sketch only around the wanted quantiles
+    near = 3 / SKETCH_ACCURACY
+    asked = {min(1.0, max(0.0, p + d)) for probs in wanted.values() for p in probs for d in (-near, near)}
+    probs = sorted(asked | {0.0, 1.0})
     while any(s.open for s in searches.values()):
         still = [c for c, s in searches.items() if s.open]
         values = df.select(*(present(F.col(c)).alias(f"v{i}") for i, c in enumerate(still)))
@@ -141,7 +146,7 @@ def exact_quantiles(
             for i, c in enumerate(still)
         )
         sketching = any(searches[c].sketch for c in still)
-        sketch = F.percentile_approx("rough", grid, F.lit(SKETCH_ACCURACY))
+        sketch = F.percentile_approx("rough", sql_array(probs), F.lit(SKETCH_ACCURACY))
         counted: dict[int, list] = {i: [] for i in range(len(still))}
         for feature, region, value, n, rough in (
             regions.transform(values).select(F.expr(f"inline(array({parts}))"))
@@ -152,7 +157,8 @@ def exact_quantiles(
         ):
             counted[feature].append((region, value, n, rough))
         for i, c in enumerate(still):
-            searches[c].read(counted[i], settle_rows)
+            searches[c].read(counted[i], probs, settle_rows)
+        probs = EVEN_GRID
     return {c: s.quantiles() for c, s in searches.items()}
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import iv_rating
 from lendmark.functions.state import local_frame, settle
-from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, present
+from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, present, sql_array
 
+FEW_CATEGORIES = 100
 MISSING_TEXT = "nan"  # fixed value: the category of missing text
 BIN_SCHEMA = (
     "feature string, kind string, bin_id int, lower double, upper double, category string, "
@@ -34,6 +35,7 @@ class WoeModel:
     features: list[str]
     edges: dict[str, list[float]]
     numeric_woe: dict[str, list[float]]
+    category_woe: dict[str, dict[str, float]]  # features with few categories only
     bins: DataFrame
 
     @property
@@ -164,30 +166,30 @@ def fit_woe(
         make = open_edges if smoothing == "count" else padded_edges
         edges = {f: make(raw[f]) for f in numeric}
     edges = {f: list(e) for f, e in edges.items()}
-    counts = settle(bin_counts(df, edges, categorical, target))
-
-    # numeric bins: at most features x (bins + 1) rows
-    seen: dict[str, dict] = {f: {} for f in numeric}
-    sums = {"goods": 0, "bads": 0}
-    for row in counts.filter(F.col("feature").isin(*numeric)).collect() if numeric else []:
+    counted = bin_counts(df, edges, categorical, target)
+    counts = settle(counted)
+    tallies = counts if counts is not counted else counted.filter(F.col("feature").isin(*numeric))
+    # all rows when there are few, otherwise the numeric ones: features x (bins + 1)
+    seen: dict[str, dict] = {f: {} for f in features}
+    for row in tallies.collect():
         seen[row["feature"]][row["bin"]] = (row["total"], row["goods"], row["bads"])
-    if numeric:
-        sums["goods"] = sum(c[1] for c in seen[numeric[0]].values())
-        sums["bads"] = sum(c[2] for c in seen[numeric[0]].values())
-    elif categorical:
-        row = counts.filter(F.col("feature") == categorical[0]).agg(F.sum("goods"), F.sum("bads")).first()
-        sums = {"goods": row[0] or 0, "bads": row[1] or 0}
+    if seen[features[0]]:
+        sums = tuple(sum(c[i] for c in seen[features[0]].values()) for i in (1, 2))
+    else:
+        row = counts.filter(F.col("feature") == features[0]).agg(F.sum("goods"), F.sum("bads")).first()
+        sums = (row[0] or 0, row[1] or 0)
 
     rows, fitted = [], {}
     for f in numeric:
         per_bin = [seen[f].get(str(i), (0, 0, 0)) for i in range(len(edges[f]) - 1)]
         fitted[f], per_bin = merge_monotone(edges[f], per_bin) if monotone else (edges[f], per_bin)
-        for i, tallies in enumerate(per_bin):
+        for i, tally in enumerate(per_bin):
             lower, upper = fitted[f][i], fitted[f][i + 1]
-            label = f"({lower:.2f}, {upper:.2f}]"
-            rows.append((f, "numeric", i, lower, upper, None, label, *tallies, sums["goods"], sums["bads"]))
+            rows.append((f, "numeric", i, lower, upper, None, f"({lower:.2f}, {upper:.2f}]", *tally, *sums))
+    for f in categorical:
+        rows += [(f, "categorical", None, None, None, c, c, *tally, *sums) for c, tally in sorted(seen[f].items())]
     bins = local_frame(df.sparkSession, rows, BIN_SCHEMA)
-    if categorical:
+    if counts is counted and categorical:
         named = counts.filter(F.col("feature").isin(*categorical)).select(
             "feature",
             F.lit("categorical").alias("kind"),
@@ -195,19 +197,23 @@ def fit_woe(
             F.lit(None).cast("double").alias("lower"),
             F.lit(None).cast("double").alias("upper"),
             F.col("bin").alias("category"),
+            F.col("bin").alias("label"),
             "total",
             "goods",
             "bads",
-            F.lit(sums["goods"]).cast("bigint").alias("all_goods"),
-            F.lit(sums["bads"]).cast("bigint").alias("all_bads"),
-            F.col("bin").alias("label"),
+            *(F.lit(s).cast("bigint").alias(c) for s, c in zip(sums, ("all_goods", "all_bads"))),
         )
         bins = bins.unionByName(named)
-    table = settle(weigh(bins, smoothing).select(*BIN_COLUMNS))
+    table = weigh(bins, smoothing).select(*BIN_COLUMNS)
     weights: dict[str, list[float]] = {f: [0.0] * (len(e) - 1) for f, e in fitted.items()}
     for row in table.filter("kind = 'numeric'").select("feature", "bin_id", "woe").collect():
         weights[row["feature"]][row["bin_id"]] = row["woe"]
-    return WoeModel(features, fitted, weights, table)
+    levels: dict[str, dict[str, float]] = {}
+    if counts is not counted:
+        for row in table.filter("kind = 'categorical'").select("feature", "category", "woe").collect():
+            levels.setdefault(row["feature"], {})[row["category"]] = row["woe"]
+    few = {f: v for f, v in levels.items() if len(v) <= FEW_CATEGORIES}
+    return WoeModel(features, fitted, weights, few, table)
 
 
 # --------------------------------------------------------------- summaries
@@ -240,41 +246,49 @@ def iv_screen(summary: DataFrame, min_iv: float = 0.02) -> DataFrame:
 def map_bins(
     df: DataFrame,
     model: WoeModel,
-    value: Mapping[str, Sequence[float]],
+    numeric: Mapping[str, Sequence[float]],
+    few: Mapping[str, Mapping[str, float]],
     table: DataFrame,
     suffix: str,
     missing: float = 0.0,
 ) -> DataFrame:
     """Add ``<feature><suffix>``: a value per bin. Absent features are skipped.
 
-    Numeric features compare against literal edges inside the projection.
-    Categorical ones join (feature, category, value) rows of ``table``, which
-    Catalyst broadcasts when it is small; unseen categories get ``missing``.
+    Numeric features compare against literal edges, categorical ones with few
+    categories look up a literal map, all in one projection. Other categorical
+    features join the (feature, category, value) rows of ``table``. Values
+    without a bin get ``missing``.
     """
-    added = {}
-    for f, edges in model.edges.items():
-        if f in df.columns:
-            index = bin_index(present(F.col(f)), edges)
-            levels = F.array(*(F.lit(float(v)) for v in value[f]))
-            added[f + suffix] = F.coalesce(F.get(levels, index), F.lit(missing))
+    added, joined = {}, []
+    for f in model.features:
+        if f not in df.columns:
+            continue
+        if f in model.edges:
+            index = bin_index(present(F.col(f)), model.edges[f])
+            added[f + suffix] = F.coalesce(F.get(sql_array(numeric[f]), index), F.lit(missing))
+        elif few.get(f):
+            pairs = [F.lit(x) for pair in few[f].items() for x in pair]
+            found = F.try_element_at(F.create_map(*pairs), category_text(F.col(f)))
+            added[f + suffix] = F.coalesce(found, F.lit(missing))
+        else:
+            joined.append(f)
     out = df.withColumns(added) if added else df
-    for f in model.categorical:
-        if f in df.columns:
-            named = table.filter(F.col("feature") == f).select(
-                F.col("category").alias("__category"), F.col("value").alias("__value")
-            )
-            out = (
-                out.join(named, category_text(F.col(f)) == F.col("__category"), "left")
-                .withColumn(f + suffix, F.coalesce("__value", F.lit(missing)))
-                .drop("__category", "__value")
-            )
+    for f in joined:
+        named = table.filter(F.col("feature") == f).select(
+            F.col("category").alias("__category"), F.col("value").alias("__value")
+        )
+        out = (
+            out.join(named, category_text(F.col(f)) == F.col("__category"), "left")
+            .withColumn(f + suffix, F.coalesce("__value", F.lit(missing)))
+            .drop("__category", "__value")
+        )
     return out
 
 
 def apply_woe(df: DataFrame, model: WoeModel) -> DataFrame:
     """Add ``<feature>_woe``; null and unseen values get the neutral 0.0."""
     table = model.bins.filter("kind = 'categorical'").select("feature", "category", F.col("woe").alias("value"))
-    return map_bins(df, model, model.numeric_woe, table, "_woe")
+    return map_bins(df, model, model.numeric_woe, model.category_woe, table, "_woe")
 
 
 def woe_columns(model: WoeModel) -> list[str]:
