@@ -108,7 +108,7 @@ class _Search:
         for p in self.probs:
             position = p * (self.size - 1)
             low, high = self.found[math.floor(position)], self.found[math.ceil(position)]
-            out.append(low + (high - low) * (position - math.floor(position)))
+            out.append(low if low == high else low + (high - low) * (position - math.floor(position)))
         return out
 
 
@@ -193,7 +193,9 @@ def running_totals(
     """
     grid = [i / slices for i in range(1, slices)]
     bounds = df.select(F.percentile_approx(order, sql_array(grid), F.lit(SKETCH_ACCURACY))).first()[0]
-    splits = [-math.inf, *sorted(set(bounds or ())), math.inf]
+    splits = sorted({-math.inf, *(bounds or (0.0,)), math.inf})
+    if len(splits) < 3:
+        splits.insert(1, 0.0)
     bucketizer = Bucketizer(splits=splits, inputCol="__order", outputCol="__slice", handleInvalid="keep")
     sliced = bucketizer.transform(df.withColumn("__order", F.col(order).cast("double")))
     key = F.col("__slice").desc() if descending else F.col("__slice").asc()

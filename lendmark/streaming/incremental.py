@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from lendmark.operators.history import latest, newer_than, upsert
 
 
+VERSION = "table_version"
+
+
 def fold_batch(path: str, key: str, ts: str):
     """``foreachBatch`` function: dedup the new rows and upsert them into the table at ``path``.
 
-    Batch ``n`` reads ``v=n-1`` and overwrites ``v=n``, so repeating a batch
+    Batch ``n`` reads version ``n-1`` and overwrites version ``n``, so repeating a batch
     after a failure gives the same table.
     """
 
@@ -20,9 +23,9 @@ def fold_batch(path: str, key: str, ts: str):
         if batch_id == 0:
             folded = latest(batch, key, [ts])
         else:
-            before = batch.sparkSession.read.parquet(f"{path}/v={batch_id - 1}")
+            before = batch.sparkSession.read.parquet(f"{path}/{VERSION}={batch_id - 1}")
             folded = upsert(before, newer_than(batch, ts, before), key, [ts])
-        folded.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        folded.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}")
 
     return run
 
@@ -54,5 +57,5 @@ def load_stream(
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of the table; the filter prunes the older folders."""
     versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("v")).first()[0]
-    return versions.filter(F.col("v") == newest).drop("v")
+    newest = versions.agg(F.max(VERSION)).first()[0]
+    return versions.filter(F.col(VERSION) == newest).drop(VERSION)
