@@ -110,20 +110,20 @@ def annuity(principal: Column, monthly_rate: Column, months: Column) -> Column:
 # ---------------------------------------------------------------- binning
 
 
-def bin_index(c: Column, edges: Sequence[float]) -> Column:
-    """0-based index of the right-closed bin ``(edges[i], edges[i+1]]``.
+def bin_index(column: str, edges: Sequence[float]) -> Column:
+    """0-based index of the right-closed bin ``(edges[i], edges[i+1]]`` of a numeric column.
 
     Null (and NaN) has no bin, nor has a value outside finite outer edges. The
     comparisons are literals, so this needs no range join.
     """
-    first, *inner, last = edges
-    bound = float(first) != float("-inf"), float(last) != float("inf")
-    out = F.when(c.isNull() | F.isnan(c), None)
-    if bound[0]:
-        out = out.when(c <= F.lit(float(first)), None)
-    for i, upper in enumerate([*inner, last] if bound[1] else inner):
-        out = out.when(c <= F.lit(float(upper)), i)
-    return out.cast("int") if bound[1] else out.otherwise(len(inner)).cast("int")
+    first, *inner, last = map(float, edges)
+    cases = [f"WHEN `{column}` IS NULL OR isnan(`{column}`) THEN NULL"]
+    if first != float("-inf"):
+        cases.append(f"WHEN `{column}` <= {first!r}D THEN NULL")
+    uppers = inner if last == float("inf") else [*inner, last]
+    cases += [f"WHEN `{column}` <= {upper!r}D THEN {i}" for i, upper in enumerate(uppers)]
+    rest = len(inner) if last == float("inf") else "NULL"
+    return F.expr(f"CAST(CASE {' '.join(cases)} ELSE {rest} END AS INT)")
 
 
 def epoch_label(year: Column, ranges: Mapping[str, tuple[int, int]]) -> Column:

@@ -21,21 +21,20 @@ CELLS_PER_TASK = 50_000
 
 @dataclass(frozen=True)
 class Card:
-    """Intercept and one coefficient per ``<feature>_woe`` column."""
+    """Intercept and one coefficient per ``<feature>_woe`` column, and the training
+    means of those columns when the card was fitted."""
 
     intercept: float
     coefs: dict[str, float]
     pdo: Pdo = field(default_factory=Pdo)
+    means: dict[str, float] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
         return [c.removesuffix("_woe") for c in self.coefs]
 
     def logit(self) -> Column:
-        out = F.lit(self.intercept)
-        for name, beta in self.coefs.items():
-            out = out + F.lit(beta) * F.col(name)
-        return out
+        return F.expr(" + ".join([f"{self.intercept!r}D", *(f"({b!r}D * `{c}`)" for c, b in self.coefs.items())]))
 
 
 def class_sizes(df: DataFrame, target: str = "target") -> dict[int, int]:
@@ -63,7 +62,9 @@ def fit_card(
     """
     cells = df.groupBy(*columns, target).agg(F.count("*").alias("__n")).cache()
     try:
-        tally = cells.groupBy(target).agg(F.sum("__n"), F.count("*")).collect()
+        sums = [F.sum(F.col("__n") * F.col(x)) for x in columns]
+        tally = cells.groupBy(target).agg(F.sum("__n"), F.count("*"), *sums).collect()
+        means = {x: sum(r[3 + i] for r in tally) / sum(r[1] for r in tally) for i, x in enumerate(columns)}
         sizes = {r[0]: r[1] for r in tally if r[0] is not None}
         n = sum(sizes.values())
         # every iteration is a job: give its tasks at least CELLS_PER_TASK rows each
@@ -86,7 +87,7 @@ def fit_card(
         ).fit(vectors.select("__x", F.col(target).cast("double").alias(target), "__w").coalesce(tasks))
     finally:
         cells.unpersist()
-    return Card(float(model.intercept), dict(zip(columns, map(float, model.coefficients.toArray()))), pdo)
+    return Card(float(model.intercept), dict(zip(columns, map(float, model.coefficients.toArray()))), pdo, means)
 
 
 def coefficients(spark: SparkSession, card: Card) -> DataFrame:

@@ -36,8 +36,9 @@ def padded(edges: Sequence[float]) -> list[float]:
     return [edges[0] - 1e-5, *edges[1:-1], edges[-1] + 1e-5]
 
 
-def hist_index(c: Column, edges: Sequence[float]) -> Column:
+def hist_index(column: str, edges: Sequence[float]) -> Column:
     """0-based left-closed bin ``[edges[i], edges[i+1])``, the last one closed; null outside."""
+    c = F.col(column)
     out = F.when(c.isNull() | (c < F.lit(edges[0])) | (c > F.lit(edges[-1])), None)
     for i, upper in enumerate(edges[1:-1]):
         out = out.when(c < F.lit(upper), i)
@@ -82,7 +83,7 @@ def psi_cells(
     locate = bin_index if mode == "cut" else hist_index
     n_bins = len(edges) - 1
     counts = settle(
-        scores.groupBy(epoch, locate(F.col(score).cast("double"), edges).alias("__bin")).agg(F.sum("n").alias("n"))
+        scores.groupBy(epoch, locate(score, edges).alias("__bin")).agg(F.sum("n").alias("n"))
     )  # epochs x bins
     # one wide row per epoch, then every bin in turn, so that empty bins stay
     per_bin = [F.sum(F.when(F.col("__bin") == i, F.col("n")).otherwise(0)).alias(f"b{i}") for i in range(n_bins)]

@@ -28,9 +28,7 @@ def _row_failures(rule: Rule) -> Column:
     raise ValueError(f"unknown rule {rule.kind!r}")
 
 
-def _check(df: DataFrame, name: str, rules: Sequence[Rule]) -> DataFrame:
-    """Row rules of one table, in one pass, in long form."""
-    counted = df.agg(*(_row_failures(r).alias(f"f{i}") for i, r in enumerate(rules)))
+def _long(counted: DataFrame, name: str, rules: Sequence[Rule]) -> DataFrame:
     rows = F.array(
         *(
             F.struct(
@@ -45,29 +43,42 @@ def _check(df: DataFrame, name: str, rules: Sequence[Rule]) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+def _check(df: DataFrame, name: str, rules: Sequence[Rule]) -> DataFrame:
+    """All rules of one table that look at a row or at one key, in one pass, in long form.
+
+    Failures are summed per key first, which also tells how often a key occurs.
+    """
+    keys = [r.column for r in rules if r.kind == "unique"]
+    by_row = {i: _row_failures(r) for i, r in enumerate(rules) if r.kind != "unique"}
+    if not keys:
+        return _long(df.agg(*(c.alias(f"f{i}") for i, c in by_row.items())), name, rules)
+    per_key = df.groupBy(F.col(keys[0]).alias("__key")).agg(
+        F.count("*").alias("__n"), *(c.alias(f"f{i}") for i, c in by_row.items())
+    )
+    twice = F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1))
+    totals = [
+        twice.alias(f"f{i}") if r.kind == "unique" else F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}")
+        for i, r in enumerate(rules)
+    ]
+    return _long(per_key.agg(*totals), name, rules)
+
+
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts (nulls do not count)."""
     keys = [key] if isinstance(key, str) else list(key)
     return df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def _unique(df: DataFrame, name: str, rule: Rule) -> DataFrame:
-    return duplicate_keys(df, rule.column).agg(
-        F.lit(name).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit("unique").alias("rule"),
-        F.count("*").alias("failures"),
-    )
-
-
 def dq_report(tables: Mapping[str, tuple[DataFrame, Sequence[Rule]]]) -> DataFrame:
-    """All rules of all tables: (table_name, column_name, rule, failures, passed)."""
+    """All rules of all tables: (table_name, column_name, rule, failures, passed).
+
+    One scan per table, plus one for each unique rule after the first.
+    """
     parts = []
     for name, (df, rules) in tables.items():
-        by_row = [r for r in rules if r.kind != "unique"]
-        if by_row:
-            parts.append(_check(df, name, by_row))
-        parts += [_unique(df, name, r) for r in rules if r.kind == "unique"]
+        unique_rules = [r for r in rules if r.kind == "unique"]
+        parts.append(_check(df, name, [r for r in rules if r not in unique_rules[1:]]))
+        parts += [_check(df, name, [r]) for r in unique_rules[1:]]
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
 
 

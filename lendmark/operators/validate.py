@@ -74,7 +74,7 @@ def deciles(df: DataFrame, target: str = "target", score: str = "score", q: int
 
 def _decile_table(counts: DataFrame, score: str, edges: Sequence[float]) -> DataFrame:
     table = (
-        counts.withColumn("decile", bin_index(F.col(score).cast("double"), edges) + 1)
+        counts.withColumn("decile", bin_index(score, edges) + 1)
         .groupBy("decile")
         .agg(
             F.sum("total").alias("total"),
@@ -202,7 +202,7 @@ def brier_parts(df: DataFrame, target: str = "target", p: str = "pd", q: int = 1
     edges = cut_edges(exact_quantiles(df, {p: even_probs(q)})[p] or [])
     bins = (
         df.filter(F.col(p).isNotNull())
-        .groupBy(bin_index(F.col(p), edges).alias("bin"))
+        .groupBy(bin_index(p, edges).alias("bin"))
         .agg(
             F.count("*").cast("double").alias("n"),
             F.avg(p).alias("p"),
@@ -289,33 +289,31 @@ def evaluate(
     rows = df.filter(F.col(p).isNotNull() & F.col(score).isNotNull())
     profile = rows.groupBy(p, score).agg(*outcome_counts(target)).cache()
     try:
-        by_score = profile.groupBy(score).agg(*(F.sum(c).alias(c) for c in ("total", "bads", "goods")))
-        by_p = profile.groupBy(p).agg(*(F.sum(c).alias(c) for c in ("total", "bads", "goods")))
-        if on_bounded_scale(df, score):
-            by_score = settle(by_score)
-            edges = score_edges(rows, by_score, score, SCORE_DECILES)
-        else:
-            edges = score_edges(rows, None, score, SCORE_DECILES)
-        separation = ks(_decile_table(by_score, score, cut_edges(edges))).first()["ks"]
-        area = _auc(_curve(by_p, p)).first()["roc_auc"]
+        tallies = [F.sum(c).alias(c) for c in ("total", "bads", "goods")]
         flagged = F.col(p) >= cutoff
-        sums = profile.agg(
-            F.sum(F.col("bads") * F.pow(1 - F.col(p), F.lit(2.0)) + F.col("goods") * F.pow(F.col(p), F.lit(2.0))).alias(
-                "squares"
-            ),
-            F.sum("total").alias("n"),
-            F.sum(F.when(flagged, F.col("goods")).otherwise(0)).alias("fp"),
-            F.sum(F.when(flagged, F.col("bads")).otherwise(0)).alias("tp"),
-            F.sum(F.when(flagged, 0).otherwise(F.col("bads"))).alias("fn"),
-        ).first()
+        squares = F.col("bads") * F.pow(1 - F.col(p), F.lit(2.0)) + F.col("goods") * F.pow(F.col(p), F.lit(2.0))
+        by_score = settle(
+            profile.groupBy(score).agg(
+                *tallies,
+                F.sum(squares).alias("squares"),
+                F.sum(F.when(flagged, F.col("goods")).otherwise(0)).alias("fp"),
+                F.sum(F.when(flagged, F.col("bads")).otherwise(0)).alias("tp"),
+            )
+        )
+        counts = by_score if on_bounded_scale(df, score) else None
+        edges = score_edges(rows, counts, score, SCORE_DECILES)
+        separation = ks(_decile_table(by_score, score, cut_edges(edges))).first()["ks"]
+        area = _auc(_curve(profile.groupBy(p).agg(*tallies), p)).first()["roc_auc"]
+        sums = by_score.agg(*(F.sum(c).alias(c) for c in ("squares", "total", "bads", "fp", "tp"))).first()
     finally:
         profile.unpersist()
-    tp, fp, fn = (sums[c] or 0 for c in ("tp", "fp", "fn"))
+    tp, fp = sums["tp"] or 0, sums["fp"] or 0
+    fn = (sums["bads"] or 0) - tp
     result = (
         area,
         None if area is None else 2.0 * area - 1.0,
         separation,
-        sums["squares"] / sums["n"] if sums["n"] else None,
+        sums["squares"] / sums["total"] if sums["total"] else None,
         cutoff,
         tp / (tp + fp) if tp + fp else 0.0,
         tp / (tp + fn) if tp + fn else 0.0,

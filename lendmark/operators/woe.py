@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import iv_rating
 from lendmark.functions.state import local_frame, settle
-from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, present, sql_array
+from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, sql_array
 
 FEW_CATEGORIES = 100
 MISSING_TEXT = "nan"  # fixed value: the category of missing text
@@ -108,7 +108,7 @@ def bin_counts(
     value without a bin. Rows are combined per task before the shuffle, so the
     few large groups cost nothing.
     """
-    keys = [(f, bin_index(present(F.col(f)), e).cast("string")) for f, e in edges.items()]
+    keys = [(f, bin_index(f, e).cast("string")) for f, e in edges.items()]
     keys += [(f, category_text(F.col(f))) for f in categorical]
     pairs = F.array(*(F.struct(F.lit(f).alias("feature"), key.alias("bin")) for f, key in keys))
     return (
@@ -264,7 +264,7 @@ def map_bins(
         if f not in df.columns:
             continue
         if f in model.edges:
-            index = bin_index(present(F.col(f)), model.edges[f])
+            index = bin_index(f, model.edges[f])
             added[f + suffix] = F.coalesce(F.get(sql_array(numeric[f]), index), F.lit(missing))
         elif few.get(f):
             pairs = [F.lit(x) for pair in few[f].items() for x in pair]

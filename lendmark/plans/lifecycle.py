@@ -14,7 +14,7 @@ from lendmark.functions.state import local_frame
 from lendmark.operators import card as cards
 from lendmark.operators import drift, explain, govern, impute, validate, woe
 from lendmark.operators.collinearity import vif_filter
-from lendmark.plans.layers import derive, window_of
+from lendmark.plans.layers import derive, window_of, with_epoch
 
 # Candidate columns of the published model.
 NUMERIC = (
@@ -35,7 +35,6 @@ class Model:
     imputers: impute.Imputers
     bins: woe.WoeModel
     card: cards.Card
-    means: dict[str, float]
 
     def prepare(self, loans: DataFrame) -> DataFrame:
         return woe.apply_woe(derive(impute.impute(loans, self.imputers)), self.bins)
@@ -70,10 +69,9 @@ def train(
         bins = woe.fit_woe(ready, features, target, n_bins)
         weighed = woe.apply_woe(ready, bins).select(*woe.woe_columns(bins), target)
         card = cards.fit_card(weighed, woe.woe_columns(bins), target, pdo=pdo)
-        means = explain.woe_means(weighed, card)
     finally:
         window.unpersist()
-    return Model(state, bins, card, means)
+    return Model(state, bins, card)
 
 
 @dataclass(frozen=True)
@@ -108,11 +106,8 @@ def lifecycle(
     first = train(parts["baseline"])
     base_metrics = validate.evaluate(first.score(parts["baseline"])).first().asDict()
 
-    watched = None
-    for name in ("baseline", "inference", "drift"):
-        part = first.score(parts[name]).select("score", F.lit(name).alias("epoch"))
-        watched = part if watched is None else watched.unionByName(part)
-    stability = drift.psi_by(watched, "epoch", "baseline")
+    watched = with_epoch(loans, epochs).filter(F.col("epoch").isin("baseline", "inference", "drift"))
+    stability = drift.psi_by(first.score(watched).select("epoch", "score"), "epoch", "baseline")
     verdict = [r.asDict() for r in govern.retrain_decision(stability, force=force_retrain).collect()]
 
     second = None
@@ -145,5 +140,5 @@ def lifecycle(
         local_frame(spark, [(v["epoch"], v["psi"], v["status"], v["retrain"]) for v in verdict],
                     "epoch string, psi double, status string, retrain boolean"),
         gate,
-        explain.notices(explain.declined(held_out), final.card, final.means),
+        explain.notices(explain.declined(held_out), final.card, final.card.means),
     )

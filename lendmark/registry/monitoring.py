@@ -196,10 +196,10 @@ def run_log(spark, sf_dir):
 
 @query("lifecycle_3_epochs")
 def lifecycle_3_epochs(spark, sf_dir):
-    loans = preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR)
-    with held(loans) as rows:
-        result = lifecycle(rows, EPOCHS, rolling=(1997, 2000))
-        return result.stages
+    """Batches are written per epoch first, as the later steps read them again and again."""
+    path = fresh_path(spark, "batches")
+    files.write_epochs(with_epoch(preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR), EPOCHS), path)
+    return lifecycle(files.scan_epochs(spark, path), EPOCHS, rolling=(1997, 2000)).stages
 
 
 # -------------------------------------------------------------- explanations

@@ -41,8 +41,8 @@ def test_ratios(spark):
 
 def test_bins_are_right_closed(spark):
     df = spark.createDataFrame([(1.0,), (1.5,), (2.0,), (9.0,), (None,), (float("nan"),)], "x double")
-    assert values(df, expr.bin_index(F.col("x"), [-math.inf, 1.0, 2.0, math.inf])) == [0, 1, 1, 2, None, None]
-    assert values(df, expr.bin_index(F.col("x"), [1.0, 1.5, 2.0])) == [None, 0, 1, None, None, None]
+    assert values(df, expr.bin_index("x", [-math.inf, 1.0, 2.0, math.inf])) == [0, 1, 1, 2, None, None]
+    assert values(df, expr.bin_index("x", [1.0, 1.5, 2.0])) == [None, 0, 1, None, None, None]
 
 
 def test_staging_and_gold_from_text(spark):
