@@ -64,16 +64,6 @@ def attributions(df: DataFrame, card: Card, means: Mapping[str, float]) -> DataF
     return df.withColumns({f"phi_{c.removesuffix('_woe')}": attribution(card, means, c) for c in card.coefs})
 
 
-def _impacts(card: Card) -> Column:
-    """Array of (impact, feature), riskiest first, feature name on ties."""
-    entries = F.array(
-        *(F.struct((-F.col(f"phi_{f}")).alias("rank"), F.lit(f).alias("feature")) for f in card.features)
-    )
-    return F.transform(
-        F.array_sort(entries), lambda e: F.struct((-e["rank"]).alias("impact"), e["feature"].alias("feature"))
-    )
-
-
 def _described(entry: Column) -> Column:
     feature = entry["feature"]
     code, text = F.lit(OTHER_REASON), other_statement(feature)
@@ -83,14 +73,18 @@ def _described(entry: Column) -> Column:
     return F.struct(
         code.alias("reason_code"),
         feature.alias("feature_name"),
-        F.round(entry["impact"], 4).alias("attribution_impact"),
+        F.round(-entry["rank"], 4).alias("attribution_impact"),
         text.alias("statement"),
     )
 
 
 def top_reasons(df: DataFrame, card: Card, k: int = 4) -> DataFrame:
-    """Add ``reasons``: the ``k`` largest attributions with code and statement, whatever their sign."""
-    return df.withColumn("reasons", F.transform(F.slice(_impacts(card), 1, k), _described))
+    """Add ``reasons``: the ``k`` largest attributions with code and statement, whatever
+    their sign; the feature name decides ties. Sorted within the row, no shuffle."""
+    entries = F.array(
+        *(F.struct((-F.col(f"phi_{f}")).alias("rank"), F.lit(f).alias("feature")) for f in card.features)
+    )
+    return df.withColumn("reasons", F.transform(F.slice(F.sort_array(entries), 1, k), _described))
 
 
 def declined(df: DataFrame, policy: str = "score", cutoff: float | None = None, target: str = "target") -> DataFrame:
@@ -119,7 +113,7 @@ def notices(df: DataFrame, card: Card, means: Mapping[str, float], key: str = "l
 
 def attribution_long(df: DataFrame, card: Card, means: Mapping[str, float], key: str = "loan_id") -> DataFrame:
     """(key, position, feature, phi): waterfall rows per applicant, from the smallest phi up."""
-    entries = F.array_sort(
+    entries = F.sort_array(
         F.array(*(F.struct(F.col(f"phi_{f}").alias("phi"), F.lit(f).alias("feature")) for f in card.features))
     )
     return (

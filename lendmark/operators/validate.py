@@ -144,7 +144,9 @@ def curve(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
 
 
 def _curve(counts: DataFrame, p: str) -> DataFrame:
-    return running_totals(counts, p, {"cum_bads": "bads", "cum_goods": "goods"}, descending=True)
+    # only what both the rows and the range sums need, so that they share one exchange
+    steps = counts.select(p, "bads", "goods")
+    return running_totals(steps, p, {"cum_bads": "bads", "cum_goods": "goods"}, descending=True)
 
 
 def curve_points(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
@@ -182,10 +184,10 @@ def pr_auc(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
     steps = curve(df, target, p)
     hits, seen = F.col("cum_bads"), F.col("cum_bads") + F.col("cum_goods")
     now = F.try_divide(hits, seen)
-    before = F.coalesce(F.try_divide(hits - F.col("bads"), seen - F.col("total")), F.lit(1.0))
+    before = F.coalesce(F.try_divide(hits - F.col("bads"), seen - F.col("bads") - F.col("goods")), F.lit(1.0))
     return steps.agg(
         F.try_divide(F.sum(F.col("bads") * (now + before) / 2.0), F.sum("bads")).alias("pr_auc"),
-        F.try_divide(F.sum("bads"), F.sum("total")).alias("prior_rate"),
+        F.try_divide(F.sum("bads"), F.sum(F.col("bads") + F.col("goods"))).alias("prior_rate"),
     )
 
 
