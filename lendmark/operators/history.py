@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmark.operators.ordered import HOT_ROWS, SLICE, neighbour, slice_timelines
 
@@ -32,19 +33,21 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str])
     return target.join(fresh.select(key), key, "left_anti").select(*target.columns).unionByName(fresh)
 
 
-def high_water_mark(target: DataFrame | None, ts: str):
-    """Largest loaded timestamp, or None when nothing is loaded."""
-    return None if target is None else target.agg(F.max(ts)).first()[0]
+def high_water_mark(target: DataFrame | None, ts: str) -> str | None:
+    """Largest loaded timestamp as text in session time, None when nothing is loaded."""
+    return None if target is None else target.agg(F.max(ts).cast("string")).first()[0]
 
 
 def newer_than(df: DataFrame, ts: str, target: DataFrame | None, target_ts: str | None = None) -> DataFrame:
     """Rows strictly newer than the target's newest row (1970 for an empty target).
 
-    The mark is a literal, so the filter reaches the file scan.
+    The mark becomes a literal, so the filter reaches the file scan.
     """
     mark = high_water_mark(target, target_ts or ts)
-    default = F.lit("1970-01-01").cast("timestamp")
-    return df.filter(F.col(ts) > (default if mark is None else F.lit(mark)))
+    dtype = df.schema[ts].dataType
+    if mark is None and not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df.filter(F.col(ts).isNotNull())
+    return df.filter(F.col(ts) > F.lit("1970-01-01" if mark is None else mark).cast(dtype))
 
 
 def load_increment(landing: DataFrame, target: DataFrame | None, key: str, ts: str) -> DataFrame:
