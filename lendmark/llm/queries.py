@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmark.llm import bpe, packing, token_counts
+from lendmark.llm import bpe, packing, pii, quality, token_counts
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -18,6 +18,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.fit(pii.labelled_sample(docs)))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -31,6 +45,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_personal_data": op2_personal_data,
     "op5_token_counts": op5_token_counts,
     "op7_bpe_codec": op7_bpe_codec,
     "op10_best_fit_packing": op10_best_fit_packing,
