@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmark.llm import bpe, packing, pii, quality, token_counts
+from lendmark.llm import bpe, near_dups, packing, pii, quality, token_counts
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.find(documents(spark, sf_dir))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op5_token_counts": op5_token_counts,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
