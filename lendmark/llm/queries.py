@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmark.llm import bpe, near_dups, packing, pii, quality, token_counts
+from lendmark.llm import bpe, near_dups, packing, pii, quality, substrings, token_counts
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(pii.labelled_sample(docs)))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -51,6 +55,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_personal_data": op2_personal_data,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_near_duplicates": op8_near_duplicates,
