@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmark.llm import bpe, near_dups, packing, pii, quality, substrings, token_counts
+from lendmark.llm import bpe, lattice, near_dups, packing, pii, quality, substrings, token_counts
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -48,6 +48,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.find(documents(spark, sf_dir))
 
 
+def op9_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

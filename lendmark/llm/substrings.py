@@ -255,7 +255,7 @@ def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
     return found.groupBy("doc_id", "tag").agg(*flat)  # no more than a document's own windows
 
 
-def _keys(documents: DataFrame, id_column: str, text_column: str) -> list:
+def keyed(documents: DataFrame, id_column: str, text_column: str) -> list:
     """Id and tag that tell documents apart: rows without an id come last, rows of one id by their tag."""
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     return [
@@ -297,7 +297,7 @@ def removal_digests(
     and rows of one id are ordered by a hash of their text; equal rows are one
     document and get the same result. Other columns are not read.
     """
-    source = documents.select(*_keys(documents, id_column, text_column))
+    source = documents.select(*keyed(documents, id_column, text_column))
     joined = source.join(references(source, width), ["doc_id", "tag"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +324,7 @@ def duplicate_spans(
     documents: DataFrame, width: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``doc_id, start, length, ref_doc, ref_start`` per factor, in words; edge cases as in ``removal_digests``."""
-    found = references(documents.select(*_keys(documents, id_column, text_column)), width)
+    found = references(documents.select(*keyed(documents, id_column, text_column)), width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,7 +346,7 @@ def without_duplicates(
     documents: DataFrame, width: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """The same rows and columns; a text that loses words becomes its kept words joined by one space."""
-    keys = _keys(documents, id_column, text_column)
+    keys = keyed(documents, id_column, text_column)
     rest = F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != text_column)).alias("rest")
     known = F.col(f"`{text_column}`").isNotNull().alias("known")
     rows = documents.select(*keys, rest, known)
