@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmark.llm import bpe, lattice, near_dups, packing, pii, quality, substrings, token_counts
+from lendmark.llm import bpe, lattice, near_dups, neighbours, packing, pii, quality, substrings, token_counts, top_inner
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,6 +32,16 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(pii.labelled_sample(docs)))
 
 
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return top_inner.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digests(documents(spark, sf_dir))
 
@@ -59,8 +69,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_personal_data": op2_personal_data,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_ball_tree_top_k": op6_ball_tree_top_k,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_lattice_scores": op9_lattice_scores,
