@@ -280,25 +280,15 @@ def _block_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
 UNNAMED = 1 << 62
 
 
-def find(
-    documents: DataFrame, shingle_words: int = 4, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row.
+def _keyed(documents: DataFrame, id_column: str, text_column: str) -> list[Column]:
+    """The id, or for rows without one a number made of the text; and the text."""
+    text = F.col(f"`{text_column}`")
+    unnamed = F.lit(UNNAMED) + F.pmod(F.xxhash64(text), F.lit(UNNAMED))
+    return [F.coalesce(F.col(f"`{id_column}`").cast("long"), unnamed).alias("doc_id"), text.alias("text")]
 
-    A-Z are lower-cased; words are separated by ASCII blanks. Fewer words than
-    ``shingle_words`` are one shingle; a text without words (or null) has none
-    and is linked with nothing. Links need a similarity of 0.8 or more.
-    ``component_id`` is the smallest id reachable, and a row is ``kept`` if it
-    has this id.
 
-    Repeated rows share their fate; rows of one id with different texts are one
-    node that each text may link. A row without an id takes part, but never names
-    a component (null if nobody in it has an id) and is always kept; ids of 2^62
-    and more are reserved for such rows. Other columns are not read.
-    """
-    text = F.col(text_column)
-    unnamed = F.lit(UNNAMED) + F.pmod(F.xxhash64(text), F.lit(UNNAMED))
-    source = documents.select(F.coalesce(F.col(id_column).cast("long"), unnamed).alias("doc_id"), text.alias("text"))
+def _rooted(source: DataFrame, shingle_words: int) -> DataFrame:
+    """``doc_id, n, root`` per row of ``doc_id, text``."""
     rows = kept(sketches(source, shingle_words), "sketches")
     nodes = kept(
         rows.filter("n > 0").groupBy("set_key").agg(
@@ -327,10 +317,47 @@ def find(
     of_set = nodes.select("set_key", "id").join(final.withColumnRenamed("node", "id"), "id", "left")
     of_set = of_set.select("set_key", F.coalesce("root", "id").alias("root"))
     joined = rows.select("doc_id", "n", "set_key").join(of_set, "set_key", "left")
-    root = F.least(F.coalesce("root", "doc_id"), "doc_id")
-    return joined.select(
+    return joined.select("doc_id", "n", F.least(F.coalesce("root", "doc_id"), "doc_id").alias("root"))
+
+
+def find(
+    documents: DataFrame, shingle_words: int = 4, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row.
+
+    A-Z are lower-cased; words are separated by ASCII blanks. Fewer words than
+    ``shingle_words`` are one shingle; a text without words (or null) has none
+    and is linked with nothing. Links need a similarity of 0.8 or more.
+    ``component_id`` is the smallest id reachable, and a row is ``kept`` if it
+    has this id.
+
+    Repeated rows share their fate; rows of one id with different texts are one
+    node that each text may link. A row without an id takes part, but never names
+    a component (null if nobody in it has an id) and is always kept; ids of 2^62
+    and more are reserved for such rows. Other columns are not read.
+    """
+    rooted = _rooted(documents.select(*_keyed(documents, id_column, text_column)), shingle_words)
+    return rooted.select(
         F.when(F.col("doc_id") < UNNAMED, F.col("doc_id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.when(root < UNNAMED, root).alias("component_id"),
-        ((F.col("doc_id") >= UNNAMED) | (root == F.col("doc_id"))).alias("kept"),
+        F.when(F.col("root") < UNNAMED, F.col("root")).alias("component_id"),
+        ((F.col("doc_id") >= UNNAMED) | (F.col("root") == F.col("doc_id"))).alias("kept"),
     )
+
+
+def representatives(
+    documents: DataFrame, shingle_words: int = 5, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, of one document of each group: that of the smallest id.
+
+    Of rows that share an id one stays; rows without an id stand behind all that
+    have one, and of those with equal texts one stays.
+    """
+    key, text = _keyed(documents, id_column, text_column)
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")
+    rooted = kept(_rooted(documents.select(key, text), shingle_words), "rooted")
+    first = rooted.filter("root = doc_id").select("doc_id").distinct()
+    left = documents.select(key, row).join(first, "doc_id", "left_semi")
+    if not rooted.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        left = left.groupBy("doc_id").agg(F.first("row").alias("row"))
+    return left.select(*(F.col(f"row.`{c}`").alias(c) for c in documents.columns))

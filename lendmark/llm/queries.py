@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +78,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+# All pairs that share a shingle, then the closure of the links.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE split AS (SELECT doc_id, {WORDS} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM split),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sets x ON x.doc_id = a.doc_id JOIN sets y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(len(x.s)) + any_value(len(y.s)) - count(*))),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least_of AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+  doc_id <= coalesce(m, doc_id) AS kept
+FROM sets LEFT JOIN least_of ON u = doc_id"""
+
+EXACT_TOP_K = """
+WITH z AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM z q JOIN z c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+placed AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM placed WHERE rank <= 5"""
+
+ORACLES: dict[str, str] = {
+    "op6_ball_tree_top_k": EXACT_TOP_K,
+    "op8_near_duplicates": NEAR_DUPLICATES,
+}
