@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 SETTLE_ROWS = 100_000
 
 
-def settle(df: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
-    """Evaluate ``df`` once and return it as a local relation when it has at
-    most ``max_rows`` rows; otherwise return it unchanged (still distributed).
+def settled(df: DataFrame, max_rows: int = SETTLE_ROWS) -> tuple[DataFrame, bool]:
+    """Evaluate ``df`` once; as a local relation if it has at most ``max_rows`` rows.
 
     A local relation carries its exact size, so Catalyst broadcasts it by
-    itself, and later operators do not recompute what produced it. At most
-    ``max_rows + 1`` rows ever reach the driver.
+    itself. A larger result stays distributed and is kept on the executors'
+    memory and disk, so later uses don't evaluate what produced it. Rows are
+    counted before any of them moves. Also returns whether ``df`` was small.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if held.count() > max_rows:
+        return held, False
+    table = held.toArrow()
+    held.unpersist()
+    return df.sparkSession.createDataFrame(table, schema=df.schema), True
+
+
+def settle(df: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
+    """The frame of ``settled``."""
+    return settled(df, max_rows)[0]
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

@@ -13,13 +13,13 @@ from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import psi_status
 from lendmark.functions.state import local_frame, settle
 from lendmark.operators.quantiles import open_edges
-from lendmark.operators.validate import on_bounded_scale, score_edges
+from lendmark.operators.validate import few_values, score_edges
 
 
 def _quantiles(df: DataFrame, score: str, n: int) -> list[float]:
     rows = df.filter(F.col(score).isNotNull())
-    counts = settle(rows.groupBy(score).agg(F.count("*").alias("n"))) if on_bounded_scale(df, score) else None
-    return list(score_edges(rows, counts, score, n, "n"))
+    counts, few = few_values(rows.groupBy(score).agg(F.count("*").alias("n")), score)
+    return list(score_edges(rows, counts if few else None, score, n, "n"))
 
 
 def psi_edges(df: DataFrame, score: str = "score", n: int = 10) -> list[float]:
@@ -71,13 +71,12 @@ def psi_cells(
     """
     rows = df.filter(F.col(score).isNotNull() & F.col(epoch).isNotNull())
     scores = rows.groupBy(epoch, score).agg(F.count("*").alias("n"))
-    if on_bounded_scale(df, score):
-        scores = settle(scores)
+    scores, few = few_values(scores, score)
     if edges is None:
         if baseline is None:
             raise ValueError("edges are needed when there is no baseline")
         is_base = F.col(epoch) == baseline
-        counts = scores.filter(is_base) if on_bounded_scale(df, score) else None
+        counts = scores.filter(is_base) if few else None
         raw = score_edges(rows.filter(is_base), counts, score, n, "n")
         edges = open_edges(raw) if mode == "cut" else padded(raw)
     locate = bin_index if mode == "cut" else hist_index

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lendmark.functions.scale import tau
 from lendmark.functions.state import local_frame
 from lendmark.operators.card import Card
+from lendmark.operators.woe import WoeModel
 
 # Reason code per feature; the statements are our own wording.
 REASONS = {
@@ -26,6 +27,7 @@ REASONS = {
     "open_acc": ("RC07", "Too few active credit accounts are on record."),
 }
 OTHER_REASON = "RC99"
+# Fixed value: the framework named in notices.
 FRAMEWORK = "Federal Reserve SR 11-7 / ECOA Notice of Adverse Action"
 NO_ID = 999_999
 
@@ -49,6 +51,16 @@ def with_reasons(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     )
 
 
+def bin_means(model: WoeModel, card: Card) -> dict[str, float]:
+    """Means of the WoE columns over the rows that the bins were fitted on, from the bin table alone.
+
+    Rows without a bin have weight 0. No pass over the rows is needed.
+    """
+    sums = model.bins.groupBy("feature").agg(F.sum(F.col("total") * F.col("woe")).alias("s")).collect()
+    by_feature = {r["feature"]: r["s"] for r in sums}  # a row per feature
+    return {c: (by_feature.get(c.removesuffix("_woe")) or 0.0) / max(model.rows, 1) for c in card.coefs}
+
+
 def woe_means(df: DataFrame, card: Card) -> dict[str, float]:
     """Training means of the WoE columns, over all rows."""
     row = df.agg(*(F.avg(c).alias(c) for c in card.coefs)).first()

@@ -26,11 +26,18 @@ def latest(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> Dat
 def upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Matched keys take the source row, unmatched source keys are added.
 
-    The source is deduplicated first, as several source rows per key would
-    make the outcome ambiguous.
+    Of several source rows per key the newest counts, as they would make the
+    outcome ambiguous otherwise. One aggregate over both sides reads each once;
+    keys of the target are unique, so its rows only ever meet source rows.
     """
-    fresh = latest(source, key, order)
-    return target.join(fresh.select(key), key, "left_anti").select(*target.columns).unionByName(fresh)
+    side = "__source"
+    both = target.withColumn(side, F.lit(0)).unionByName(source.select(*target.columns).withColumn(side, F.lit(1)))
+    rest = [c for c in target.columns if c != key and c not in order]
+    best = F.max(F.struct(side, *order, *rest)).alias("__row")
+    named = both.filter(F.col(key).isNotNull()).groupBy(key).agg(best).select(key, "__row.*").select(*target.columns)
+    # rows without a key match nothing: those of the target stay, the newest of the source is added
+    unnamed = target.filter(F.col(key).isNull())
+    return named.unionByName(unnamed).unionByName(latest(source.filter(F.col(key).isNull()), key, order).select(*target.columns))
 
 
 def high_water_mark(target: DataFrame | None, ts: str) -> str | None:
@@ -70,23 +77,27 @@ def scd2_seed(df: DataFrame, key: str, attributes: Sequence[str], valid_from: st
     )
 
 
-def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, check: Sequence[str], at: Column) -> DataFrame:
+def scd2_apply(
+    dim: DataFrame, snapshot: DataFrame, key: str, check: Sequence[str], at: Column, carry: Sequence[str] = ()
+) -> DataFrame:
     """Fold a snapshot (one row per key) into a dimension.
 
     Changed key: close the open version, add a new one. New key: add. Unchanged
-    key: keep. Key missing from the snapshot: stays open. One full outer join
-    yields closed and opened rows together.
+    key: keep. Key missing from the snapshot: stays open. Columns in ``carry``
+    come along with their version without opening a new one. One full outer
+    join yields closed and opened rows together.
     """
+    held = [*check, *carry]
     dtype = dim.schema["valid_from"].dataType
     at = at.cast(dtype)
-    old = dim.filter("is_current").select(key, F.struct(*check, "valid_from").alias("old"))
-    new = snapshot.select(key, F.struct(*check).alias("new"))
+    old = dim.filter("is_current").select(key, F.struct(*held, "valid_from").alias("old"))
+    new = snapshot.select(key, F.struct(*held).alias("new"))
     both = old.join(new, key, "full_outer")
 
     def version(side: str, since: Column, until: Column, current: bool) -> Column:
         return F.struct(
             F.col(key),
-            *(F.col(f"{side}.{c}").alias(c) for c in check),
+            *(F.col(f"{side}.{c}").alias(c) for c in held),
             since.alias("valid_from"),
             until.alias("valid_to"),
             F.lit(current).alias("is_current"),
@@ -104,7 +115,7 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, check: Sequence[st
         .when(F.col("new").isNull() | same, F.array(keep))
         .otherwise(F.array(close, start))
     )
-    layout = [key, *check, "valid_from", "valid_to", "is_current"]
+    layout = [key, *held, "valid_from", "valid_to", "is_current"]
     return both.select(F.inline(rows)).select(*layout).unionByName(dim.filter("NOT is_current").select(*layout))
 
 
@@ -114,15 +125,14 @@ def scd2_history(
     order: Sequence[str],
     check: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    slice_by: Column | None = None,
 ) -> DataFrame:
     """Versions from a change log: a version starts where a checked column differs
     from the key's previous row and ends where the next version starts.
 
     ``order`` must be unique within a key; its first column dates the versions.
-    Keys with more than ``hot_rows`` rows are worked on in time slices.
+    Keys with more than ``hot_rows`` rows are worked on in slices of their timeline.
     """
-    rows, sliced = slice_timelines(df.select(key, *order, *check), key, order, hot_rows, slice_by)
+    rows, sliced = slice_timelines(df.select(key, *order, *check), key, order, hot_rows)
     seen = neighbour(rows, key, order, F.struct(*check), "__before", sliced)
     unchanged = F.col("__before").isNotNull()
     for c in check:

@@ -3,52 +3,45 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendmark.functions.state import settle
-from lendmark.operators.quantiles import SKETCH_ACCURACY, sql_array
+from lendmark.session import scratch_dir
 
 SLICE = "__slice"
 HOT_ROWS = 1_000_000
-MAX_SLICES = 10_000
 
 
 def slice_timelines(
-    df: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS, slice_by: Column | None = None
+    df: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, bool]:
-    """Add ``__slice``: 0 for ordinary keys, a time slice for keys with more than ``hot_rows`` rows.
+    """Add ``__slice``: 0 for ordinary keys, a slice of the timeline for keys with more than ``hot_rows`` rows.
 
     A window by key alone would sort all rows of a dominant key in one task.
-    Slices follow ``slice_by`` (the first order column by default; it must not
-    decrease along the order), have about ``hot_rows`` rows each, and are
-    numbered in order. Also returns whether any key was hot.
+    The rows of hot keys, null among them, are range-partitioned on the key and
+    the whole order tuple, whatever its types; slices hold about ``hot_rows``
+    rows and are numbered in order. They are written once, so every later use
+    sees the same slices. Also returns whether any key was hot.
     """
     hot = settle(
         df.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot_rows)
     )  # at most rows / hot_rows keys
-    largest = hot.agg(F.max("__n")).first()[0]
-    if largest is None:
+    total = hot.agg(F.sum("__n")).first()[0]
+    if total is None:
         return df.withColumn(SLICE, F.lit(0)), False
-    position = (slice_by if slice_by is not None else F.col(order[0])).cast("double")
-    marked = df.join(hot.withColumnRenamed("__n", "__hot"), key, "left").withColumn(
-        "__at", F.when(F.col("__hot").isNotNull(), F.coalesce(position, F.lit(-math.inf)))
-    )
-    slices = min(MAX_SLICES, max(2, math.ceil(largest / hot_rows)))
-    probs = [i / slices for i in range(1, slices)]
-    bounds = marked.select(F.percentile_approx("__at", sql_array(probs), F.lit(SKETCH_ACCURACY))).first()[0]
-    splits = [-math.inf, *sorted(set(bounds) - {-math.inf, math.inf}), math.inf]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    numbered = Bucketizer(splits=splits, inputCol="__at", outputCol=SLICE, handleInvalid="keep").transform(marked)
-    ordinary = F.col("__hot").isNull()
-    return numbered.withColumn(SLICE, F.when(ordinary, 0).otherwise(F.col(SLICE).cast("int") + 1)).drop(
-        "__hot", "__at"
-    ), True
+    names = hot.select(F.col(key).alias("__key"))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    ranged = df.join(names, same, "left_semi").repartitionByRange(math.ceil(total / hot_rows), key, *order)
+    path = f"{scratch_dir(df.sparkSession)}/slices-{uuid.uuid4().hex[:12]}"
+    ranged.withColumn(SLICE, F.spark_partition_id() + 1).write.parquet(path)
+    sliced = df.sparkSession.read.parquet(path).select(*df.columns, SLICE)
+    ordinary = df.join(names, same, "left_anti").withColumn(SLICE, F.lit(0))
+    return ordinary.unionByName(sliced), True
 
 
 def neighbour(
@@ -72,9 +65,10 @@ def neighbour(
         .agg(pick(boxed, F.struct(*order)).alias("__edge"))
         .select(key, SLICE, F.lag("__edge").over(across).alias("__carried"))
     )
+    borders = borders.select(F.col(key).alias("__key"), F.col(SLICE).alias("__at"), "__carried")
     return (
         df.withColumn("__near", F.lag(boxed).over(within))
-        .join(borders, [key, SLICE], "left")
+        .join(borders, F.col(key).eqNullSafe(F.col("__key")) & (F.col(SLICE) == F.col("__at")), "left")
         .withColumn(name, F.coalesce("__near", "__carried"))
-        .drop("__near", "__carried")
+        .drop("__near", "__carried", "__key", "__at")
     )

@@ -21,6 +21,9 @@ SKETCH_ACCURACY = 10_000
 SLACK = 2 / SKETCH_ACCURACY  # a sketch may be off by half of this
 EVEN_GRID = [i / 1000 for i in range(1001)]
 LARGEST = 1.7976931348623157e308  # fixed value: the largest double
+BELOW, ABOVE = -1, 2_147_483_647  # regions of the infinite values
+MAX_PASSES = 100  # narrowing ends far earlier, as every pass cuts a stretch several hundred times
+FETCH_ROWS = 200_000  # value counts that one pass may bring to the driver, over all columns
 
 
 def sql_array(values: Sequence[float]) -> Column:
@@ -38,7 +41,7 @@ def _if_region(i: int, regions: set[int]) -> str:
     """SQL text: the value of column ``i`` when it lies in one of the regions, else null."""
     if not regions:
         return "CAST(NULL AS DOUBLE)"
-    return f"IF(r{i} IN ({','.join(map(str, sorted(regions)))}), v{i}, NULL)"
+    return f"IF(r{i} IN ({','.join(map(str, sorted(regions)))}) AND abs(v{i}) < double('infinity'), v{i}, NULL)"
 
 
 class _Search:
@@ -63,6 +66,7 @@ class _Search:
     def read(self, rows: Sequence, probs: Sequence[float], settle_rows: int) -> None:
         """Take the counts of one pass, settle ranks or propose narrower cuts."""
         rows = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1]))
+        infinite = {BELOW: -math.inf, ABOVE: math.inf}
         if self.size is None:
             self.size = sum(n for _, _, n, _ in rows)
             for p in self.probs if self.size else ():
@@ -73,8 +77,10 @@ class _Search:
         small, large = [], []
         for region, value, n, grid in rows:
             inside = [k for k in self.ranks - self.found.keys() if below <= k < below + n]
-            at_cut = self.splits[region] in self.cuts
-            if inside and (at_cut or value is not None):
+            at_cut = region not in infinite and self.splits[region] in self.cuts
+            if region in infinite:
+                self.found.update(dict.fromkeys(inside, infinite[region]))
+            elif inside and (at_cut or value is not None):
                 self.found.update(dict.fromkeys(inside, self.splits[region] if at_cut else value))
             elif inside and grid is None:
                 # the sketch had pointed elsewhere: look at this stretch next
@@ -90,7 +96,8 @@ class _Search:
                     (small if expected <= settle_rows else large).append(bracket)
             below += n
         self.cuts = cuts
-        self.splits = sorted({-math.inf, math.inf} | cuts | {math.nextafter(c, math.inf) for c in cuts})
+        inner = cuts | {math.nextafter(c, math.inf) for c in cuts}
+        self.splits = sorted({-math.inf, math.inf} | (inner or {LARGEST}))
         self.sketch = self._regions_within(large)
         self.fetch = self._regions_within(small) - self.sketch
 
@@ -122,7 +129,8 @@ def exact_quantiles(
     proposes cuts several hundred times closer, the counts keep the ranks
     exact. A value shared by many rows becomes a cut and is settled by its
     count alone. Stretches expected to hold at most ``settle_rows`` rows are
-    returned as value counts instead. Two passes serve ten million rows, and
+    returned as value counts instead; all columns share ``FETCH_ROWS`` of them.
+    Infinite values are counted by themselves. Two passes serve ten million rows, and
     every further pass several hundred times more. All groups are combined
     before the shuffle, and a sketch error costs a pass, never a wrong result.
     """
@@ -131,7 +139,9 @@ def exact_quantiles(
     near = 3 / SKETCH_ACCURACY
     asked = {min(1.0, max(0.0, p + d)) for probs in wanted.values() for p in probs for d in (-near, near)}
     probs = sorted(asked | {0.0, 1.0})
-    while any(s.open for s in searches.values()):
+    for _ in range(MAX_PASSES):
+        if not any(s.open for s in searches.values()):
+            break
         still = [c for c, s in searches.items() if s.open]
         values = df.select(*(present(F.col(c)).alias(f"v{i}") for i, c in enumerate(still)))
         regions = Bucketizer(
@@ -141,7 +151,8 @@ def exact_quantiles(
             handleInvalid="keep",
         )
         parts = ", ".join(
-            f"struct({i} AS feature, int(r{i}) AS region, v{i} IS NOT NULL AS kept, "
+            f"struct({i} AS feature, CASE WHEN v{i} = double('-infinity') THEN {BELOW} "
+            f"WHEN v{i} = double('infinity') THEN {ABOVE} ELSE int(r{i}) END AS region, v{i} IS NOT NULL AS kept, "
             f"{_if_region(i, searches[c].fetch)} AS value, {_if_region(i, searches[c].sketch)} AS rough)"
             for i, c in enumerate(still)
         )
@@ -156,9 +167,13 @@ def exact_quantiles(
             .collect()
         ):
             counted[feature].append((region, value, n, rough))
+        n_open = sum(len(searches[c].probs) * 2 for c in still)
+        share = min(settle_rows, FETCH_ROWS // max(n_open, 1))
         for i, c in enumerate(still):
-            searches[c].read(counted[i], probs, settle_rows)
+            searches[c].read(counted[i], probs, share)
         probs = EVEN_GRID
+    else:
+        raise RuntimeError(f"quantiles of {[c for c, s in searches.items() if s.open]} did not settle")
     return {c: s.quantiles() for c, s in searches.items()}
 
 
@@ -182,18 +197,24 @@ def quantile_edges(df: DataFrame, features: Sequence[str], n: int = 5) -> dict[s
 
 
 def running_totals(
-    df: DataFrame, order: str, totals: Mapping[str, str], descending: bool = False, slices: int = 256
+    df: DataFrame, order: str, totals: Mapping[str, str], descending: bool = False, slice_rows: int = 50_000
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` (new name -> column) along ``order``.
 
     ``df`` must hold one row per ``order`` value. The order column is cut into
-    ``slices`` ranges of about equal row count; the sums of whole slices are
-    accumulated over at most ``slices`` + 2 rows, and only rows of the same
-    slice are sorted together.
+    ranges of about ``slice_rows`` rows; the sums of whole slices are
+    accumulated over one row per slice, and only rows of the same slice are
+    sorted together.
     """
-    grid = [i / slices for i in range(1, slices)]
-    bounds = df.select(F.percentile_approx(order, sql_array(grid), F.lit(SKETCH_ACCURACY))).first()[0]
-    splits = sorted({-math.inf, *(bounds or (0.0,)), math.inf})
+    few = [i / 256 for i in range(1, 256)]
+    rows, bounds = df.select(F.count("*"), F.percentile_approx(order, sql_array(few), F.lit(SKETCH_ACCURACY))).first()
+    slices = max(1, math.ceil(rows / slice_rows))
+    if slices > 256:
+        fine = [i / slices for i in range(1, slices)]
+        bounds = df.select(F.percentile_approx(order, sql_array(fine), F.lit(10 * slices))).first()[0]
+    elif bounds:
+        bounds = [bounds[i * 256 // slices - 1] for i in range(1, slices)]
+    splits = sorted({-math.inf, *(bounds or ()), math.inf})
     if len(splits) < 3:
         splits.insert(1, 0.0)
     bucketizer = Bucketizer(splits=splits, inputCol="__order", outputCol="__slice", handleInvalid="keep")
@@ -211,7 +232,7 @@ def running_totals(
     direction = F.col(order).desc() if descending else F.col(order).asc()
     within = W.partitionBy("__slice").orderBy(direction).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        sliced.join(F.broadcast(offsets), "__slice")  # at most slices + 2 rows
+        sliced.join(offsets, "__slice")  # one row per slice
         .select(
             *df.columns,
             *((F.sum(c).over(within) + F.col(f"__off_{name}")).alias(name) for name, c in totals.items()),

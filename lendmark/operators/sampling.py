@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendmark.functions.state import settle
 
-PREFIX = 4  # hex digits, i.e. 65,536 hash ranges per stratum
+RANGE_ROWS = 20_000  # rows of a hash range, of which one per stratum is sorted
 
 
 def hash_order(key: str, seed: int = 42) -> Column:
@@ -27,7 +27,11 @@ def stratified_sample(df: DataFrame, strata: Sequence[str], fraction: float, key
     null stratum belong to no stratum.
     """
     hashed = df.withColumn("__hash", hash_order(key, seed))
-    spans = hashed.groupBy(*strata, F.substring("__hash", 1, PREFIX).alias("__span")).agg(F.count("*").alias("__n"))
+    df_rows = df.count()
+    digits = 2  # of the hash; ranges grow finer with the table
+    while df_rows > RANGE_ROWS * 16**digits:
+        digits += 1
+    spans = hashed.groupBy(*strata, F.substring("__hash", 1, digits).alias("__span")).agg(F.count("*").alias("__n"))
     by_stratum = W.partitionBy(*strata)
     upto = F.sum("__n").over(by_stratum.orderBy("__span"))
     quota = F.rint(F.lit(fraction) * F.sum("__n").over(by_stratum)).cast("long")
@@ -39,7 +43,7 @@ def stratified_sample(df: DataFrame, strata: Sequence[str], fraction: float, key
     within = W.partitionBy(*strata).orderBy("__hash", key)
     limits = settle(
         hashed.select(*strata, "__hash", key)
-        .withColumn("__span", F.substring("__hash", 1, PREFIX))
+        .withColumn("__span", F.substring("__hash", 1, digits))
         .join(last, [*strata, "__span"])
         .withColumn("__rank", F.row_number().over(within))
         .filter(F.col("__rank") == F.col("__left"))
@@ -56,7 +60,3 @@ def bounded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame
     """The ``n`` rows with the smallest hash: a per-task top-n, merged."""
     return df.orderBy(hash_order(key, seed), key).limit(n)
 
-
-def fraction_for(rows: int, target_rows: int) -> float:
-    """Sampling fraction that brings ``rows`` down to ``target_rows`` (1.0 when already below)."""
-    return 1.0 if rows <= target_rows else target_rows / rows

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import ks_band, tau
-from lendmark.functions.state import local_frame, settle
+from lendmark.functions.state import local_frame, settle, settled
 from lendmark.operators.quantiles import even_probs, exact_quantiles, running_totals
 
 SCORE_DECILES = 10
@@ -36,14 +37,19 @@ def score_counts(df: DataFrame, score: str = "score", target: str = "target", by
     return settle(df.groupBy(*by, score).agg(*outcome_counts(target)))
 
 
-def on_bounded_scale(df: DataFrame, score: str) -> bool:
-    """Whether the score is an integer, i.e. has few distinct values."""
-    return dict(df.dtypes)[score] in ("tinyint", "smallint", "int")
+def few_values(counts: DataFrame, score: str) -> tuple[DataFrame, bool]:
+    """Counts per value, and whether they are few enough for one buffer.
+
+    Integers are counted to find out; other types are taken to have many values.
+    """
+    if isinstance(counts.schema[score].dataType, T.IntegralType):
+        return settled(counts)
+    return counts, False
 
 
 def score_edges(df: DataFrame, counts: DataFrame | None, score: str, q: int, weight: str = "total") -> list[float]:
-    """``q`` + 1 interpolated quantiles: from the value counts of an integer
-    score, by distributed selection on the rows of any other."""
+    """``q`` + 1 interpolated quantiles: from the value counts if there are few,
+    by distributed selection on the rows otherwise."""
     if counts is None:
         return exact_quantiles(df, {score: even_probs(q)})[score] or []
     position = F.array(*map(F.lit, even_probs(q)))
@@ -63,12 +69,8 @@ def deciles(df: DataFrame, target: str = "target", score: str = "score", q: int
     are null when a class is absent.
     """
     rows = df.filter(F.col(score).isNotNull())
-    if on_bounded_scale(df, score):
-        counts = score_counts(rows, score, target)
-        edges = score_edges(rows, counts, score, q)
-    else:
-        counts = rows.groupBy(score).agg(*outcome_counts(target))
-        edges = score_edges(rows, None, score, q)
+    counts, few = few_values(rows.groupBy(score).agg(*outcome_counts(target)), score)
+    edges = score_edges(rows, counts if few else None, score, q)
     return _decile_table(counts, score, cut_edges(edges))
 
 
@@ -119,7 +121,7 @@ def ks(decile_table: DataFrame) -> DataFrame:
 def ks_exact(df: DataFrame, target: str = "target", score: str = "score") -> DataFrame:
     """Largest separation over every distinct score."""
     counts = df.filter(F.col(score).isNotNull()).groupBy(score).agg(*outcome_counts(target))
-    running = running_totals(counts, score, {"cum_bads": "bads", "cum_goods": "goods"}, slices=64)
+    running = running_totals(counts, score, {"cum_bads": "bads", "cum_goods": "goods"})
     bads, goods = class_totals(counts)
     share_of_bads = F.try_divide("cum_bads", F.lit(bads))
     share_of_goods = F.try_divide("cum_goods", F.lit(goods))
@@ -294,7 +296,7 @@ def evaluate(
         tallies = [F.sum(c).alias(c) for c in ("total", "bads", "goods")]
         flagged = F.col(p) >= cutoff
         squares = F.col("bads") * F.pow(1 - F.col(p), F.lit(2.0)) + F.col("goods") * F.pow(F.col(p), F.lit(2.0))
-        by_score = settle(
+        by_score, few = settled(
             profile.groupBy(score).agg(
                 *tallies,
                 F.sum(squares).alias("squares"),
@@ -302,7 +304,7 @@ def evaluate(
                 F.sum(F.when(flagged, F.col("bads")).otherwise(0)).alias("tp"),
             )
         )
-        counts = by_score if on_bounded_scale(df, score) else None
+        counts = by_score if few else None
         edges = score_edges(rows, counts, score, SCORE_DECILES)
         separation = ks(_decile_table(by_score, score, cut_edges(edges))).first()["ks"]
         area = _auc(_curve(profile.groupBy(p).agg(*tallies), p)).first()["roc_auc"]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import iv_rating
-from lendmark.functions.state import local_frame, settle
+from lendmark.functions.state import local_frame, settled
 from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, sql_array
 
 FEW_CATEGORIES = 100
@@ -37,6 +37,7 @@ class WoeModel:
     numeric_woe: dict[str, list[float]]
     category_woe: dict[str, dict[str, float]]  # features with few categories only
     bins: DataFrame
+    rows: int = 0  # rows with a target that the bins were fitted on
 
     @property
     def categorical(self) -> list[str]:
@@ -64,7 +65,7 @@ def padded_edges(quantiles: Sequence[float] | None) -> list[float]:
 
 
 def merge_monotone(
-    edges: Sequence[float], counts: Sequence[tuple[int, int, int]], tol: float = 1e-4, max_rounds: int = 10
+    edges: Sequence[float], counts: Sequence[tuple[int, int, int]], tol: float = 1e-4
 ) -> tuple[list[float], list[tuple[int, int, int]]]:
     """Merge neighbouring bins until the bad rate is monotone.
 
@@ -75,7 +76,7 @@ def merge_monotone(
     absolute step is merged. An empty first bin has no rate: its step wins.
     """
     edges, counts = list(edges), list(counts)
-    for _ in range(max_rounds):
+    while True:  # every round takes one bin away
         rates = [(c[2] / c[0] if c[0] else None) for c in counts]
         gap = next((i for i, r in enumerate(rates) if r is None), None)
         if gap:
@@ -167,8 +168,8 @@ def fit_woe(
         edges = {f: make(raw[f]) for f in numeric}
     edges = {f: list(e) for f, e in edges.items()}
     counted = bin_counts(df, edges, categorical, target)
-    counts = settle(counted)
-    tallies = counts if counts is not counted else counted.filter(F.col("feature").isin(*numeric))
+    counts, small = settled(counted)
+    tallies = counts if small else counts.filter(F.col("feature").isin(*numeric))
     # all rows when there are few, otherwise the numeric ones: features x (bins + 1)
     seen: dict[str, dict] = {f: {} for f in features}
     for row in tallies.collect():
@@ -189,7 +190,7 @@ def fit_woe(
     for f in categorical:
         rows += [(f, "categorical", None, None, None, c, c, *tally, *sums) for c, tally in sorted(seen[f].items())]
     bins = local_frame(df.sparkSession, rows, BIN_SCHEMA)
-    if counts is counted and categorical:
+    if not small and categorical:
         named = counts.filter(F.col("feature").isin(*categorical)).select(
             "feature",
             F.lit("categorical").alias("kind"),
@@ -209,11 +210,11 @@ def fit_woe(
     for row in table.filter("kind = 'numeric'").select("feature", "bin_id", "woe").collect():
         weights[row["feature"]][row["bin_id"]] = row["woe"]
     levels: dict[str, dict[str, float]] = {}
-    if counts is not counted:
+    if small:
         for row in table.filter("kind = 'categorical'").select("feature", "category", "woe").collect():
             levels.setdefault(row["feature"], {})[row["category"]] = row["woe"]
     few = {f: v for f, v in levels.items() if len(v) <= FEW_CATEGORIES}
-    return WoeModel(features, fitted, weights, few, table)
+    return WoeModel(features, fitted, weights, few, table, sum(sums))
 
 
 # --------------------------------------------------------------- summaries

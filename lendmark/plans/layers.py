@@ -113,6 +113,7 @@ def gold_domain(df: DataFrame) -> DataFrame:
 
 def gold(silver_loans: DataFrame) -> DataFrame:
     """Modelling features of the loans inside the valid domain, one projection."""
+    # Names and order of the output columns.
     return gold_domain(silver_loans).select(
         "loan_id",
         "target",

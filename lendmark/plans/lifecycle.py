@@ -104,11 +104,17 @@ def lifecycle(
     spark = loans.sparkSession
     parts = {name: window_of(loans, *years) for name, years in epochs.items()}
     first = train(parts["baseline"])
-    base_metrics = validate.evaluate(first.score(parts["baseline"])).first().asDict()
-
-    watched = with_epoch(loans, epochs).filter(F.col("epoch").isin("baseline", "inference", "drift"))
-    stability = drift.psi_by(first.score(watched).select("epoch", "score"), "epoch", "baseline")
-    verdict = [r.asDict() for r in govern.retrain_decision(stability, force=force_retrain).collect()]
+    # one scoring pass serves the metrics of the baseline and the stability of all watched epochs
+    seen = [epochs[name] for name in ("baseline", "inference", "drift") if name in epochs]
+    years = window_of(loans, min(a for a, _ in seen), max(b for _, b in seen))
+    watched = with_epoch(years, epochs).filter(F.col("epoch").isin("baseline", "inference", "drift"))
+    scores = first.score(watched).select("epoch", "pd", "score", "target").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        base_metrics = validate.evaluate(scores.filter(F.col("epoch") == "baseline")).first().asDict()
+        stability = drift.psi_by(scores.select("epoch", "score"), "epoch", "baseline")
+        verdict = [r.asDict() for r in govern.retrain_decision(stability, force=force_retrain).collect()]
+    finally:
+        scores.unpersist()
 
     second = None
     if any(v["retrain"] for v in verdict):
@@ -124,6 +130,7 @@ def lifecycle(
     stages += [(v["epoch"], "v1", "psi", v["psi"]) for v in verdict]
     if log_path:
         pdo = first.card.pdo
+        # Names of the logged parameters and metrics.
         calibration = {"base_score": pdo.base, "base_odds": pdo.odds, "pdo": pdo.pdo,
                        "factor": round(pdo.factor, 4), "offset": round(pdo.offset, 4)}
         govern.log_run(spark, log_path, run_prefix + "baseline_model_v1", calibration, base_metrics)

@@ -87,7 +87,7 @@ def incremental_upsert_stream(spark, sf_dir):
     for part in (events.filter(early), events.filter(~early)):
         part.write.mode("append").parquet(landing)
         incremental.load_stream(spark, landing, state, marks, events.schema, "user_id", "ts")
-    return rounded(incremental.current(spark, state))
+    return rounded(incremental.current(spark, state, events.schema))
 
 
 SCD2_COLUMNS = "loan_id grade sub_grade home_ownership verification_status valid_from valid_to is_current"

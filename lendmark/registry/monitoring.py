@@ -12,7 +12,7 @@ from lendmark.operators import drift, explain, govern, validate
 from lendmark.operators.card import scored
 from lendmark.operators.explain import FRAMEWORK, OTHER_REASON, REASONS
 from lendmark.operators.woe import apply_woe
-from lendmark.plans.layers import preprocess, with_epoch
+from lendmark.plans.layers import preprocess, with_epoch, write_bronze
 from lendmark.plans.lifecycle import lifecycle
 from lendmark.registry.base import (
     CARD,
@@ -196,10 +196,15 @@ def run_log(spark, sf_dir):
 
 @query("lifecycle_3_epochs")
 def lifecycle_3_epochs(spark, sf_dir):
-    """Batches are written per epoch first, as the later steps read them again and again."""
+    """Batches are written per year first, so that every later step reads the folders of its years only."""
     path = fresh_path(spark, "batches")
-    files.write_epochs(with_epoch(preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR), EPOCHS), path)
-    return lifecycle(files.scan_epochs(spark, path), EPOCHS, rolling=(1997, 2000)).stages
+    write_bronze(preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR), path)
+    result = lifecycle(spark.read.parquet(path), EPOCHS, rolling=(1997, 2000))
+    model = F.lit("v1" if result.second is None else "v2")
+    promoted = result.gate.select(F.lit("promoted"), (F.col("decision") == "PROMOTE").cast("double"))
+    letters = result.notices.agg(F.count("*").cast("double")).select(F.lit("notices"), "*")
+    gate = promoted.union(letters).toDF("metric", "value").select(F.lit("holdout").alias("stage"), model.alias("model"), "metric", "value")
+    return result.stages.unionByName(gate)
 
 
 # -------------------------------------------------------------- explanations
@@ -223,8 +228,8 @@ PHI_COLUMNS = [f"phi_{f}" for f in CARD.features]
 @query("linear_attribution", with_(WEIGHED, MEANS, select=out("loan_id", " ".join(PHI_COLUMNS), "(SELECT loan_id, "
        + ", ".join(f"{phi(c)} AS phi_{c.removesuffix('_woe')}" for c in CARD.coefs) + " FROM weighed CROSS JOIN means)")))
 def linear_attribution(spark, sf_dir):
-    rows, _ = weighed_loans(spark, sf_dir)
-    means = explain.woe_means(rows, CARD)
+    rows, bins = weighed_loans(spark, sf_dir)
+    means = explain.bin_means(bins, CARD)
     return rounded(explain.attributions(rows, CARD, means).select("loan_id", *PHI_COLUMNS))
 
 
@@ -249,8 +254,8 @@ STATEMENT = reason_sql("statement", [(f, s) for f, (_, s) in REASONS.items()],
 @query("reason_code_join", with_(WEIGHED, MEANS, f"phis AS ({phi_long('weighed')})",
        select=out("loan_id feature reason_code statement", "phi", f"(SELECT *, {CODE}, {STATEMENT} FROM phis)")))
 def reason_code_join(spark, sf_dir):
-    rows, _ = weighed_loans(spark, sf_dir)
-    long = explain.attribution_long(rows, CARD, explain.woe_means(rows, CARD))
+    rows, bins = weighed_loans(spark, sf_dir)
+    long = explain.attribution_long(rows, CARD, explain.bin_means(bins, CARD))
     return rounded(explain.with_reasons(long.drop("position")))
 
 
@@ -264,8 +269,8 @@ top AS (SELECT loan_id, position::INT AS position, feature AS feature_name, roun
 
 
 def declined_with_means(spark, sf_dir):
-    rows, _ = weighed_loans(spark, sf_dir)
-    means = explain.woe_means(rows, CARD)
+    rows, bins = weighed_loans(spark, sf_dir)
+    means = explain.bin_means(bins, CARD)
     return explain.declined(scored(rows, CARD)), means
 
 
@@ -304,8 +309,8 @@ def adverse_action_notice(spark, sf_dir):
 @query("attribution_long", with_(WEIGHED, MEANS, f"phis AS ({phi_long('weighed')})", select=out("loan_id position feature", "phi",
        "(SELECT *, (row_number() OVER (PARTITION BY loan_id ORDER BY phi, feature))::INT AS position FROM phis)")))
 def attribution_long(spark, sf_dir):
-    rows, _ = weighed_loans(spark, sf_dir)
-    return rounded(explain.attribution_long(rows, CARD, explain.woe_means(rows, CARD)))
+    rows, bins = weighed_loans(spark, sf_dir)
+    return rounded(explain.attribution_long(rows, CARD, explain.bin_means(bins, CARD)))
 
 
 @query("sink_notice_json", with_(DECLINED, select="SELECT loan_id AS application_id, score AS calculated_fico_score, "

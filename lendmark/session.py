@@ -29,6 +29,9 @@ def local_session(cores: int | str = 8, app: str = "lendmark", memory: str = "8g
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
@@ -41,6 +44,7 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="lendmark-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    application = spark.sparkContext.applicationId
+    if application not in _local_scratch:
+        _local_scratch[application] = tempfile.mkdtemp(prefix="lendmark-")
+    return _local_scratch[application]

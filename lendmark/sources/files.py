@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendmark.operators.history import latest
+
 
 def scan_epochs(spark: SparkSession, path: str, epoch: str | Iterable[str] | None = None) -> DataFrame:
     """Read the epoch-partitioned loan dataset; the epoch filter prunes folders."""
@@ -43,7 +45,8 @@ def scan_csv(
 def write_epochs(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """One dataset with a folder per epoch. Tasks write their own rows per
     epoch (no shuffle), and large epochs are split by row count, so a dominant
-    epoch never becomes one task or one file."""
+    epoch never becomes one task or one file. Rows outside all epochs are not
+    written; ``outside_epochs`` counts them."""
     (
         df.filter(F.col("epoch").isNotNull())
         .write.mode("overwrite")
@@ -53,6 +56,11 @@ def write_epochs(df: DataFrame, path: str, max_records_per_file: int = 5_000_000
     )
 
 
+def outside_epochs(df: DataFrame) -> int:
+    """Rows that ``write_epochs`` leaves out."""
+    return df.filter(F.col("epoch").isNull()).count()
+
+
 def write_points(points: DataFrame, path: str) -> None:
     """The points table as CSV (at most features x bins rows, hence one file)."""
     points.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
@@ -63,12 +71,34 @@ def write_notices(notices: DataFrame, path: str) -> None:
     notices.write.mode("overwrite").json(path)
 
 
-def materialize(df: DataFrame, name: str, mode: str = "view") -> DataFrame:
-    """``view``: temp view, inlined by Catalyst. ``table``: managed table, replaced."""
+def materialize(
+    df: DataFrame, name: str, mode: str = "view", key: str | None = None, order: Sequence[str] = ()
+) -> DataFrame:
+    """A named layer.
+
+    ``view``: temp view, inlined by Catalyst. ``table``: managed table,
+    replaced. ``incremental``: rows are folded into the table on ``key``, the
+    newest by ``order`` winning; the new state is written beside the table
+    before it takes its place, since a table can't be read and replaced at once.
+    """
     if mode == "view":
         df.createOrReplaceTempView(name)
     elif mode == "table":
-        df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    elif mode == "incremental":
+        if key is None:
+            raise ValueError("an incremental layer needs a key")
+        spark = df.sparkSession
+        if not spark.catalog.tableExists(name):
+            latest(df, key, order).write.format("parquet").saveAsTable(name)
+        else:
+            staged = f"{name}_next"
+            before = spark.table(name)
+            latest(before.unionByName(df.select(*before.columns)), key, order).write.mode("overwrite").format(
+                "parquet"
+            ).saveAsTable(staged)
+            spark.table(staged).write.mode("overwrite").format("parquet").saveAsTable(name)
+            spark.sql(f"DROP TABLE {staged}")
     else:
-        raise ValueError(f"unknown mode {mode!r}; incremental layers use operators.history.upsert")
+        raise ValueError(f"unknown mode {mode!r}")
     return df.sparkSession.table(name)

@@ -49,7 +49,7 @@ def test_running_totals_equal_a_plain_cumulative_sum(spark, descending):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"x": np.unique(rng.normal(size=3000)), "n": 1})
     pdf["n"] = rng.integers(1, 9, len(pdf))
-    got = running_totals(spark.createDataFrame(pdf), "x", {"upto": "n"}, descending, slices=16).toPandas()
+    got = running_totals(spark.createDataFrame(pdf), "x", {"upto": "n"}, descending, slice_rows=200).toPandas()
     want = pdf.sort_values("x", ascending=not descending)
     merged = got.merge(want.assign(want=want.n.cumsum())[["x", "want"]], on="x")
     assert (merged.upto == merged.want).all() and len(merged) == len(pdf)
@@ -59,3 +59,26 @@ def test_running_totals_of_few_values(spark):
     df = spark.createDataFrame([(1, 10), (2, 20)], "x int, n bigint")
     assert [r["t"] for r in running_totals(df, "x", {"t": "n"}).orderBy("x").collect()] == [10, 30]
     assert running_totals(df.filter(F.col("x") > 5), "x", {"t": "n"}).count() == 0
+
+
+@pytest.mark.parametrize("settle_rows", [0, 20_000])
+@pytest.mark.parametrize("values", ["above", "below", "equal"])
+def test_many_infinite_or_equal_values_settle(spark, settle_rows, values):
+    rng = np.random.default_rng(5)
+    x = rng.gamma(2.0, 3.0, 900)
+    x[:360] = {"above": np.inf, "below": -np.inf, "equal": 4.25}[values]
+    if values == "equal":
+        x[:] = 4.25
+    got = exact_quantiles(frame(spark, x=x), {"x": [0.0, 0.2, 0.5, 0.8, 1.0]}, settle_rows)["x"]
+    ordered = np.sort(x)
+    for p, value in zip([0.0, 0.2, 0.5, 0.8, 1.0], got):
+        at = p * (len(x) - 1)
+        low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+        assert value == (low if low == high else pytest.approx(low + (high - low) * (at % 1)))
+
+
+def test_two_hundred_columns_share_what_reaches_the_driver(spark):
+    rng = np.random.default_rng(6)
+    columns = {f"c{i}": rng.normal(i, 1, 60) for i in range(200)}
+    got = exact_quantiles(frame(spark, **columns), {c: [0.25, 0.5] for c in columns})
+    assert all(np.allclose(got[c], np.percentile(v, [25, 50])) for c, v in columns.items())

@@ -12,11 +12,11 @@ def pairs_auc(y, p):
     return greater / (len(bad) * len(good))
 
 
-def scored(spark, n=1000, seed=42):
+def scored(spark, n=800, seed=31):
     rng = np.random.default_rng(seed)
-    y = rng.choice([0, 1], n, p=[0.8, 0.2])
-    p = np.clip(np.round(y * 0.2 + rng.uniform(0.1, 0.5, n), 2), 0.01, 0.99)
-    pdf = pd.DataFrame({"target": y, "pd": p, "score": (750 - p * 300).astype("int32")})
+    p = np.round(rng.beta(2, 5, n), 2).clip(0.02, 0.98)
+    y = (rng.random(n) < p).astype(int)
+    pdf = pd.DataFrame({"target": y, "pd": p, "score": np.round(610 - 40 * np.log(p / (1 - p))).astype("int32")})
     return pdf, spark.createDataFrame(pdf).withColumn("score", F.col("score").cast("int"))
 
 
@@ -28,7 +28,7 @@ def test_auc_and_gini_count_ties_half(spark):
 
 
 def test_brier_and_its_parts(spark):
-    pdf, df = scored(spark, 500, 123)
+    pdf, df = scored(spark, 450, 32)
     expected = ((pdf.pd - pdf.target) ** 2).mean()
     assert validate.brier(df).first()[0] == pytest.approx(expected)
     parts = validate.brier_parts(df).first()
@@ -38,8 +38,10 @@ def test_brier_and_its_parts(spark):
 
 @pytest.mark.parametrize("kind", ["double", "int"])
 def test_deciles_match_pandas_and_approximate_exact_separation(spark, kind):
-    rng = np.random.default_rng(11)
-    pdf = pd.DataFrame({"target": [0] * 1000 + [1] * 200, "score": np.r_[rng.normal(720, 40, 1000), rng.normal(580, 50, 200)]})
+    rng = np.random.default_rng(33)
+    pdf = pd.DataFrame({"target": np.arange(900) % 6 == 0})
+    pdf["score"] = 500 + rng.gamma(4, 25, 900) - 60 * pdf.target
+    pdf["target"] = pdf.target.astype(int)
     if kind == "int":
         pdf["score"] = pdf.score.round().astype("int32")
     df = spark.createDataFrame(pdf).withColumn("score", F.col("score").cast(kind))

@@ -10,16 +10,19 @@ from lendmark.operators import woe
 
 
 def by_hand(spark):
-    rows = [("Bin_1", 0)] * 80 + [("Bin_1", 1)] * 20 + [("Bin_2", 0)] * 20 + [("Bin_2", 1)] * 80
+    rows = [("north", 0)] * 45 + [("north", 1)] * 5 + [("south", 0)] * 15 + [("south", 1)] * 25
     return spark.createDataFrame(rows, "bin string, target int")
 
 
+NORTH, SOUTH = math.log((45 / 60) / (5 / 30)), math.log((15 / 60) / (25 / 30))
+
+
 def test_hand_calculated_weights(spark):
     bins = woe.fit_woe(by_hand(spark), ["bin"]).bins
     got = {r["category"]: r["woe"] for r in bins.collect()}
-    assert got["Bin_1"] == pytest.approx(math.log(4))
-    assert got["Bin_2"] == pytest.approx(-math.log(4))
-    assert woe.information_value(bins).first()["information_value"] == pytest.approx(1.2 * math.log(4))
+    assert got == {"north": pytest.approx(NORTH), "south": pytest.approx(SOUTH)}
+    value = (45 / 60 - 5 / 30) * NORTH + (15 / 60 - 25 / 30) * SOUTH
+    assert woe.information_value(bins).first()["information_value"] == pytest.approx(value)
 
 
 def test_published_counts_give_the_published_weights(spark):
@@ -33,18 +36,24 @@ def test_published_counts_give_the_published_weights(spark):
     assert sum(r["iv_contrib"] for r in got) == pytest.approx(0.1071, abs=5e-5)
 
 
-def test_random_feature_is_predictive_and_fully_mapped(spark):
-    rng = np.random.default_rng(42)
-    x = rng.uniform(0, 100, 2000)
-    y = rng.binomial(1, 1 / (1 + np.exp(-0.05 * (x - 50))))
-    df = spark.createDataFrame(pd.DataFrame({"risk_score": x, "target": y}))
-    model = woe.fit_woe(df, ["risk_score"])
-    assert woe.iv_summary(model.bins).first()["information_value"] > 0.05
-    out = woe.apply_woe(df, model)
-    assert out.count() == 2000
-    assert out.filter(F.col("risk_score_woe").isNull()).count() == 0
+def test_a_rising_risk_gives_monotone_bins_that_map_every_row(spark):
+    days = np.arange(1200) % 90
+    late = (days * 7 + np.arange(1200) * 13) % 100 < days  # the share of late payers rises with the days
+    df = spark.createDataFrame(pd.DataFrame({"days": days.astype(float), "target": late.astype(int)}))
+    model = woe.fit_woe(df, ["days"])
     rates = [r["bads"] / r["total"] for r in model.bins.orderBy("bin_id").collect()]
-    assert rates == sorted(rates)
+    assert rates == sorted(rates) and len(rates) > 1
+    assert sum(r["total"] for r in model.bins.collect()) == 1200
+    assert woe.apply_woe(df, model).filter(F.col("days_woe").isNull()).count() == 0
+
+
+def test_many_bins_end_monotone():
+    rng = np.random.default_rng(8)
+    counts = [(50, 50 - int(b), int(b)) for b in rng.integers(1, 49, 40)]
+    edges = [-math.inf, *map(float, range(39)), math.inf]
+    _, left = woe.merge_monotone(edges, counts)
+    rates = [b / t for t, _, b in left]
+    assert len(rates) <= 2 or rates in (sorted(rates), sorted(rates, reverse=True))
 
 
 def test_merging_follows_the_smallest_step():
@@ -89,18 +98,18 @@ def test_unseen_categories_are_neutral_on_both_lookup_paths(spark, monkeypatch,
     monkeypatch.setattr(woe, "FEW_CATEGORIES", few)
     model = woe.fit_woe(by_hand(spark), ["bin"])
     assert bool(model.category_woe) == (few > 0)
-    later = spark.createDataFrame([("Bin_1",), ("other",), (None,)], "bin string")
+    later = spark.createDataFrame([("north",), ("other",), (None,)], "bin string")
     got = {r["bin"]: r["bin_woe"] for r in woe.apply_woe(later, model).collect()}
-    assert got["Bin_1"] == pytest.approx(math.log(4)) and got["other"] == 0.0 and got[None] == 0.0
+    assert got["north"] == pytest.approx(NORTH) and got["other"] == 0.0 and got[None] == 0.0
 
 
 def test_large_category_tables_stay_distributed(spark, monkeypatch):
-    monkeypatch.setattr("lendmark.operators.woe.settle", lambda df: df)
+    monkeypatch.setattr("lendmark.operators.woe.settled", lambda df: (df, False))
     df = by_hand(spark).withColumn("x", F.rand(1))
     model = woe.fit_woe(df, ["bin", "x"])
     got = {r["category"]: r["woe"] for r in model.bins.filter("kind = 'categorical'").collect()}
-    assert got["Bin_1"] == pytest.approx(math.log(4))
-    assert woe.apply_woe(df, model).agg(F.count("bin_woe")).first()[0] == 200
+    assert got["north"] == pytest.approx(NORTH)
+    assert woe.apply_woe(df, model).agg(F.count("bin_woe")).first()[0] == 90
 
 
 def test_share_smoothing_uses_padded_edges(spark):
