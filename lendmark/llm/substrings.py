@@ -30,8 +30,8 @@ from lendmark.llm.near_dups import mixed
 from lendmark.llm.text import Parts, chunks, words
 
 WINDOW = 20
-BLOCK_WINDOWS = 3_000_000
-SHARD_BYTES = 16 << 20
+BLOCK_WINDOWS = 600_000
+SHARD_BYTES = 8 << 20
 CHECK_BYTES = 5  # of a window's hash, beside the 8 of its anchor
 LONGEST_RUN = 255
 LAST_ID = (1 << 63) - 1
@@ -58,7 +58,7 @@ def windows(found: Parts, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     hashes = found.hashes
     empty = np.empty(0, np.uint64)
     if len(hashes) < width:
-        return empty, empty, np.empty(0, np.int64), np.empty(0, np.int64)
+        return empty, empty, np.empty(0, np.int32), np.empty(0, np.int32)
     part = np.zeros(len(hashes) - half + 1, dtype=np.uint64)
     for k in range(half):
         part += mixed(hashes[k : k + len(part)] + ODD[k]) * ODD[k]
@@ -71,7 +71,7 @@ def windows(found: Parts, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     rows = found.rows
     valid = rows[:n] == rows[width - 1 :]
     places = np.arange(n) - found.bounds[:-1][rows[:n]]
-    return whole[valid], anchor[valid], rows[:n][valid], places[valid]
+    return whole[valid], anchor[valid], rows[:n][valid].astype(np.int32), places[valid].astype(np.int32)
 
 
 def _flush(buffer: list[tuple[np.ndarray, ...]], docs: np.ndarray, tags: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
@@ -85,7 +85,7 @@ def _flush(buffer: list[tuple[np.ndarray, ...]], docs: np.ndarray, tags: np.ndar
     same[1:] = (docs[by_doc][1:] == docs[by_doc][:-1]) & (tags[by_doc][1:] == tags[by_doc][:-1])
     use = ~same[rank[rows]]
     whole, anchor, rows, places = whole[use], anchor[use], rows[use], places[use]
-    order = np.argsort((rank[rows] << 32) | places, kind="stable")
+    order = np.lexsort((places, rank[rows]))
     whole, anchor, rows, places = whole[order], anchor[order], rows[order], places[order]
 
     by_hash = np.argsort(whole, kind="stable")
@@ -154,7 +154,7 @@ def entries(documents: DataFrame, width: int, shards: int) -> DataFrame:
                 found = windows(words(part.column("text")), width)
                 docs.append(part.column("doc_id").to_numpy(zero_copy_only=False))
                 tags.append(part.column("tag").to_numpy(zero_copy_only=False))
-                buffer.append((found[0], found[1], found[2] + n_rows, found[3]))
+                buffer.append((found[0], found[1], found[2] + np.int32(n_rows), found[3]))
                 n_rows += part.num_rows
                 held += len(found[0])
                 if held >= BLOCK_WINDOWS:
@@ -234,6 +234,8 @@ def factors(places: np.ndarray, ref_docs: np.ndarray, ref_places: np.ndarray, wi
     """
     if not len(places):
         return []
+    places, once = np.unique(places, return_index=True)  # rows that are read twice are answered twice
+    ref_docs, ref_places = ref_docs[once], ref_places[once]
     breaks = np.ones(len(places), dtype=bool)
     breaks[1:] = (places[1:] != places[:-1] + 1) | (ref_docs[1:] != ref_docs[:-1]) | (ref_places[1:] != ref_places[:-1] + 1)
     starts = np.flatnonzero(breaks)
