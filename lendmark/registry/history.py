@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lendmark.operators import history, sampling
 from lendmark.plans.layers import SCD2_CHECK
 from lendmark.registry.base import MODEL_LOANS, fresh_path, model_loans, out, query, rounded, with_
 from lendmark.registry.layers import STAGED, staged
+from lendmark.sources import files
 from lendmark.sources.tables import table
 from lendmark.streaming import incremental
 
@@ -90,6 +93,23 @@ def incremental_upsert_stream(spark, sf_dir):
     return rounded(incremental.current(spark, state, events.schema))
 
 
+@query("materialize_incremental", with_(LATEST_EVENT, select=out("user_id ts event_id event_type", "value",
+       "ranked WHERE rn = 1")))
+def materialize_incremental(spark, sf_dir):
+    """The newest event per user as a named layer that a second run folds more rows into."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    name = f"lendmark_{uuid.uuid4().hex[:12]}"
+    try:
+        for part in (events.filter(~early), events.filter(early), events):
+            files.materialize(part, name, "incremental", "user_id", ["ts"])
+        path = fresh_path(spark, "layer")
+        spark.table(name).write.parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rounded(spark.read.parquet(path))
+
+
 SCD2_COLUMNS = "loan_id grade sub_grade home_ownership verification_status valid_from valid_to is_current"
 
 

@@ -105,17 +105,15 @@ def scan_table(spark, sf_dir):
 
 @query(
     "bronze_ingest",
-    with_(PACKAGE, select="SELECT issue_year, 'batch_1' AS source_batch, count(*) AS loans, count(*) AS stamped "
-          "FROM prepared GROUP BY issue_year"),
+    with_(PACKAGE, select=out("loan_id issue_year source_batch target loan_status stamped", "loan_amnt dti",
+          "(SELECT *, 'batch_1' AS source_batch, true AS stamped FROM prepared)")),
 )
 def bronze_ingest(spark, sf_dir):
     path = fresh_path(spark, "bronze")
     layers.write_bronze(layers.bronze(prepared(spark, sf_dir), "batch_1"), path)
-    return (
-        spark.read.parquet(path)
-        .groupBy("issue_year", "source_batch")
-        .agg(F.count("*").alias("loans"), F.count("bronze_ingest_time").alias("stamped"))
-    )
+    stamped = F.col("bronze_ingest_time").isNotNull().alias("stamped")
+    columns = ["loan_id", "issue_year", "source_batch", "target", "loan_status", stamped, "loan_amnt", "dti"]
+    return rounded(spark.read.parquet(path).select(*columns))
 
 
 @query(

@@ -313,12 +313,22 @@ def attribution_long(spark, sf_dir):
     return rounded(explain.attribution_long(rows, CARD, explain.bin_means(bins, CARD)))
 
 
-@query("sink_notice_json", with_(DECLINED, select="SELECT loan_id AS application_id, score AS calculated_fico_score, "
-       "4 AS reasons FROM declined"))
+@query("sink_notice_json", with_(DECLINED, select="SELECT loan_id AS application_id, score AS calculated_fico_score, position, "
+       "reason_code, feature_name, attribution_impact FROM top JOIN declined USING (loan_id)"))
 def sink_notice_json(spark, sf_dir):
     rows, means = declined_with_means(spark, sf_dir)
     letters = explain.notices(rows, CARD, means)
     path = fresh_path(spark, "notices")
     files.write_notices(letters, path)
     back = spark.read.schema(letters.schema).json(path)
-    return back.select("application_id", "calculated_fico_score", F.size("top_adverse_action_reasons").alias("reasons"))
+    reasons = back.select("application_id", "calculated_fico_score", F.posexplode("top_adverse_action_reasons").alias("at", "r"))
+    return rounded(
+        reasons.select(
+            "application_id",
+            "calculated_fico_score",
+            (F.col("at") + 1).alias("position"),
+            "r.reason_code",
+            "r.feature_name",
+            "r.attribution_impact",
+        )
+    )

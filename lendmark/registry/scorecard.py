@@ -169,13 +169,13 @@ def score_by_points(spark, sf_dir):
     return cards.score_by_points(loans, model, table, CARD).select("loan_id", "points_score")
 
 
-@query("sink_points_csv", with_(CARD_WOE, POINTS, select="SELECT feature, goods, bads, woe, scorecard_points FROM points"))
+@query("sink_points_csv", with_(CARD_WOE, POINTS, select="SELECT feature, coalesce(category, printf('(%.2f, %.2f]', lower, upper)) "
+       "AS bin, goods, bads, woe, scorecard_points FROM points"))
 def sink_points_csv(spark, sf_dir):
     _, model = weighed_loans(spark, sf_dir)
     path = fresh_path(spark, "points")
     table = cards.points(model.bins, CARD).select("feature", "bin", "goods", "bads", "woe", "scorecard_points")
     files.write_points(table, path)
-    back = spark.read.schema(table.schema).csv(path, header=True)
-    return back.select("feature", "goods", "bads", "woe", "scorecard_points")
+    return spark.read.schema(table.schema).csv(path, header=True)
 
 
