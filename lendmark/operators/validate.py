@@ -120,7 +120,7 @@ def ks(decile_table: DataFrame) -> DataFrame:
 
 def ks_exact(df: DataFrame, target: str = "target", score: str = "score") -> DataFrame:
     """Largest separation over every distinct score."""
-    counts = df.filter(F.col(score).isNotNull()).groupBy(score).agg(*outcome_counts(target))
+    counts = value_counts(df.filter(F.col(score).isNotNull()), score, target)
     running = running_totals(counts, score, {"cum_bads": "bads", "cum_goods": "goods"})
     bads, goods = class_totals(counts)
     share_of_bads = F.try_divide("cum_bads", F.lit(bads))
@@ -140,9 +140,14 @@ def class_totals(counts: DataFrame) -> tuple[float, float]:
 # ------------------------------------------------------------------ curves
 
 
+def value_counts(df: DataFrame, p: str, target: str) -> DataFrame:
+    """Outcomes per distinct value, null among them; evaluated once, as curves use them several times."""
+    return settle(df.groupBy(p).agg(*outcome_counts(target)))
+
+
 def curve(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
     """Per distinct probability, from the highest down: own and cumulative counts."""
-    return _curve(df.filter(F.col(p).isNotNull()).groupBy(p).agg(*outcome_counts(target)), p)
+    return _curve(value_counts(df, p, target).filter(F.col(p).isNotNull()), p)
 
 
 def _curve(counts: DataFrame, p: str) -> DataFrame:
@@ -153,8 +158,9 @@ def _curve(counts: DataFrame, p: str) -> DataFrame:
 
 def curve_points(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
     """(threshold, tpr, fpr, precision, recall) of predicting bad at p >= threshold."""
-    steps = curve(df, target, p)
-    bads, goods = class_totals(df.agg(*outcome_counts(target)))
+    counts = value_counts(df, p, target)
+    steps = _curve(counts.filter(F.col(p).isNotNull()), p)
+    bads, goods = class_totals(counts)
     hits, misses = F.col("cum_bads"), F.col("cum_goods")
     return steps.select(
         F.col(p).alias("threshold"),
