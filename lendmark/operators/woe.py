@@ -257,8 +257,8 @@ def map_bins(
 
     Numeric features compare against literal edges, categorical ones with few
     categories look up a literal map, all in one projection. Other categorical
-    features join the (feature, category, value) rows of ``table``. Values
-    without a bin get ``missing``.
+    features join the (feature, category, value) rows of ``table``, except for
+    missing text, which would be one hot key. Values without a bin get ``missing``.
     """
     added, joined = {}, []
     for f in model.features:
@@ -278,9 +278,14 @@ def map_bins(
         named = table.filter(F.col("feature") == f).select(
             F.col("category").alias("__category"), F.col("value").alias("__value")
         )
+        # missing text gets its value here; its rows are spread over keys that match nothing
+        unnamed = named.filter(F.col("__category") == MISSING_TEXT).select("__value").first()
+        spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(1024)).cast("string"))
+        text = F.col(f).cast("string")
+        value = F.when(text.isNull(), F.lit(unnamed["__value"] if unnamed else None)).otherwise(F.col("__value"))
         out = (
-            out.join(named, category_text(F.col(f)) == F.col("__category"), "left")
-            .withColumn(f + suffix, F.coalesce("__value", F.lit(missing)))
+            out.join(named, F.coalesce(text, spread) == F.col("__category"), "left")
+            .withColumn(f + suffix, F.coalesce(value.cast("double"), F.lit(missing)))
             .drop("__category", "__value")
         )
     return out

@@ -119,3 +119,14 @@ def test_share_smoothing_uses_padded_edges(spark):
     assert min(r["pct_bads"] for r in model.bins.collect()) == pytest.approx(1e-6)
     outside = spark.createDataFrame([(500.0,)], "x double")
     assert woe.apply_woe(outside, model).first()["x_woe"] == 0.0
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_missing_text_gets_its_own_weight_on_both_lookup_paths(spark, monkeypatch, few):
+    monkeypatch.setattr(woe, "FEW_CATEGORIES", few)
+    rows = [("a", 0)] * 10 + [("b", 1)] * 5 + [(None, 1)] * 5 + [("nan", 0)]
+    df = spark.createDataFrame(rows, "c string, target int")
+    model = woe.fit_woe(df, ["c"])
+    weight = {r["category"]: r["woe"] for r in model.bins.collect()}
+    got = {r["c"]: r["c_woe"] for r in woe.apply_woe(df, model).distinct().collect()}
+    assert got == {"a": weight["a"], "b": weight["b"], None: weight["nan"], "nan": weight["nan"]}
