@@ -13,7 +13,6 @@ Hamming distance that covers nearly all near pairs of the sample.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -11,7 +11,6 @@ of the rows and is carried from shard to shard within a task.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -74,10 +74,10 @@ def meeting(shards: DataFrame, blocks: DataFrame) -> DataFrame:
     Blocks are dealt to the shards by an equi-join on the shard's number, so a
     task holds one shard and one block at a time.
     """
-    numbers = [r["part"] for r in shards.select("part").collect()]  # one number per SHARD_ROWS rows
+    last = shards.agg(F.max("part")).first()[0]
     names = [F.col(c).alias(f"q_{c}") for c in blocks.columns]
-    sent = blocks.select(*names, F.explode(F.array(*[F.lit(n) for n in numbers])).alias("part")) if numbers else None
-    return shards.join(sent, "part") if sent is not None else None
+    numbers = F.sequence(F.lit(0), F.lit(0 if last is None else last))
+    return shards.join(blocks.select(*names, F.explode(numbers).alias("part")), "part")
 
 
 class Best:
