@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lendmark.llm.bpe import automaton, byte_symbols
 from lendmark.llm.packing import unit_ids
 from lendmark.llm.scratch import kept
-from lendmark.llm.substrings import LAST_ID, keyed
+from lendmark.llm.substrings import LAST_ID
 from lendmark.llm.text import chunks, words
 
 SHARD_BYTES = 48 << 20
@@ -201,13 +201,24 @@ def _packed_words(table: DataFrame, shared, shards: int) -> DataFrame:
 
 # -------------------------------------------------------------------- documents
 
-SUMS = "doc_id long, tag long, n_rows long, n_tokens long, n_known long, base double, score double"
-ENTRIES = "shard int, docs binary, tags binary, rows binary, tokens binary, knowns binary, bases binary, scores binary, " \
+ENTRIES = "shard int, chunk long, docs binary, tokens binary, knowns binary, bases binary, scores binary, " \
     "hashes binary, owners binary, times binary"
+PARTS = "shard int, chunk long, docs binary, tokens binary, knowns binary, bases binary, scores binary, " \
+    "owners binary, known_sums binary, base_sums binary, score_sums binary"
+SUMS = "doc_id long, n_tokens long, n_known long, base double, score double"
+HOME = ("docs", "tokens", "knowns", "bases", "scores")
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
 
 
 def _entries(source: DataFrame, frequent, shards: int) -> DataFrame:
-    """Per chunk and shard: sums that are known already, and the words that the shard has to look up."""
+    """Per chunk of documents and shard: the words that the shard has to look up.
+
+    One of the rows of a chunk also holds its documents and the sums that are
+    known already. A chunk is named by its content.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word = frequent.value
@@ -215,75 +226,80 @@ def _entries(source: DataFrame, frequent, shards: int) -> DataFrame:
             for part in chunks(batch):
                 found = words(part.column("text"), lower=True)
                 texts = found.values.to_pylist()
-                n_rows, n_values = part.num_rows, len(texts)
+                n_values = max(len(texts), 1)
                 known = [of_word.get(t) for t in texts]
                 common = np.array([k is not None for k in known], dtype=bool)
                 table = np.array([k or (0.0, 0.0, 0) for k in known], dtype=np.float64).reshape(-1, 3)
-                sums = [found.sums(np.ascontiguousarray(table[:, k])) for k in range(3)]
-                rare = ~common[found.codes] if n_values else np.empty(0, bool)
-                pairs, times = np.unique(found.rows[rare] * max(n_values, 1) + found.codes[rare], return_counts=True)
-                owner, code = pairs // max(n_values, 1), pairs % max(n_values, 1)
-                lookup = np.zeros(n_values, np.uint64)
+                base, marginal, n_known = (found.sums(np.ascontiguousarray(table[:, k])) for k in range(3))
+                rare = ~common[found.codes] if len(texts) else np.empty(0, bool)
+                pairs, times = np.unique(found.rows[rare] * n_values + found.codes[rare], return_counts=True)
+                lookup = np.zeros(len(texts), np.uint64)
                 lookup[~common] = _hashes([t for t, k in zip(texts, known) if k is None])
-                hashes = lookup[code]
+                hashes, owner = lookup[pairs % n_values], (pairs // n_values).astype(np.uint32)
                 shard = (hashes % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 edges = np.searchsorted(shard[order], np.arange(shards + 1))
-                docs, tags = part.column("doc_id").to_numpy(), part.column("tag").to_numpy().astype(np.uint32)
-                home = np.arange(n_rows) % shards  # the sums of a row leave with one shard's entries
-                out: list[list] = [[] for _ in range(11)]
+                docs = part.column("doc_id").to_numpy()
+                name = xxhash.xxh3_64_intdigest(docs.tobytes() + hashes.tobytes() + base.tobytes()) >> 1
+                home = [v.tobytes() for v in (docs, found.counts, n_known.astype(np.int64), base, marginal)]
+                out: list[list] = [[] for _ in range(10)]
                 for k in range(shards):
-                    mine, own = order[edges[k] : edges[k + 1]], np.flatnonzero(home == k)
-                    if not len(mine) and not len(own):
-                        continue
-                    used, place = np.unique(np.concatenate([owner[mine], own]), return_inverse=True)
-                    here = home[used] == k
-                    values = (
-                        docs[used], tags[used], here.astype(np.int64), found.counts[used] * here,
-                        sums[2][used].astype(np.int64) * here, sums[0][used] * here, sums[1][used] * here,
-                        hashes[mine], place[: len(mine)].astype(np.uint32), times[mine].astype(np.uint32),
-                    )
-                    out[0].append(k)
-                    for column, value in zip(out[1:], values):
-                        column.append(np.ascontiguousarray(value).tobytes())
-                names = [f.split()[0] for f in ENTRIES.split(", ")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], names
-                )
+                    mine = order[edges[k] : edges[k + 1]]
+                    here = k == name % shards
+                    if len(mine) or here:
+                        own = (hashes[mine].tobytes(), owner[mine].tobytes(), times[mine].astype(np.uint32).tobytes())
+                        for column, value in zip(out, (k, name, *(home if here else [b""] * 5), *own)):
+                            column.append(value)
+                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 8]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], _names(ENTRIES))
 
-    return source.select("doc_id", "tag", "text").mapInArrow(run, ENTRIES)
+    return source.select("doc_id", "text").mapInArrow(run, ENTRIES)
 
 
 def _looked_up(entries: pa.Table, table: pa.Table) -> pa.Table:
-    """Partial sums of a shard's entries per chunk and document."""
+    """Sums of a shard's words per chunk and document; a row for each row of entries."""
     parts = table.to_pylist()
-    hashes = np.concatenate([np.frombuffer(p["hashes"], np.uint64) for p in parts] or [np.empty(0, np.uint64)])
-    bases = np.concatenate([np.frombuffer(p["bases"]) for p in parts] or [np.empty(0)])
-    marginals = np.concatenate([np.frombuffer(p["marginals"]) for p in parts] or [np.empty(0)])
-    known = np.concatenate([np.frombuffer(p["known"], np.uint8) for p in parts] or [np.empty(0, np.uint8)])
+    hashes, bases, marginals, known = (
+        np.concatenate([np.frombuffer(p[c], t) for p in parts] or [np.empty(0, t)])
+        for c, t in (("hashes", np.uint64), ("bases", np.float64), ("marginals", np.float64), ("known", np.uint8))
+    )
     order = np.argsort(hashes)
-    hashes, bases, marginals, known = hashes[order], bases[order], marginals[order], known[order]
-    columns: list[list[np.ndarray]] = [[] for _ in range(7)]
-    for row in entries.to_pylist():
-        docs = np.frombuffer(row["docs"], np.int64)
-        owner, times = np.frombuffer(row["owners"], np.uint32), np.frombuffer(row["times"], np.uint32)
+    hashes, bases, marginals, known = hashes[order], bases[order], marginals[order], known[order].astype(np.int64)
+    sums: list[list[bytes]] = [[] for _ in range(4)]
+    for row in entries.select(["hashes", "owners", "times"]).to_pylist():
+        owner, place = np.unique(np.frombuffer(row["owners"], np.uint32), return_inverse=True)
+        times = np.frombuffer(row["times"], np.uint32)
         at = np.searchsorted(hashes, np.frombuffer(row["hashes"], np.uint64))
-        n = len(docs)
-        found = (
-            docs,
-            np.frombuffer(row["tags"], np.uint32).astype(np.int64),
-            np.frombuffer(row["rows"], np.int64),
-            np.frombuffer(row["tokens"], np.int64),
-            np.frombuffer(row["knowns"], np.int64) + np.bincount(owner, times * known[at], n).astype(np.int64),
-            np.frombuffer(row["bases"]) + np.bincount(owner, times * bases[at], n),
-            np.frombuffer(row["scores"]) + np.bincount(owner, times * marginals[at], n),
+        n = len(owner)
+        values = (
+            owner,
+            np.bincount(place, times * known[at], n).astype(np.int64),
+            np.bincount(place, times * bases[at], n),
+            np.bincount(place, times * marginals[at], n),
         )
-        for column, value in zip(columns, found):
-            column.append(value)
-    names = [f.split()[0] for f in SUMS.split(", ")]
-    return pa.table({name: np.concatenate(c) for name, c in zip(names, columns)}) if parts or columns[0] else pa.table(
-        {name: pa.array([], pa.float64() if name in ("base", "score") else pa.int64()) for name in names}
+        for column, value in zip(sums, values):
+            column.append(value.tobytes())
+    kept_columns = {c: entries[c] for c in ("shard", "chunk", *HOME)}
+    added = zip(("owners", "known_sums", "base_sums", "score_sums"), sums)
+    return pa.table(kept_columns | {c: pa.array(v, pa.binary()) for c, v in added})
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Results of the documents of one chunk, and of every further chunk that is equal to it."""
+    rows = table.to_pylist()
+    home = next(r for r in rows if r["docs"])
+    copies = sum(r["shard"] == home["shard"] for r in rows)
+    docs, tokens, known, base, score = (
+        np.frombuffer(home[c], t) for c, t in zip(HOME, (np.int64, np.int64, np.int64, np.float64, np.float64))
     )
+    more = [np.zeros(len(docs)) for _ in range(3)]
+    for row in rows:
+        owner = np.frombuffer(row["owners"], np.uint32)
+        for total, (c, t) in zip(more, (("known_sums", np.int64), ("base_sums", np.float64), ("score_sums", np.float64))):
+            total[owner] += np.frombuffer(row[c], t)
+    known, base, score = (a + m / copies for a, m in zip((known, base, score), more))
+    values = (docs, tokens, np.rint(known).astype(np.int64), base, score)
+    return pa.table({n: np.tile(v, copies) for n, v in zip(_names(SUMS), values)})
 
 
 def score(
@@ -297,9 +313,10 @@ def score(
     alone. Repeated rows and null ids are kept (a null id is learned from);
     other columns are not read. An empty table gives no rows.
     """
-    source = documents.select(*keyed(documents, id_column, text_column))
-    real = F.when(F.col("doc_id") < LAST_ID, F.col("doc_id"))
-    source = source.withColumn("learn", ~held_out(real))
+    key, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`")
+    source = documents.select(
+        F.coalesce(key, F.lit(LAST_ID)).alias("doc_id"), (~held_out(key)).alias("learn"), F.coalesce(text, F.lit("")).alias("text")
+    )
     table = kept(word_counts(source), "words")
     size, n_docs = source.agg(F.sum(F.octet_length("text")), F.count(F.when(F.col("learn"), 1))).first()
     c_all, t_all, distinct = table.agg(F.sum("c"), F.sum("t"), F.count(F.when(F.col("c") > 0, 1))).first()
@@ -316,21 +333,18 @@ def score(
     )
     entries = _entries(source, frequent, shards)
     packed = _packed_words(table.filter(~often), shared, shards)
-    sums = entries.groupBy("shard").cogroup(packed.groupBy("shard")).applyInArrow(_looked_up, SUMS)
-    names = ("n_rows", "n_tokens", "n_known", "base", "score")
-    whole = sums.groupBy("doc_id", "tag").agg(*(F.sum(c).alias(c) for c in names)).filter("n_rows > 0")
+    parts = entries.groupBy("shard").cogroup(packed.groupBy("shard")).applyInArrow(_looked_up, PARTS)
+    sums = parts.groupBy("chunk").applyInArrow(_summed, SUMS)
     end = end_log(tokenizer_path, dict(pieces), n_docs)
-    tokens = F.expr("n_tokens div n_rows") + 1
-    out = whole.select(
-        F.when(F.col("doc_id") < LAST_ID, F.col("doc_id")).alias("doc_id"),
-        "n_rows",
+    doc_id = F.when(F.col("doc_id") < LAST_ID, F.col("doc_id"))
+    tokens = F.col("n_tokens") + 1
+    per_token = float(np.log10(n_train + n_kinds + 1))
+    return sums.select(
+        doc_id.alias("doc_id"),
+        held_out(doc_id).alias("held_out"),
         tokens.alias("n_tokens"),
-        (F.expr("n_known div n_rows") + int(n_docs > 0)).alias("n_known"),
+        (F.col("n_known") + int(n_docs > 0)).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("n_rows") + float(np.log10(n_docs + 1.0)) - tokens * float(np.log10(n_train + n_kinds + 1))).alias("base_score"),
-        (F.col("score") / F.col("n_rows") + end).alias("score"),
-        F.explode(F.expr("sequence(1, n_rows)")),
-    )
-    return out.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        (F.col("base") + float(np.log10(n_docs + 1.0)) - tokens * per_token).alias("base_score"),
+        (F.col("score") + end).alias("score"),
     )
