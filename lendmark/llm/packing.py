@@ -8,6 +8,7 @@ slot of its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -22,8 +23,7 @@ from lendmark.functions.state import local_frame
 from lendmark.llm.scratch import kept
 from lendmark.llm.text import chunks, spread, units
 
-CACHE_ENTRIES = 600_000
-RANK_ROWS = 50_000
+CACHE_ENTRIES = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -153,12 +153,13 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """Adds ``rank``, from 0 within each length, without gathering a length in one task.
 
-    A length with many pieces is dealt into hash buckets of about ``RANK_ROWS``;
-    ranks are counted within a bucket and moved by the sizes of the buckets before it.
+    A length of n pieces is dealt into about sqrt(n) / 4 hash buckets, so that
+    both a bucket and the list of buckets grow with the root of n only; ranks are counted
+    within a bucket and moved by the sizes of the buckets before it.
     """
     spark = pieces.sparkSession
     buckets = local_frame(
-        spark, [(k, -(-n // RANK_ROWS)) for k, n in sorted(counts.items())], "length long, n_buckets long"
+        spark, [(k, 1 + math.isqrt(n) // 4) for k, n in sorted(counts.items())], "length long, n_buckets long"
     )
     dealt = pieces.join(F.broadcast(buckets), "length").withColumn(
         "bucket", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), "n_buckets")

@@ -37,7 +37,7 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-@lru_cache(maxsize=500_000)
+@lru_cache(maxsize=150_000)
 def bucket(word: bytes) -> int:
     """A word of up to four bytes by its lower-case text, a longer one by the kinds of its runs."""
     if len(word) <= 4 and word.isalpha():

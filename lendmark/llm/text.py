@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -65,6 +65,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES)
         stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # workers live on; what a batch took goes back
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

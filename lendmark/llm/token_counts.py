@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lendmark.llm.text import chunks, units
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 
 
 @lru_cache(maxsize=2)
