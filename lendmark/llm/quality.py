@@ -1,9 +1,9 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
-Every word falls into a bucket: a short word by itself, a long one by its shape.
-A bucket's index vector is sparse and random, but fixed. Its word vector is the
-sum of the index vectors of its neighbours in the learning rows: all of them,
-through a table of neighbour counts. A document is the mean vector of its words
+Every word falls into two buckets: one by its lower-cased whole text, one by its
+shape. A bucket's index vector is sparse and random, but fixed. Its word vector is
+the sum of the index vectors of its neighbours of the same kind in the learning
+rows, all of them. A document is the mean vector of its words, that of its shapes,
 and a few figures of repetition. A small network trained in numpy gives a
 logit, and a temperature fitted on rows kept aside makes it a probability.
 """
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from lendmark.llm.text import Parts, chunks, words
 
-BUCKETS = 2048
+WORDS = 1 << 16
+SHAPES = 2048
+BUCKETS = WORDS + SHAPES  # those of the words come first
 DIMENSIONS = 32
 NONZEROS = 4
 WINDOW = 2
@@ -38,62 +40,71 @@ def held_out(id_column: Column) -> Column:
 
 
 @lru_cache(maxsize=150_000)
-def bucket(word: bytes) -> int:
-    """A word of up to four bytes by its lower-case text, a longer one by the kinds of its runs."""
-    if len(word) <= 4 and word.isalpha():
-        key = b"w" + word
-    else:
-        kinds = []
-        for m in RUNS.finditer(word[:256]):
-            c = m[0][0]
-            kinds.append(b"a" if 97 <= c <= 122 or c >= 128 else b"A" if 65 <= c <= 90 else b"9" if 48 <= c <= 57 else m[0][:3])
-        key = b"s" + b"".join(kinds)
-    return xxhash.xxh3_64_intdigest(key) % BUCKETS
+def buckets(word: bytes) -> tuple[int, int]:
+    """Of a word: the bucket of its lower-cased text, and that of the kinds of its runs."""
+    lower = word.lower() if word.isascii() else word.decode("utf-8", "replace").lower().encode("utf-8", "replace")
+    kinds = []
+    for m in RUNS.finditer(word[:256]):
+        c = m[0][0]
+        kinds.append(b"a" if 97 <= c <= 122 or c >= 128 else b"A" if 65 <= c <= 90 else b"9" if 48 <= c <= 57 else m[0][:3])
+    return xxhash.xxh3_64_intdigest(lower) % WORDS, WORDS + xxhash.xxh3_64_intdigest(b"s" + b"".join(kinds)) % SHAPES
+
+
+@lru_cache(maxsize=1)
+def nonzeros() -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the nonzeros of each bucket's index vector."""
+    rng = np.random.default_rng(1)
+    places = rng.random((BUCKETS, DIMENSIONS), dtype=np.float32).argsort(axis=1)[:, :NONZEROS]
+    return np.ascontiguousarray(places), rng.choice([-1.0, 1.0], (BUCKETS, NONZEROS))
 
 
 def index_vectors() -> np.ndarray:
     """Sparse ternary vectors, fixed by the number of the bucket."""
+    places, signs = nonzeros()
     vectors = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32)
-    for b in range(BUCKETS):
-        own = np.random.default_rng(b)
-        vectors[b, own.choice(DIMENSIONS, NONZEROS, replace=False)] = own.choice([-1.0, 1.0], NONZEROS)
+    np.put_along_axis(vectors, places, signs.astype(np.float32), 1)
     return vectors
 
 
-def _buckets(parts: Parts) -> np.ndarray:
-    per_value = np.fromiter(map(bucket, parts.values.to_pylist()), np.int64, len(parts.values))
-    return per_value[parts.codes] if len(per_value) else np.empty(0, np.int64)
+def _buckets(parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of the shapes of all parts."""
+    per_value = np.array([buckets(v) for v in parts.values.to_pylist()], dtype=np.int64).reshape(-1, 2)
+    return per_value[parts.codes, 0], per_value[parts.codes, 1]
 
 
 # --------------------------------------------------------------- word vectors
 
 
-def neighbour_counts(texts: DataFrame) -> DataFrame:
+def neighbour_sums(texts: DataFrame) -> DataFrame:
     """``bucket, vector`` per task: sums of neighbours' index vectors over its rows (column ``text``).
 
-    A task sends at most ``BUCKETS`` short vectors, whatever it reads.
+    A task sends at most ``BUCKETS`` short vectors, whatever it reads. Sums are
+    of whole numbers, so their order doesn't matter.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(BUCKETS * BUCKETS, dtype=np.int64)
-        seen = False
+        places, signs = nonzeros()
+        sums = np.zeros(BUCKETS * DIMENSIONS)
+        used = np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
             for part in chunks(batch):
                 found = words(part.column("text"))
-                codes, rows = _buckets(found), found.rows
-                for step in range(1, WINDOW + 1):
-                    same = rows[step:] == rows[:-step]
-                    keys, n = np.unique((codes[:-step] * BUCKETS + codes[step:])[same], return_counts=True)
-                    pairs[keys] += n
-                seen = True
-        if seen:
-            table = pairs.reshape(BUCKETS, BUCKETS).astype(np.float32)
-            vectors = table @ index_vectors() + table.T @ index_vectors()
-            used = np.flatnonzero(table.any(axis=0) | table.any(axis=1))
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(vectors[used].ravel().astype(np.float64)), DIMENSIONS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), lists.cast(pa.list_(pa.float64()))], ["bucket", "vector"]
-            )
+                rows = found.rows
+                for codes in _buckets(found):
+                    for step in range(1, WINDOW + 1):
+                        same = rows[step:] == rows[:-step]
+                        left, right = codes[:-step][same], codes[step:][same]
+                        for own, other in ((left, right), (right, left)):
+                            used[own] = True
+                            for j in range(NONZEROS):
+                                at = own * DIMENSIONS + places[other, j]
+                                sums += np.bincount(at, signs[other, j], minlength=len(sums))
+        some = np.flatnonzero(used)
+        for start in range(0, len(some), 8192):
+            own = some[start : start + 8192]
+            flat = sums.reshape(BUCKETS, DIMENSIONS)[own].ravel()
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(flat), DIMENSIONS).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), lists], ["bucket", "vector"])
 
     return texts.mapInArrow(count, "bucket int, vector array<double>")
 
@@ -101,32 +112,40 @@ def neighbour_counts(texts: DataFrame) -> DataFrame:
 def word_vectors(texts: DataFrame) -> np.ndarray:
     """Unit word vectors of all buckets; a bucket without neighbours keeps its index vector."""
     sums = [F.sum(F.col("vector")[k]).alias(f"v{k}") for k in range(DIMENSIONS)]
-    rows = neighbour_counts(texts).groupBy("bucket").agg(*sums).collect()  # at most BUCKETS rows
+    rows = neighbour_sums(texts).groupBy("bucket").agg(*sums).toArrow()  # at most BUCKETS rows
     vectors = index_vectors().astype(np.float64)
-    for row in rows:
-        if any(row[1:]):
-            vectors[row["bucket"]] = row[1:]
+    found = np.column_stack([rows[f"v{k}"].to_numpy() for k in range(DIMENSIONS)])
+    some = found.any(axis=1)
+    vectors[rows["bucket"].to_numpy()[some]] = found[some]
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
 # ------------------------------------------------------------------ documents
 
-FIGURES = 7
+FIGURES = 10
+INPUTS = 2 * DIMENSIONS + FIGURES
 
 
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean word vector of each row and figures of repetition; zeros for a row without words."""
+    """Mean vectors of words and shapes of each row and figures of repetition; zeros for a row without words."""
     found = words(column)
-    n_rows, codes, rows, n = len(found.bounds) - 1, _buckets(found), found.rows, found.counts
-    out = np.zeros((n_rows, DIMENSIONS + FIGURES), dtype=np.float32)
-    if not len(codes):
+    n_rows, rows, n = len(found.bounds) - 1, found.rows, found.counts
+    out = np.zeros((n_rows, INPUTS), dtype=np.float32)
+    if not len(rows):
         return out
     some = np.flatnonzero(n)
-    keys, times = np.unique(rows * BUCKETS + codes, return_counts=True)
-    row_of, share = keys // BUCKETS, times / n[keys // BUCKETS]
-    starts = np.searchsorted(row_of, some)
-    weighed = vectors[keys % BUCKETS] * share[:, None].astype(np.float32)
-    out[some, :DIMENSIONS] = np.add.reduceat(weighed, starts, axis=0)
+    figures = out[:, 2 * DIMENSIONS :]
+    for k, codes in enumerate(_buckets(found)):
+        keys, times = np.unique(rows * BUCKETS + codes, return_counts=True)
+        row_of, share = keys // BUCKETS, times / n[keys // BUCKETS]
+        starts = np.searchsorted(row_of, some)
+        weighed = vectors[keys % BUCKETS]
+        weighed *= share[:, None].astype(np.float32)
+        means = np.add.reduceat(weighed, starts, axis=0)
+        out[some, k * DIMENSIONS : (k + 1) * DIMENSIONS] = means
+        figures[some, 4 + 3 * k] = np.linalg.norm(means, axis=1)
+        figures[some, 5 + 3 * k] = np.maximum.reduceat(share, starts)
+        figures[some, 6 + 3 * k] = np.add.reduceat(share * share, starts)
     pairs = np.unique(rows.astype(np.int64) * len(found.values) + found.codes)
     distinct = np.bincount(pairs // len(found.values), minlength=n_rows)
     same_row = rows[1:] == rows[:-1]
@@ -134,14 +153,10 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     sizes = np.fromiter(map(len, found.values.to_pylist()), np.int64, len(found.values))
     size = found.sums(sizes)
     n1 = np.maximum(n, 1)
-    figures = out[:, DIMENSIONS:]
     figures[:, 0] = np.log1p(n)
-    figures[:, 1] = np.linalg.norm(out[:, :DIMENSIONS], axis=1)
-    figures[:, 2] = distinct / n1
-    figures[:, 3] = again / n1
-    figures[:, 4] = size / n1
-    figures[some, 5] = np.maximum.reduceat(share, starts)
-    figures[some, 6] = np.add.reduceat(share * share, starts)
+    figures[:, 1] = distinct / n1
+    figures[:, 2] = again / n1
+    figures[:, 3] = size / n1
     return out
 
 
@@ -251,7 +266,7 @@ def fit(
     joined = source.join(F.broadcast(chosen), "doc_id")  # 2 * max_labelled short rows at most
     rows = joined.select("doc_id", "y", "text").mapInArrow(measure, "doc_id long, y int, x array<double>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, DIMENSIONS + FIGURES)
+    x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, INPUTS)
     return QualityModel(vectors, train(x, rows["y"].to_numpy().astype(np.float64)))
 
 

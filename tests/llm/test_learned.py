@@ -127,6 +127,24 @@ def test_quality_of_odd_rows(spark, docs):
     assert quality.accepted(docs(rows), model).columns == docs([]).columns
 
 
+def sorted_by_words(spark, good, bad, per_text):
+    """Mean scores of held-out good and bad texts, whose words differ and whose shapes don't."""
+    rng = random.Random(3)
+    rows = [(i, per_text(rng, good if i % 2 else bad)) for i in range(600)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = [r for r in quality.score(documents, quality.fit(documents, labels)).collect() if r["held_out"]]
+    return [np.mean([r["score"] for r in got if r["doc_id"] % 2 == y]) for y in (1, 0)]
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghijklm", "äöüßéèñåøçêîô"])
+def test_long_and_other_words_keep_their_identity(spark, alphabet):
+    rng = random.Random(2)
+    made = ["".join(rng.choices(alphabet, k=8)) for _ in range(80)]
+    good, bad = sorted_by_words(spark, made[:40], made[40:], lambda r, own: " ".join(r.choices(own, k=40)))
+    assert good > 0.9 and bad < 0.1
+
+
 def brute_lattice(rows):
     from tokenizers import Tokenizer
 
