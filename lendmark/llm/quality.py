@@ -1,7 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
 Every word falls into two buckets: one by its lower-cased whole text, one by its
-shape. A bucket's index vector is sparse and random, but fixed. Its word vector is
+shape. What has more than 64 bytes without a blank counts as several words, so
+texts without blanks take part whole. A bucket's index vector is sparse and random, but fixed. Its word vector is
 the sum of the index vectors of its neighbours of the same kind in the learning
 rows, all of them. A document is the mean vector of its words, that of its shapes,
 and a few figures of repetition. A small network trained in numpy gives a
@@ -44,7 +45,7 @@ def buckets(word: bytes) -> tuple[int, int]:
     """Of a word: the bucket of its lower-cased text, and that of the kinds of its runs."""
     lower = word.lower() if word.isascii() else word.decode("utf-8", "replace").lower().encode("utf-8", "replace")
     kinds = []
-    for m in RUNS.finditer(word[:256]):
+    for m in RUNS.finditer(word):
         c = m[0][0]
         kinds.append(b"a" if 97 <= c <= 122 or c >= 128 else b"A" if 65 <= c <= 90 else b"9" if 48 <= c <= 57 else m[0][:3])
     return xxhash.xxh3_64_intdigest(lower) % WORDS, WORDS + xxhash.xxh3_64_intdigest(b"s" + b"".join(kinds)) % SHAPES
@@ -88,7 +89,7 @@ def neighbour_sums(texts: DataFrame) -> DataFrame:
         used = np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
             for part in chunks(batch):
-                found = words(part.column("text"))
+                found = words(part.column("text"), cut=True)
                 rows = found.rows
                 for codes in _buckets(found):
                     for step in range(1, WINDOW + 1):
@@ -128,7 +129,7 @@ INPUTS = 2 * DIMENSIONS + FIGURES
 
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Mean vectors of words and shapes of each row and figures of repetition; zeros for a row without words."""
-    found = words(column)
+    found = words(column, cut=True)
     n_rows, rows, n = len(found.bounds) - 1, found.rows, found.counts
     out = np.zeros((n_rows, INPUTS), dtype=np.float32)
     if not len(rows):

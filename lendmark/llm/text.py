@@ -22,6 +22,8 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+LETTER = np.zeros(256, dtype=bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 @dataclass
@@ -91,8 +93,37 @@ def encoded(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
-def words(column: pa.Array, lower: bool = False) -> Parts:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each row, optionally with A-Z lower-cased."""
+LONGEST = 64
+RUN = 16
+# What a byte is in a long word: a mark by itself, a letter, a digit, or of a character beyond ASCII.
+KIND = np.arange(256, dtype=np.uint8)
+KIND[LETTER] = 1
+KIND[48:58] = 2
+KIND[128:] = 3
+
+
+def _cuts(data: np.ndarray, first: np.ndarray, starts: np.ndarray, inside: np.ndarray) -> None:
+    """Mark in ``first`` where words of more than ``LONGEST`` bytes are cut.
+
+    Cuts lie before characters beyond ASCII, between letters, digits and different
+    marks, and after every ``RUN`` bytes of what is left.
+    """
+    sizes = np.add.reduceat(inside, starts, dtype=np.int64) if len(starts) else np.empty(0, np.int64)
+    for k in np.flatnonzero(sizes > LONGEST):
+        word = data[starts[k] : starts[k] + sizes[k]]
+        kind, cut = KIND[word], (word & 0xC0) == 0xC0
+        cut[0] = True
+        cut[1:] |= kind[1:] != kind[:-1]
+        runs = np.flatnonzero(cut)
+        cut |= (np.arange(len(word)) - np.repeat(runs, np.diff(np.append(runs, len(word))))) % RUN == 0
+        first[starts[k] : starts[k] + sizes[k]] = cut
+
+
+def words(column: pa.Array, lower: bool = False, cut: bool = False) -> Parts:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each row, optionally with A-Z lower-cased.
+
+    With ``cut``, words of more than ``LONGEST`` bytes come as several parts.
+    """
     data, offsets = raw(column)
     if lower:
         data = LOWER[data]
@@ -102,6 +133,9 @@ def words(column: pa.Array, lower: bool = False) -> Parts:
     begins = offsets[:-1][np.diff(offsets) > 0]
     first[begins] = inside[begins]
     starts = np.flatnonzero(first)
+    if cut:
+        _cuts(data, first, starts, inside)
+        starts = np.flatnonzero(first)
     packed = np.cumsum(inside, dtype=np.int32)[starts] - 1
     codes, values = encoded(data[inside], packed)
     return Parts(codes, values, np.searchsorted(starts, offsets))
@@ -110,8 +144,6 @@ def words(column: pa.Array, lower: bool = False) -> Parts:
 # White space beyond the ASCII blanks: a text holding it is cut only after printable ASCII.
 RARE_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
-LETTER = np.zeros(256, dtype=bool)
-LETTER[[*range(65, 91), *range(97, 123)]] = True
 MARK = np.zeros(256, dtype=bool)
 MARK[[b for b in range(0x21, 0x7F) if not LETTER[b] and not 0x30 <= b <= 0x39]] = True
 

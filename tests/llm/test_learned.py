@@ -8,10 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lendmark.llm import lattice, pii, quality
+from lendmark.llm import text as text_parts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SF = "/root/testdata/sf0.01"
@@ -145,6 +147,28 @@ def test_long_and_other_words_keep_their_identity(spark, alphabet):
     assert good > 0.9 and bad < 0.1
 
 
+def test_texts_without_blanks_are_judged_by_all_of_their_bytes(spark):
+    rng = random.Random(4)
+    made = [chr(0x4E00 + rng.randrange(20_000)) for _ in range(60)]
+    shared = "".join(made[::2]) * 10  # more than 256 bytes that tell nothing
+
+    def text(r, own):
+        return shared + "".join(r.choices(own, k=300))
+
+    good, bad = sorted_by_words(spark, made[:30], made[30:], text)
+    assert good > 0.9 and bad < 0.1
+
+
+def test_long_words_are_cut_without_loss():
+    texts = ["short " + "x" * 70 + " é", None, "日本" * 40, "{\"a1\":[" + "1234567890" * 9 + "]}" * 20, "y" * 64]
+    parts = text_parts.words(pa.array(texts), cut=True)
+    values = [parts.values[c].as_py() for c in parts.codes.tolist()]
+    own = [values[a:b] for a, b in zip(parts.bounds, parts.bounds[1:])]
+    assert [b"".join(v).decode() for v in own] == [re.sub(r"\s", "", t or "") for t in texts]
+    assert own[0] == [b"short", *[b"x" * 16] * 4, b"x" * 6, "é".encode()] and own[4] == [b"y" * 64]
+    assert own[2] == ["日".encode(), "本".encode()] * 40 and max(map(len, own[3])) == 16
+
+
 def brute_lattice(rows):
     from tokenizers import Tokenizer
 
