@@ -48,9 +48,10 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def packed(rows: DataFrame, size: int, finish: Callable[[np.ndarray, np.ndarray], dict[str, bytes]] | None = None,
            extra: str = "") -> DataFrame:
-    """``part, ids, vectors`` and what ``finish`` adds: about ``size`` rows in each part, dealt by a hash of the id.
+    """``part, ids, vectors`` and what ``finish`` adds: about ``size`` rows in each part, dealt by a hash of id and vector.
 
-    Equal rows count once. Rows of a part are in order of their ids.
+    Equal rows count once, and before they are dealt; an id with many vectors is
+    spread over the parts. Rows of a part are in order of their ids.
     """
     parts = max(1, -(-rows.count() // size))
 
@@ -64,7 +65,7 @@ def packed(rows: DataFrame, size: int, finish: Callable[[np.ndarray, np.ndarray]
         values = {"ids": ids.tobytes(), "vectors": vectors.tobytes()} | (finish(ids, vectors) if finish else {})
         return pa.table(columns | {k: pa.array([v], pa.binary()) for k, v in values.items()})
 
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+    dealt = rows.distinct().withColumn("part", F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).cast("int"))
     return dealt.groupBy("part").applyInArrow(pack, PACKED + extra)
 
 
@@ -80,8 +81,29 @@ def meeting(shards: DataFrame, blocks: DataFrame) -> DataFrame:
     return shards.join(blocks.select(*names, F.explode(numbers).alias("part")), "part")
 
 
+def _sorted_best(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In order of the ids of each row; of an id all but the smallest value become infinite."""
+    order = np.lexsort((values, ids), axis=1)
+    values, ids = np.take_along_axis(values, order, 1), np.take_along_axis(ids, order, 1)
+    again = np.zeros(ids.shape, dtype=bool)
+    again[:, 1:] = ids[:, 1:] == ids[:, :-1]
+    return np.where(again, np.inf, values), ids
+
+
+def _best_of_each(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id by its smallest value only. ``ids`` are shared by the rows (one row of them), or per row."""
+    if len(ids) > 1:
+        return _sorted_best(values, ids)
+    distinct = np.unique(ids[0])
+    if len(distinct) < ids.shape[1]:
+        order = np.argsort(ids[0], kind="stable")
+        values = np.minimum.reduceat(values[:, order], np.searchsorted(ids[0][order], distinct), axis=1)
+        ids = distinct[None, :]
+    return values, np.broadcast_to(ids, values.shape)
+
+
 class Best:
-    """The k best of each query of a block so far: smallest value first, ties to the smaller id."""
+    """The k best ids of each query of a block so far: smallest value first, ties to the smaller id."""
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries = queries
@@ -94,7 +116,7 @@ class Best:
 
     def take(self, rows: np.ndarray, values: np.ndarray, ids: np.ndarray) -> None:
         """Offer candidates ``ids`` (shared or per row) with their values to some queries; own rows are left out."""
-        ids = np.broadcast_to(ids, values.shape)
+        values, ids = _best_of_each(values, ids)
         values = np.where(ids == self.queries[rows][:, None], np.inf, values)
         better = (values <= self.limit[rows][:, None]) & (values < np.inf)
         hit = np.flatnonzero(better.any(axis=1))
@@ -111,13 +133,10 @@ class Best:
         else:
             v, i = values[hit], ids[hit]
         v, i = np.concatenate([self.values[some], v], axis=1), np.concatenate([self.ids[some], i], axis=1)
-        order = np.lexsort((i, v), axis=1)
+        v, i = _sorted_best(v, i)
+        order = np.lexsort((i, v), axis=1)[:, :k]
         v, i = np.take_along_axis(v, order, 1), np.take_along_axis(i, order, 1)
-        again = np.zeros(i.shape, dtype=bool)  # an id with several vectors counts once, by its best
-        again[:, 1:] = (i[:, 1:] == i[:, :-1]) & (v[:, 1:] == v[:, :-1])
-        v = np.where(again, np.inf, v)
-        order = np.argsort(v, axis=1, kind="stable")[:, :k]
-        self.values[some], self.ids[some] = np.take_along_axis(v, order, 1), np.take_along_axis(i, order, 1)
+        self.values[some], self.ids[some] = v, i
 
     def found(self) -> pa.RecordBatch:
         row, place = np.nonzero(self.values < np.inf)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lendmark.llm import neighbours, top_inner, vectors
 
@@ -55,6 +56,30 @@ def test_neighbours_reach_the_recall(spark, small_parts):
     assert not got and hits >= 0.9 * 90
 
 
+def test_an_id_with_many_vectors_takes_one_place(spark, small_parts):
+    x = sample(300, 8, 5).astype(np.float64)
+    rng = np.random.default_rng(6)
+    hot = np.concatenate([x[0] + rng.normal(size=(400, 8)) * 1e-3, 3 * x[0] + rng.normal(size=(400, 8)) * 1e-3])
+    rows = [*enumerate(x), *((7, v) for v in hot.astype(np.float32).astype(np.float64))]
+    ids, all_x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+
+    def best(values, k):
+        least = {}
+        for i, v in zip(ids.tolist(), values.tolist()):
+            if i:
+                least[i] = min(v, least.get(i, np.inf))
+        return sorted(least, key=lambda i: (least[i], i))[:k]
+
+    z = np.floor(256 * all_x.astype(np.float32).astype(np.float64))
+    top = [r for r in top_inner.top_products(frame(spark, rows)).collect() if r["query_id"] == 0]
+    assert [r["vec_id"] for r in sorted(top, key=lambda r: r["rank"])] == best(-(z @ z[0]), 5)
+    near = [r for r in neighbours.nearest(frame(spark, rows)).collect() if r["query_id"] == 0]
+    wanted = best(np.sqrt(((all_x - x[0]) ** 2).sum(axis=1)), 10)
+    assert len(near) == 10 and len({r["vec_id"] for r in near} & set(wanted)) >= 9
+    parts = vectors.packed(vectors.usable(frame(spark, rows), "vec_id", "embedding", lambda v: F.lit(True)), 150)
+    assert max(len(r["ids"]) // 8 for r in parts.collect()) < 300
+
+
 def test_codes_within_the_radius_are_all_probed():
     x = sample(400, 16, 3).astype(np.float64)
     coder = neighbours.Coder(x)
