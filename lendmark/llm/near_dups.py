@@ -1,7 +1,7 @@
 """Near duplicates by bottom-k sketches of one hash function.
 
 1. A document's set of word shingles becomes 64-bit hashes. Documents with equal
-   sets are one node, named by its smallest id.
+   sets are one node, whatever their ids; nodes are numbered.
 2. A node retains the ``K`` smallest hashes. Of two sets with a similarity of
    0.8, the ``K`` smallest of the union are shared with probability 0.8 each, so
    fewer than ``OVERLAP`` shared ones have a chance below 1e-7. Two sketches
@@ -73,30 +73,32 @@ def _arrays(sets: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, set_key, sketch`` per row of ``doc_id, text``."""
+    """``doc_id, key, n, set_key, sketch`` per row of ``doc_id, key, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 sets = shingle_sets(part.column("text"), size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column("doc_id"), part.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                      _arrays([s[:K] for s in sets])],
-                    ["doc_id", "n", "set_key", "sketch"],
+                    ["doc_id", "key", "n", "set_key", "sketch"],
                 )
 
-    return documents.mapInArrow(run, "doc_id long, n long, set_key binary, sketch array<long>")
+    return documents.mapInArrow(run, "doc_id long, key long, n long, set_key binary, sketch array<long>")
 
 
 def full_sets(documents: DataFrame, size: int) -> DataFrame:
-    """``id, hashes`` per row of ``doc_id, text``."""
+    """``id, hashes`` per row of ``id, set_key, text`` whose set has this key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                sets = shingle_sets(part.column("text"), size)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _arrays(sets)], ["id", "hashes"])
+                sets, wanted = shingle_sets(part.column("text"), size), part.column("set_key").to_pylist()
+                right = np.array([xxhash.xxh3_128_digest(s.tobytes()) == w for s, w in zip(sets, wanted)], dtype=bool)
+                rows = pa.RecordBatch.from_arrays([part.column("id"), _arrays(sets)], ["id", "hashes"])
+                yield rows if right.all() else rows.filter(pa.array(right))
 
     return documents.mapInArrow(run, "id long, hashes array<long>")
 
@@ -277,29 +279,27 @@ def _block_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     return left.unionByName(right).groupBy("left", "right").applyInArrow(_compare_blocks, "a long, b long")
 
 
-UNNAMED = 1 << 62
-
-
 def _keyed(documents: DataFrame, id_column: str, text_column: str) -> list[Column]:
-    """The id, or for rows without one a number made of the text; and the text."""
-    text = F.col(f"`{text_column}`")
-    unnamed = F.lit(UNNAMED) + F.pmod(F.xxhash64(text), F.lit(UNNAMED))
-    return [F.coalesce(F.col(f"`{id_column}`").cast("long"), unnamed).alias("doc_id"), text.alias("text")]
+    """The id (or null), a hash of id and text, and the text."""
+    doc_id, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`")
+    return [doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), text.alias("text")]
 
 
 def _rooted(source: DataFrame, shingle_words: int) -> DataFrame:
-    """``doc_id, n, root`` per row of ``doc_id, text``."""
+    """``doc_id, key, n, root, least`` per row of ``doc_id, key, text``.
+
+    ``root`` is the number of the component, null without words; ``least`` its smallest id.
+    """
     rows = kept(sketches(source, shingle_words), "sketches")
-    nodes = kept(
-        rows.filter("n > 0").groupBy("set_key").agg(
-            F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
-        ),
-        "nodes",
+    nodes = rows.filter("n > 0").groupBy("set_key").agg(
+        F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
+    nodes = kept(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")  # the numbers are fixed once written
     named = nodes.select("id", "n", "sketch")
     lists = kept(inverted_lists(named), "lists")
-    involved = lists.select(F.col("id").alias("doc_id")).distinct()
-    sets = kept(full_sets(source.join(involved, "doc_id"), shingle_words).distinct(), "sets")
+    involved = nodes.join(lists.select("id").distinct(), "id").select("key", "id", "set_key")
+    texts = source.select("key", "text").join(involved, "key").select("id", "set_key", "text")
+    sets = kept(full_sets(texts, shingle_words).distinct(), "sets")
 
     links = kept(_verified(_filtered(_star_pairs(lists), named), sets), "links")
     roots = components(links)
@@ -314,10 +314,11 @@ def _rooted(source: DataFrame, shingle_words: int) -> DataFrame:
         more = more.unionByName(_block_links(long, sets))
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-    of_set = nodes.select("set_key", "id").join(final.withColumnRenamed("node", "id"), "id", "left")
-    of_set = of_set.select("set_key", F.coalesce("root", "id").alias("root"))
-    joined = rows.select("doc_id", "n", "set_key").join(of_set, "set_key", "left")
-    return joined.select("doc_id", "n", F.least(F.coalesce("root", "doc_id"), "doc_id").alias("root"))
+    of_set = nodes.select("set_key", "id", "least").join(final.withColumnRenamed("node", "id"), "id", "left")
+    of_set = of_set.select("set_key", F.coalesce("root", "id").alias("root"), "least")
+    least = of_set.groupBy("root").agg(F.min("least").alias("least"))
+    of_set = of_set.select("set_key", "root").join(least, "root")
+    return rows.select("doc_id", "key", "n", "set_key").join(of_set, "set_key", "left").drop("set_key")
 
 
 def find(
@@ -331,17 +332,18 @@ def find(
     ``component_id`` is the smallest id reachable, and a row is ``kept`` if it
     has this id.
 
-    Repeated rows share their fate; rows of one id with different texts are one
-    node that each text may link. A row without an id takes part, but never names
-    a component (null if nobody in it has an id) and is always kept; ids of 2^62
-    and more are reserved for such rows. Other columns are not read.
+    Repeated rows share their fate; different texts of one id are documents of
+    their own, so an id alone links nothing. A row without an id takes part, but
+    never names a component (null if nobody in it has an id) and is always kept.
+    Any long is an id. Other columns are not read.
     """
     rooted = _rooted(documents.select(*_keyed(documents, id_column, text_column)), shingle_words)
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return rooted.select(
-        F.when(F.col("doc_id") < UNNAMED, F.col("doc_id")).alias("doc_id"),
+        "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("root") < UNNAMED, F.col("root")).alias("component_id"),
-        ((F.col("doc_id") >= UNNAMED) | (F.col("root") == F.col("doc_id"))).alias("kept"),
+        component.alias("component_id"),
+        (F.col("doc_id").isNull() | (component == F.col("doc_id"))).alias("kept"),
     )
 
 
@@ -350,14 +352,20 @@ def representatives(
 ) -> DataFrame:
     """The rows, with all their columns, of one document of each group: that of the smallest id.
 
-    Of rows that share an id one stays; rows without an id stand behind all that
-    have one, and of those with equal texts one stays.
+    A document is an id with a text: different texts of one id are groups of
+    their own unless they are similar. Of rows equal in both one stays; rows
+    without an id stand behind all that have one. Rows without words are all kept.
     """
-    key, text = _keyed(documents, id_column, text_column)
+    doc_id, key, text = _keyed(documents, id_column, text_column)
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")
-    rooted = kept(_rooted(documents.select(key, text), shingle_words), "rooted")
-    first = rooted.filter("root = doc_id").select("doc_id").distinct()
-    left = documents.select(key, row).join(first, "doc_id", "left_semi")
-    if not rooted.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        left = left.groupBy("doc_id").agg(F.first("row").alias("row"))
+    rooted = kept(_rooted(documents.select(doc_id, key, text), shingle_words), "rooted").filter("n > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    first = rooted.groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.key")
+    first = first.select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
+    wordy = F.coalesce(F.col(f"`{text_column}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    left = documents.filter(wordy).select(doc_id, key, row)
+    left = left.join(first, (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    if not rooted.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
+        left = left.groupBy("doc_id", "key").agg(F.first("row").alias("row"))
+    left = left.select("row").unionByName(documents.filter(~wordy).select(row))
     return left.select(*(F.col(f"row.`{c}`").alias(c) for c in documents.columns))

@@ -86,6 +86,17 @@ def test_near_duplicates_of_odd_rows(docs):
     assert sorted((r["doc_id"], r["text"]) for r in left.collect() if r["doc_id"]) == [(2, same.upper()), (7, "short")]
 
 
+def test_different_texts_of_one_id_are_all_kept(docs):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(0, a), (0, b), (0, c), (0, c), (5, a + " end"), (6, b + " end"), (None, None), (None, None), (0, ""), (None, c)]
+    left = near_dups.representatives(docs(rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted(
+        [(0, a), (0, b), (0, c), (None, None), (None, None), (0, "")], key=repr
+    )
+    apart = near_dups.representatives(docs([(9, a), (9, b), (5, a + " end"), (6, b + " end")])).collect()
+    assert sorted(r["doc_id"] for r in apart) == [5, 6]
+
+
 def test_components_of_a_chain_a_star_and_nothing(spark):
     chain = [(i, i + 1) for i in range(200)] + [(500, 500 + i) for i in range(1, 50)] + [(None, 3), (9, 9)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
