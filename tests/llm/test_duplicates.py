@@ -97,6 +97,15 @@ def test_different_texts_of_one_id_are_all_kept(docs):
     assert sorted(r["doc_id"] for r in apart) == [5, 6]
 
 
+def test_any_long_is_an_id(docs):
+    same, big = "one two three four five six seven", 1 << 62
+    rows = [(big + 5, same), (big + 3, same), (2 * big - 1, "of its own and long enough"), (None, same), (-2 * big, "x")]
+    got = near_dups.find(docs(rows)).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {
+        (big + 5, big + 3, False), (big + 3, big + 3, True), (2 * big - 1, 2 * big - 1, True),
+        (None, big + 3, True), (-2 * big, -2 * big, True)}
+
+
 def test_components_of_a_chain_a_star_and_nothing(spark):
     chain = [(i, i + 1) for i in range(200)] + [(500, 500 + i) for i in range(1, 50)] + [(None, 3), (9, 9)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
