@@ -227,7 +227,7 @@ def _search(table: pa.Table) -> pa.Table:
 
 
 def factors(places: np.ndarray, ref_docs: np.ndarray, ref_places: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
-    """Greedy parse ``(start, length, ref_doc, ref_start)`` from the windows that have a reference.
+    """Spans ``(start, length, ref_doc, ref_start)`` of the windows that have a reference; no longest match is searched.
 
     A factor goes on while the reference of the next window follows its own; the
     windows at a border open factors of their own, so overlaps are possible.
