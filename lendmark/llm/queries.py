@@ -7,8 +7,10 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lendmark.llm import bpe, lattice, near_dups, neighbours, packing, pii, quality, substrings, token_counts, top_inner
+from lendmark.llm import bpe, fingerprints, lattice, lexical, near_dups, neighbours, packing, pii, quality
+from lendmark.llm import substrings, token_counts, top_inner, whitening
 from lendmark.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -67,6 +69,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edit_fingerprints(documents(spark, sf_dir))
+    return found.withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("query_id", "item_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_personal_data": op2_personal_data,
@@ -78,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_ranked_search": op13_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -127,8 +148,34 @@ placed AS (
   FROM scored)
 SELECT * FROM placed WHERE rank <= 5"""
 
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = f"""
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+docs AS (SELECT *, len(w)::BIGINT AS n FROM numbered WHERE len(w) > 0),
+counts AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM docs),
+asked AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest({TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY ALL),
+held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM docs)
+  SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), counts),
+scored AS (
+  SELECT item, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM held JOIN weights USING (term) JOIN asked USING (term), counts GROUP BY ALL),
+placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM placed WHERE rank <= 20"""
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": REPEATED_WINDOWS,
     "op6_ball_tree_top_k": EXACT_TOP_K,
     "op8_near_duplicates": NEAR_DUPLICATES,
+    "op13_ranked_search": RANKED_SEARCH,
 }
