@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from lendmark.operators import history, sampling
 from lendmark.plans.layers import SCD2_CHECK
 from lendmark.registry.base import MODEL_LOANS, fresh_path, model_loans, out, query, rounded, with_
 from lendmark.registry.layers import STAGED, staged
-from lendmark.sources import files
+from lendmark.sources import files, folded
 from lendmark.sources.tables import table
 from lendmark.streaming import incremental
 
@@ -80,17 +81,35 @@ def incremental_upsert_run(spark, sf_dir):
     return rounded(state)
 
 
+@contextmanager
+def own_layer(spark):
+    """The name of a layer that is gone afterwards."""
+    name = f"lendmark_{uuid.uuid4().hex[:12]}"
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def copied(df):
+    """What a layer holds now, beyond its end."""
+    path = fresh_path(df.sparkSession, "layer")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @query("incremental_upsert_stream", with_(LATEST_EVENT, select=out("user_id ts event_id event_type", "value",
        "ranked WHERE rn = 1")))
 def incremental_upsert_stream(spark, sf_dir):
     """The same load as a stream over a landing folder that grows between two runs."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    landing, state, marks = (fresh_path(spark, x) for x in ("landing", "state", "stream"))
+    landing, marks = fresh_path(spark, "landing"), fresh_path(spark, "stream")
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
-    for part in (events.filter(early), events.filter(~early)):
-        part.write.mode("append").parquet(landing)
-        incremental.load_stream(spark, landing, state, marks, events.schema, "user_id", "ts")
-    return rounded(incremental.current(spark, state, events.schema))
+    with own_layer(spark) as name:
+        for part in (events.filter(early), events.filter(~early)):
+            part.write.mode("append").parquet(landing)
+            incremental.load_stream(spark, landing, name, marks, events.schema, "user_id", "ts")
+        return rounded(copied(folded.layer(spark, name)))
 
 
 @query("materialize_incremental", with_(LATEST_EVENT, select=out("user_id ts event_id event_type", "value",
@@ -99,15 +118,10 @@ def materialize_incremental(spark, sf_dir):
     """The newest event per user as a named layer that a second run folds more rows into."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
-    name = f"lendmark_{uuid.uuid4().hex[:12]}"
-    try:
+    with own_layer(spark) as name:
         for part in (events.filter(~early), events.filter(early), events):
-            files.materialize(part, name, "incremental", "user_id", ["ts"])
-        path = fresh_path(spark, "layer")
-        spark.table(name).write.parquet(path)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return rounded(spark.read.parquet(path))
+            state = files.materialize(part, name, "incremental", "user_id", ["ts"])
+        return rounded(copied(state))
 
 
 SCD2_COLUMNS = "loan_id grade sub_grade home_ownership verification_status valid_from valid_to is_current"

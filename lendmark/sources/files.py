@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendmark.operators.history import latest
+from lendmark.sources import folded
 
 
 def scan_epochs(spark: SparkSession, path: str, epoch: str | Iterable[str] | None = None) -> DataFrame:
@@ -78,8 +78,7 @@ def materialize(
 
     ``view``: temp view, inlined by Catalyst. ``table``: managed table,
     replaced. ``incremental``: rows are folded into the table on ``key``, the
-    newest by ``order`` winning; the new state is written beside the table
-    before it takes its place, since a table can't be read and replaced at once.
+    newest by ``order`` winning; see ``sources.folded``.
     """
     if mode == "view":
         df.createOrReplaceTempView(name)
@@ -88,17 +87,8 @@ def materialize(
     elif mode == "incremental":
         if key is None:
             raise ValueError("an incremental layer needs a key")
-        spark = df.sparkSession
-        if not spark.catalog.tableExists(name):
-            latest(df, key, order).write.format("parquet").saveAsTable(name)
-        else:
-            staged = f"{name}_next"
-            before = spark.table(name)
-            latest(before.unionByName(df.select(*before.columns)), key, order).write.mode("overwrite").format(
-                "parquet"
-            ).saveAsTable(staged)
-            spark.table(staged).write.mode("overwrite").format("parquet").saveAsTable(name)
-            spark.sql(f"DROP TABLE {staged}")
+        folded.fold(df, name, key, order)
+        return folded.layer(df.sparkSession, name)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return df.sparkSession.table(name)

@@ -1,100 +1,24 @@
-"""The incremental load as a Structured Streaming job over a landing folder.
-
-The table lies in buckets by a hash of the key. A batch rewrites the buckets it
-touches as a new version and then lists, in a manifest, which version of each
-bucket is current. A version counts once its manifest is complete.
-"""
+"""The incremental load as a Structured Streaming job over a landing folder."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendmark.functions.state import local_frame
-from lendmark.operators.history import latest
-
-BUCKETS = 64
-KEPT_VERSIONS = 3
-BUCKET = "__bucket"
-SIZE = -1  # manifest entry that holds the number of buckets
-
-
-class Versions:
-    """The versions of a bucketed table under ``path``, found by their names."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self.files = self.hadoop(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _named(self, folder: str) -> list[str]:
-        at = self.hadoop(folder)
-        return [s.getPath().getName() for s in self.files.listStatus(at)] if self.files.exists(at) else []
-
-    def complete(self) -> list[int]:
-        """Numbers of the versions whose manifest is written, oldest first."""
-        numbers = sorted(int(n) for n in self._named(f"{self.path}/manifest") if n.isdigit())
-        return [n for n in numbers if self.files.exists(self.hadoop(f"{self.path}/manifest/{n}/_SUCCESS"))]
+from lendmark.sources import folded
 
-    def manifest(self, version: int) -> dict[int, int]:
-        """Version that holds each bucket; as many rows as there are buckets at most."""
-        rows = self.spark.read.schema("bucket int, version int").parquet(f"{self.path}/manifest/{version}").collect()
-        return {r["bucket"]: r["version"] for r in rows}
 
-    def folder(self, version: int, bucket: int) -> str:
-        return f"{self.path}/data/{version}/{BUCKET}={bucket}"
+def fold_batch(name: str, key: str, ts: str, buckets: int = folded.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: fold a batch into the layer ``name``.
 
-    def read(self, held: dict[int, int], buckets: list[int], schema: T.StructType) -> DataFrame:
-        folders = [self.folder(held[b], b) for b in buckets if b in held]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def commit(self, version: int, held: dict[int, int]) -> None:
-        rows = local_frame(self.spark, sorted(held.items()), "bucket int, version int")
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{version}")
-
-    def forget(self, keep: int) -> None:
-        """Delete manifests beyond the newest ``keep``, and buckets that no kept manifest names."""
-        numbers = self.complete()
-        used = {(v, b) for n in numbers[-keep:] for b, v in self.manifest(n).items()}
-        for n in numbers[:-keep]:
-            self.files.delete(self.hadoop(f"{self.path}/manifest/{n}"), True)
-        for name in self._named(f"{self.path}/data"):
-            for bucket in self._named(f"{self.path}/data/{name}"):
-                if bucket.startswith(BUCKET) and int(name) <= numbers[-1]:
-                    if (int(name), int(bucket.split("=")[1])) not in used:
-                        self.files.delete(self.hadoop(f"{self.path}/data/{name}/{bucket}"), True)
-
-
-def fold_batch(path: str, key: str, ts: str, buckets: int = BUCKETS):
-    """``foreachBatch`` function: the newest row per key of the table and the batch.
-
-    Folding loses no row, whatever the order of the files and the size of the
-    batches, and doing it again changes nothing, so a batch that is repeated
-    after a failure gives the same table.
+    A batch that is repeated after a failure gives the same layer, and a swap
+    that the failure interrupted is finished first.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        table = Versions(batch.sparkSession, path)
-        numbers = table.complete()
-        held = table.manifest(numbers[-1]) if numbers else {SIZE: buckets}
-        place = F.pmod(F.hash(F.col(key)), F.lit(held[SIZE])).alias(BUCKET)
-        fresh = latest(batch, key, [ts]).select("*", place).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most ``buckets``
-            if not touched:
-                return
-            before = table.read(held, touched, batch.schema).select("*", place)
-            version = (numbers[-1] if numbers else 0) + 1
-            folded = latest(before.unionByName(fresh), key, [ts])
-            folded.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{table.path}/data/{version}")
-        finally:
-            fresh.unpersist()
-        table.commit(version, held | dict.fromkeys(touched, version))
-        table.forget(KEPT_VERSIONS)
+        folded.fold(batch, name, key, [ts], buckets)
 
     return run
 
@@ -102,32 +26,24 @@ def fold_batch(path: str, key: str, ts: str, buckets: int = BUCKETS):
 def load_stream(
     spark: SparkSession,
     landing: str,
-    path: str,
+    name: str,
     checkpoint: str,
     schema: T.StructType,
     key: str,
     ts: str,
     files_per_batch: int = 1000,
-    buckets: int = BUCKETS,
+    buckets: int = folded.BUCKETS,
 ) -> None:
-    """Fold all landing files not seen yet into the table at ``path``, then stop.
+    """Fold all landing files not seen yet into the layer ``name``, then stop.
 
     The checkpoint remembers the files, so a run without new files is a no-op. A
-    table keeps the number of buckets it began with.
+    layer keeps the number of buckets it began with.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = (
-        stream.writeStream.foreachBatch(fold_batch(path, key, ts, buckets))
+        stream.writeStream.foreachBatch(fold_batch(name, key, ts, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-
-
-def current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest complete version of the table."""
-    table = Versions(spark, path)
-    numbers = table.complete()
-    held = table.manifest(numbers[-1]) if numbers else {}
-    return table.read(held, sorted(held.keys() - {SIZE}), schema)

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from lendmark.operators import history, sampling
 from lendmark.operators.ordered import slice_timelines
-from lendmark.streaming import incremental
 
 
 def rows_of(df):
@@ -89,26 +88,6 @@ def test_any_order_and_a_null_key_give_equal_versions_on_both_sides_of_the_thres
     assert sliced.filter("k IS NULL").select("__slice").distinct().count() > 2
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 3, 1000])
-def test_the_stream_loses_no_row_whatever_the_order_and_batches(spark, tmp_path, files_per_batch):
-    landing, state, marks = (str(tmp_path / d) for d in ("landing", "state", "marks"))
-    rng = np.random.default_rng(files_per_batch)
-    log = [(int(k), int(t), f"v{t}") for k, t in zip(rng.integers(0, 40, 120), rng.permutation(120))]
-    for at in range(0, 120, 12):
-        spark.createDataFrame(log[at : at + 12], "k int, ts int, v string").coalesce(1).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
-    incremental.load_stream(spark, landing, state, marks, schema, "k", "ts", files_per_batch, buckets=5)
-    newest = {}
-    for k, t, v in sorted(log, key=lambda r: r[1]):
-        newest[k] = (k, t, v)
-    assert rows_of(incremental.current(spark, state, schema)) == sorted(newest.values(), key=repr)
-    late = str(tmp_path / "late")
-    spark.createDataFrame([(1, -5, "old"), (99, -9, "late")], "k int, ts int, v string").write.parquet(late)
-    incremental.load_stream(spark, late, state, str(tmp_path / "fresh"), schema, "k", "ts", files_per_batch)
-    assert rows_of(incremental.current(spark, state, schema)) == sorted([*newest.values(), (99, -9, "late")], key=repr)
-    assert len(incremental.Versions(spark, state).complete()) <= incremental.KEPT_VERSIONS
-
-
 def test_snapshot_closes_opens_and_keeps(spark):
     dim = history.scd2_seed(
         spark.createDataFrame([(1, "A", "2013"), (2, "B", "2013"), (3, None, "2013")], "k int, g string, d string"),
@@ -134,21 +113,3 @@ def test_strata_get_their_exact_share(spark):
     assert rows_of(again) == rows_of(got)
     assert sampling.stratified_sample(df, ["s"], 1.0, "id").count() == 5000
     assert sampling.stratified_sample(df, ["s"], 0.0, "id").count() == 0
-
-
-def test_stream_folds_new_files_only(spark, tmp_path):
-    landing, state, marks = (str(tmp_path / d) for d in ("landing", "state", "marks"))
-
-    def arrive(rows):
-        spark.createDataFrame(rows, "k int, ts int, v string").coalesce(1).write.mode("append").parquet(landing)
-
-    def run():
-        schema = spark.read.parquet(landing).schema
-        incremental.load_stream(spark, landing, state, marks, schema, "k", "ts")
-        return rows_of(incremental.current(spark, state, schema))
-
-    arrive([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")])
-    assert run() == [(1, 2, "b"), (2, 1, "c")]
-    assert run() == [(1, 2, "b"), (2, 1, "c")]
-    arrive([(2, 5, "d"), (3, 5, "e")])
-    assert run() == [(1, 2, "b"), (2, 5, "d"), (3, 5, "e")]
