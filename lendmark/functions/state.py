@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lendmark.session import scratch_dir
+
 SETTLE_ROWS = 100_000
 
 
-def settled(df: DataFrame, max_rows: int = SETTLE_ROWS) -> tuple[DataFrame, bool]:
-    """Evaluate ``df`` once; as a local relation if it has at most ``max_rows`` rows.
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: evaluated once, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Evaluate ``df``: as a local relation if it has at most ``max_rows`` rows, also returns whether it has.
 
     A local relation carries its exact size, so Catalyst broadcasts it by
-    itself. A larger result stays distributed and is kept on the executors'
-    memory and disk, so later uses don't evaluate what produced it. Rows are
-    counted before any of them moves. Also returns whether ``df`` was small.
+    itself. No more than ``max_rows`` + 1 rows are asked for, so what moves is
+    bounded. A larger result stays distributed: it is evaluated once more, into
+    the scratch folder, from which all later uses read it.
     """
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if held.count() > max_rows:
-        return held, False
-    table = held.toArrow()
-    held.unpersist()
+    max_rows = SETTLE_ROWS if max_rows is None else max_rows
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
+        return kept(df, "settled"), False
     return df.sparkSession.createDataFrame(table, schema=df.schema), True
 
 
-def settle(df: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
+def settle(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """The frame of ``settled``."""
     return settled(df, max_rows)[0]
 

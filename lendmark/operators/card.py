@@ -6,6 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +14,10 @@ from pyspark.sql import functions as F
 
 from lendmark.functions.scale import Pdo, pd_from_logit, score_from_logit
 from lendmark.functions.state import local_frame
+from lendmark.operators.tally import Tally
 from lendmark.operators.woe import WoeModel, map_bins
 
 
-CELLS_PER_TASK = 50_000
-
-
 @dataclass(frozen=True)
 class Card:
     """Intercept and one coefficient per ``<feature>_woe`` column, and the training
@@ -57,39 +56,68 @@ def fit_card(
     """L2-regularised logistic fit with balanced classes and a free intercept.
 
     Rows with equal (WoE, target) values are merged into one weighted row
-    first. WoE columns take few distinct values, so the iterations usually run
-    over far fewer rows than the table has.
+    first. WoE columns take few distinct values, so these cells are usually few
+    (at most ``SETTLE_ROWS``) and the minimum is found on them by Newton steps.
+    More cells stay distributed, and Spark ML iterates over them.
     """
-    cells = df.groupBy(*columns, target).agg(F.count("*").alias("__n")).cache()
-    try:
-        sums = [F.sum(F.col("__n") * F.col(x)) for x in columns]
-        tally = cells.groupBy(target).agg(F.sum("__n"), F.count("*"), *sums).collect()
-        means = {x: sum(r[3 + i] for r in tally) / sum(r[1] for r in tally) for i, x in enumerate(columns)}
-        sizes = {r[0]: r[1] for r in tally if r[0] is not None}
-        n = sum(sizes.values())
-        # every iteration is a job: give its tasks at least CELLS_PER_TASK rows each
-        tasks = max(1, sum(r[2] for r in tally) // CELLS_PER_TASK)
-        weighted = (
-            with_weights(cells, target, sizes)
-            .filter(F.col(target).isNotNull())
-            .withColumn("__w", F.col("class_weight") * F.col("__n"))
-        )
-        vectors = VectorAssembler(inputCols=list(columns), outputCol="__x").transform(weighted)
-        model = LogisticRegression(
-            featuresCol="__x",
-            labelCol=target,
-            weightCol="__w",
-            regParam=1.0 / (c * n),  # the balanced weights add up to n
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=max_iter,
-            tol=1e-10,
-        ).fit(vectors.select("__x", F.col(target).cast("double").alias(target), "__w").coalesce(tasks))
-    finally:
-        cells.unpersist()
+    cells = Tally.of(df.groupBy(*columns, target).agg(F.count("*").alias("__n")))
+    if cells.small:
+        table = cells.rows.toArrow()
+        n = table["__n"].to_numpy()
+        y = np.array([math.nan if v is None else v for v in table[target].to_pylist()], dtype=float)
+        x = np.column_stack([np.ones(len(n)), *(table[c].to_numpy() for c in columns)])
+        means = dict(zip(columns, map(float, n @ x[:, 1:] / max(n.sum(), 1))))
+        if set(y[~np.isnan(y)]) == {0.0, 1.0}:
+            beta = _newton(x[~np.isnan(y)], y[~np.isnan(y)], n[~np.isnan(y)], c, max_iter)
+            return Card(float(beta[0]), dict(zip(columns, map(float, beta[1:]))), pdo, means)
+    else:
+        sums = cells.rows.agg(F.sum("__n"), *(F.sum(F.col("__n") * F.col(x)) for x in columns)).first()
+        means = {x: s / sums[0] for x, s in zip(columns, sums[1:])}
+    sizes = {r[0]: r[1] for r in cells.rows.groupBy(target).agg(F.sum("__n")).collect() if r[0] is not None}
+    weighted = with_weights(cells.rows, target, sizes).filter(F.col(target).isNotNull())
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="__x").transform(
+        weighted.withColumn("__w", F.col("class_weight") * F.col("__n"))
+    )
+    model = LogisticRegression(
+        featuresCol="__x",
+        labelCol=target,
+        weightCol="__w",
+        regParam=1.0 / (c * sum(sizes.values())),  # the balanced weights add up to the number of rows
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=max_iter,
+        tol=1e-10,
+    ).fit(vectors.select("__x", F.col(target).cast("double").alias(target), "__w"))
     return Card(float(model.intercept), dict(zip(columns, map(float, model.coefficients.toArray()))), pdo, means)
 
 
+def _newton(x: np.ndarray, y: np.ndarray, n: np.ndarray, c: float, max_iter: int) -> np.ndarray:
+    """Minimum of the balanced log-loss plus |coefficients|^2 / 2c; ``x`` begins with ones, rows count ``n`` times.
+
+    The function is convex, and a step that doesn't lower it is halved.
+    """
+    w = n * n.sum() / (2.0 * np.where(y == 1, n[y == 1].sum(), n[y == 0].sum()))
+    penalty = np.r_[0.0, np.full(x.shape[1] - 1, 1.0 / c)]
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float(w @ (np.logaddexp(0.0, z) - y * z) + 0.5 * penalty @ (b * b))
+
+    beta = np.zeros(x.shape[1])
+    for _ in range(max_iter):
+        p = 1.0 / (1.0 + np.exp(-(x @ beta)))
+        gradient = x.T @ (w * (p - y)) + penalty * beta
+        hessian = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(hessian, gradient)
+        now = loss(beta)
+        while loss(beta - step) > now and np.abs(step).max() > 1e-14:
+            step = step / 2
+        beta = beta - step
+        if np.abs(step).max() < 1e-12 * max(1.0, np.abs(beta).max()):
+            break
+    return beta
+
+
 def coefficients(spark: SparkSession, card: Card) -> DataFrame:
     """(position, feature, coefficient, odds_ratio), intercept first."""
     rows = [(0, "Intercept", card.intercept, math.exp(card.intercept))]

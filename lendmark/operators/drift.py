@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import psi_status
 from lendmark.functions.state import local_frame, settle
-from lendmark.operators.quantiles import open_edges
-from lendmark.operators.validate import few_values, score_edges
+from lendmark.operators.quantiles import even_probs, open_edges
+from lendmark.operators.tally import Tally, weighted_quantiles
 
 
 def _quantiles(df: DataFrame, score: str, n: int) -> list[float]:
-    rows = df.filter(F.col(score).isNotNull())
-    counts, few = few_values(rows.groupBy(score).agg(F.count("*").alias("n")), score)
-    return list(score_edges(rows, counts if few else None, score, n, "n"))
+    counts = Tally.of(df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n")))
+    return weighted_quantiles(counts, score, "n", even_probs(n))
 
 
 def psi_edges(df: DataFrame, score: str = "score", n: int = 10) -> list[float]:
@@ -65,28 +64,39 @@ def psi_cells(
 ) -> DataFrame:
     """(epoch, bin_index, expected_share, actual_share, psi_contribution), unrounded.
 
-    All epochs are binned and counted in one pass. ``edges`` default to those
-    of the baseline epoch. Without a baseline, equal shares are expected.
+    All epochs are counted in one pass. ``edges`` default to those of the
+    baseline epoch. Without a baseline, equal shares are expected.
     ``mode="hist"`` uses left-closed bins between finite ends.
     """
     rows = df.filter(F.col(score).isNotNull() & F.col(epoch).isNotNull())
-    scores = rows.groupBy(epoch, score).agg(F.count("*").alias("n"))
-    scores, few = few_values(scores, score)
+    counts = Tally.of(rows.groupBy(epoch, score).agg(F.count("*").alias("n")))
+    return tally_cells(counts, "n", epoch, baseline, score, n, eps, mode, edges)
+
+
+def tally_cells(
+    counts: Tally,
+    weight: str,
+    epoch: str,
+    baseline: str | None,
+    score: str = "score",
+    n: int = 10,
+    eps: float = 1e-4,
+    mode: str = "cut",
+    edges: Sequence[float] | None = None,
+) -> DataFrame:
+    """``psi_cells`` from a tally with a row per epoch and score, or more, that stands for ``weight`` rows each."""
     if edges is None:
         if baseline is None:
             raise ValueError("edges are needed when there is no baseline")
-        is_base = F.col(epoch) == baseline
-        counts = scores.filter(is_base) if few else None
-        raw = score_edges(rows.filter(is_base), counts, score, n, "n")
+        base = counts.where(F.col(epoch) == baseline).fold([score], [F.sum(weight).alias(weight)])
+        raw = weighted_quantiles(base, score, weight, even_probs(n))
         edges = open_edges(raw) if mode == "cut" else padded(raw)
-    locate = bin_index if mode == "cut" else hist_index
     n_bins = len(edges) - 1
-    counts = settle(
-        scores.groupBy(epoch, locate(score, edges).alias("__bin")).agg(F.sum("n").alias("n"))
-    )  # epochs x bins
     # one wide row per epoch, then every bin in turn, so that empty bins stay
+    place = (bin_index if mode == "cut" else hist_index)(score, edges)
+    placed = counts.rows.select(epoch, place.alias("__bin"), F.col(weight).alias("n"))
     per_bin = [F.sum(F.when(F.col("__bin") == i, F.col("n")).otherwise(0)).alias(f"b{i}") for i in range(n_bins)]
-    wide = counts.groupBy(epoch).agg(*per_bin)
+    wide = settle(placed.groupBy(epoch).agg(*per_bin))  # epochs x bins
     expected = [1.0] * n_bins
     if baseline is not None:
         row = wide.filter(F.col(epoch) == baseline).first()
@@ -127,6 +137,11 @@ def psi_totals(cells: DataFrame) -> DataFrame:
     return cells.groupBy("epoch").agg(F.round(total, 4).alias("psi"), psi_status(total).alias("status"))
 
 
+def psi_of_tally(counts: Tally, weight: str, epoch: str, baseline: str, score: str = "score", n: int = 10) -> DataFrame:
+    """``psi_by`` from a tally, see ``tally_cells``."""
+    return psi_totals(tally_cells(counts, weight, epoch, baseline, score, n))
+
+
 def psi(
     actual: DataFrame,
     expected: DataFrame | None,
@@ -155,4 +170,4 @@ def edge_rows(df: DataFrame, edges: Sequence[float]) -> DataFrame:
     return local_frame(df.sparkSession, rows, "bin_index int, lower double, upper double")
 
 
-__all__ = ["breakdown", "edge_rows", "hist_edges", "psi", "psi_by", "psi_cells", "psi_edges", "psi_totals"]
+__all__ = ["breakdown", "edge_rows", "hist_edges", "psi", "psi_by", "psi_cells", "psi_edges", "psi_of_tally", "psi_totals", "tally_cells"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendmark.functions.state import local_frame
@@ -50,3 +51,33 @@ def log_run(
 ) -> None:
     """Append one run to the log dataset."""
     run_rows(spark, run, params, metrics, tags).coalesce(1).write.mode("append").parquet(path)
+
+
+def logged_write(
+    df: DataFrame,
+    write: Callable[[DataFrame], None],
+    path: str,
+    run: str,
+    observed: Mapping[str, Column] = {},
+    params: Mapping[str, object] = {},
+    tags: Mapping[str, str] = {},
+) -> dict[str, object]:
+    """Write ``df`` by ``write`` and append a run to the log at ``path``: its rows, its seconds and ``observed``.
+
+    The aggregates are collected while the rows pass through the write, which
+    costs no further job. ``write`` is to run exactly one job over the rows it is
+    given. A write that fails logs nothing. Returns what was observed.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in observed.items())]
+    start = time.monotonic()
+    write(df.observe(seen, *counts))
+    seconds = time.monotonic() - start
+    found = dict(seen.get)
+    log_run(df.sparkSession, path, run, params, found | {"seconds": round(seconds, 3)}, tags)
+    return found
+
+
+def runs(spark: SparkSession, path: str) -> DataFrame:
+    """The log, one row per logged value."""
+    return spark.read.schema(f"{RUN_SCHEMA}, logged_at timestamp").parquet(path)

@@ -40,6 +40,29 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str])
     return named.unionByName(unnamed).unionByName(latest(source.filter(F.col(key).isNull()), key, order).select(*target.columns))
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """A table in ``buckets`` by a hash of the key, each sorted and written by one task.
+
+    ``latest`` by this key and ``upsert_bucketed`` then read the table where it
+    lies, without a shuffle. A key with very many rows is one bucket whatever
+    their number: bucket tables with a row per key, such as a loaded target.
+    """
+    df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
+def upsert_bucketed(target: DataFrame, source: DataFrame, key: str, order: Sequence[str], buckets: int) -> DataFrame:
+    """``upsert`` into a target read from a table of ``write_bucketed``, whose rows stay where they are.
+
+    Only the source is shuffled, into the buckets of the target. Its rows are
+    combined before that, so a hot key of the source stays small.
+    """
+    held = [c for c in target.columns if c != key]
+    new = latest(source.select(*target.columns), key, order).repartition(buckets, key)
+    new = new.select(key, F.struct(*held).alias("__new"))
+    both = target.select(key, F.struct(*held).alias("__old")).join(new, key, "full_outer")
+    return both.select(key, F.coalesce("__new", "__old").alias("__row")).select(key, "__row.*").select(*target.columns)
+
+
 def high_water_mark(target: DataFrame | None, ts: str) -> str | None:
     """Largest loaded timestamp as text in session time, None when nothing is loaded."""
     return None if target is None else target.agg(F.max(ts).cast("string")).first()[0]
@@ -159,4 +182,6 @@ __all__ = [
     "scd2_history",
     "scd2_seed",
     "upsert",
+    "upsert_bucketed",
+    "write_bucketed",
 ]

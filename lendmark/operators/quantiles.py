@@ -1,8 +1,8 @@
-"""Exact quantiles and ordered running totals without a single-task sort.
+"""Exact quantiles without a single-task sort.
 
-``percentile`` keeps every distinct value of a column in one buffer, and a
-window without a partition key sends every row to one task. Neither holds on a
-large continuous column, so both are rebuilt here from mergeable aggregates.
+``percentile`` keeps every distinct value of a column in one buffer, which
+doesn't hold on a large continuous column, so it is rebuilt here from mergeable
+aggregates.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
@@ -194,47 +193,3 @@ def quantile_edges(df: DataFrame, features: Sequence[str], n: int = 5) -> dict[s
     """Open bin edges at ``n`` quantiles for every feature."""
     raw = exact_quantiles(df, {f: even_probs(n) for f in features})
     return {f: open_edges(raw[f]) for f in features}
-
-
-def running_totals(
-    df: DataFrame, order: str, totals: Mapping[str, str], descending: bool = False, slice_rows: int = 50_000
-) -> DataFrame:
-    """Add inclusive running sums of ``totals`` (new name -> column) along ``order``.
-
-    ``df`` must hold one row per ``order`` value. The order column is cut into
-    ranges of about ``slice_rows`` rows; the sums of whole slices are
-    accumulated over one row per slice, and only rows of the same slice are
-    sorted together.
-    """
-    few = [i / 256 for i in range(1, 256)]
-    rows, bounds = df.select(F.count("*"), F.percentile_approx(order, sql_array(few), F.lit(SKETCH_ACCURACY))).first()
-    slices = max(1, math.ceil(rows / slice_rows))
-    if slices > 256:
-        fine = [i / slices for i in range(1, slices)]
-        bounds = df.select(F.percentile_approx(order, sql_array(fine), F.lit(10 * slices))).first()[0]
-    elif bounds:
-        bounds = [bounds[i * 256 // slices - 1] for i in range(1, slices)]
-    splits = sorted({-math.inf, *(bounds or ()), math.inf})
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    bucketizer = Bucketizer(splits=splits, inputCol="__order", outputCol="__slice", handleInvalid="keep")
-    sliced = bucketizer.transform(df.withColumn("__order", F.col(order).cast("double")))
-    key = F.col("__slice").desc() if descending else F.col("__slice").asc()
-    before = W.orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("__slice")
-        .agg(*(F.sum(c).alias(f"__sum_{name}") for name, c in totals.items()))
-        .select(
-            "__slice",
-            *(F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__off_{name}") for name in totals),
-        )
-    )
-    direction = F.col(order).desc() if descending else F.col(order).asc()
-    within = W.partitionBy("__slice").orderBy(direction).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        sliced.join(offsets, "__slice")  # one row per slice
-        .select(
-            *df.columns,
-            *((F.sum(c).over(within) + F.col(f"__off_{name}")).alias(name) for name, c in totals.items()),
-        )
-    )

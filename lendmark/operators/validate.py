@@ -1,8 +1,7 @@
 """Validation metrics of a scored table.
 
-Everything cumulates over combined rows: (score) has at most 551 values on the
-300..850 scale, and the curve over distinct probabilities uses sliced running
-totals. Raw rows are never windowed.
+Everything cumulates over tallies, one row per distinct score or probability. Raw
+rows are never windowed.
 """
 
 from __future__ import annotations
@@ -13,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lendmark.functions.expr import bin_index
 from lendmark.functions.scale import ks_band, tau
-from lendmark.functions.state import local_frame, settle, settled
-from lendmark.operators.quantiles import even_probs, exact_quantiles, running_totals
+from lendmark.functions.state import local_frame, settle
+from lendmark.operators.quantiles import even_probs, exact_quantiles
+from lendmark.operators.tally import Tally, running_totals, weighted_quantiles
 
 SCORE_DECILES = 10
 
@@ -32,28 +31,9 @@ def outcome_counts(target: str) -> list[Column]:
     ]
 
 
-def score_counts(df: DataFrame, score: str = "score", target: str = "target", by: Sequence[str] = ()) -> DataFrame:
-    """(by..., score, total, bads, goods): what every score metric needs, in one pass."""
-    return settle(df.groupBy(*by, score).agg(*outcome_counts(target)))
-
-
-def few_values(counts: DataFrame, score: str) -> tuple[DataFrame, bool]:
-    """Counts per value, and whether they are few enough for one buffer.
-
-    Integers are counted to find out; other types are taken to have many values.
-    """
-    if isinstance(counts.schema[score].dataType, T.IntegralType):
-        return settled(counts)
-    return counts, False
-
-
-def score_edges(df: DataFrame, counts: DataFrame | None, score: str, q: int, weight: str = "total") -> list[float]:
-    """``q`` + 1 interpolated quantiles: from the value counts if there are few,
-    by distributed selection on the rows otherwise."""
-    if counts is None:
-        return exact_quantiles(df, {score: even_probs(q)})[score] or []
-    position = F.array(*map(F.lit, even_probs(q)))
-    return list(counts.filter(F.col(weight) > 0).agg(F.percentile(score, position, F.col(weight))).first()[0] or ())
+def value_tally(df: DataFrame, value: str, target: str = "target", by: Sequence[str] = ()) -> Tally:
+    """Outcomes per distinct value (and group), in one pass over the rows; nulls are a value."""
+    return Tally.of(df.groupBy(*by, value).agg(*outcome_counts(target)))
 
 
 def cut_edges(quantiles: Sequence[float]) -> list[float]:
@@ -68,10 +48,13 @@ def deciles(df: DataFrame, target: str = "target", score: str = "score", q: int
     Equal scores stay together, so there may be fewer than ``q`` bins. Shares
     are null when a class is absent.
     """
-    rows = df.filter(F.col(score).isNotNull())
-    counts, few = few_values(rows.groupBy(score).agg(*outcome_counts(target)), score)
-    edges = score_edges(rows, counts if few else None, score, q)
-    return _decile_table(counts, score, cut_edges(edges))
+    counts = value_tally(df.filter(F.col(score).isNotNull()), score, target)
+    return _deciles(counts, score, q)
+
+
+def _deciles(counts: Tally, score: str, q: int) -> DataFrame:
+    edges = weighted_quantiles(counts, score, "total", even_probs(q))
+    return _decile_table(counts.rows, score, cut_edges(edges))
 
 
 def _decile_table(counts: DataFrame, score: str, edges: Sequence[float]) -> DataFrame:
@@ -120,54 +103,38 @@ def ks(decile_table: DataFrame) -> DataFrame:
 
 def ks_exact(df: DataFrame, target: str = "target", score: str = "score") -> DataFrame:
     """Largest separation over every distinct score."""
-    counts = value_counts(df.filter(F.col(score).isNotNull()), score, target)
+    counts = value_tally(df.filter(F.col(score).isNotNull()), score, target)
     running = running_totals(counts, score, {"cum_bads": "bads", "cum_goods": "goods"})
-    bads, goods = class_totals(counts)
-    share_of_bads = F.try_divide("cum_bads", F.lit(bads))
-    share_of_goods = F.try_divide("cum_goods", F.lit(goods))
-    separation = F.abs(share_of_bads - share_of_goods)
+    separation = F.abs(F.try_divide("cum_bads", "all_cum_bads") - F.try_divide("cum_goods", "all_cum_goods"))
     return running.agg(
         F.max(separation).alias("ks_exact"),
         F.min_by(score, F.struct(-separation, F.col(score))).alias("at_score"),
     )
 
 
-def class_totals(counts: DataFrame) -> tuple[float, float]:
-    row = counts.agg(F.sum("bads"), F.sum("goods")).first()
-    return float(row[0] or 0), float(row[1] or 0)
-
-
 # ------------------------------------------------------------------ curves
 
 
-def value_counts(df: DataFrame, p: str, target: str) -> DataFrame:
-    """Outcomes per distinct value, null among them; evaluated once, as curves use them several times."""
-    return settle(df.groupBy(p).agg(*outcome_counts(target)))
-
-
 def curve(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
-    """Per distinct probability, from the highest down: own and cumulative counts."""
-    return _curve(value_counts(df, p, target).filter(F.col(p).isNotNull()), p)
+    """Per distinct probability, from the highest down: own and cumulative counts, and those of all rows."""
+    return _curve(value_tally(df.filter(F.col(p).isNotNull()), p, target), p)
 
 
-def _curve(counts: DataFrame, p: str) -> DataFrame:
-    # only what both the rows and the range sums need, so that they share one exchange
-    steps = counts.select(p, "bads", "goods")
+def _curve(counts: Tally, p: str) -> DataFrame:
+    steps = Tally(counts.rows.select(p, "bads", "goods"), counts.small)
     return running_totals(steps, p, {"cum_bads": "bads", "cum_goods": "goods"}, descending=True)
 
 
 def curve_points(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
     """(threshold, tpr, fpr, precision, recall) of predicting bad at p >= threshold."""
-    counts = value_counts(df, p, target)
-    steps = _curve(counts.filter(F.col(p).isNotNull()), p)
-    bads, goods = class_totals(counts)
     hits, misses = F.col("cum_bads"), F.col("cum_goods")
-    return steps.select(
+    found = F.try_divide(hits, "all_cum_bads")
+    return curve(df, target, p).select(
         F.col(p).alias("threshold"),
-        F.try_divide(hits, F.lit(bads)).alias("tpr"),
-        F.try_divide(misses, F.lit(goods)).alias("fpr"),
+        found.alias("tpr"),
+        F.try_divide(misses, "all_cum_goods").alias("fpr"),
         F.try_divide(hits, hits + misses).alias("precision"),
-        F.try_divide(hits, F.lit(bads)).alias("recall"),
+        found.alias("recall"),
     )
 
 
@@ -292,31 +259,36 @@ def evaluate(
 ) -> DataFrame:
     """One row with all metrics, rounded to 4 digits (separation and loss to 2).
 
-    The table is read once, into counts per (p, score); all metrics follow
-    from those. Only one-row results reach the driver.
+    The table is read once, into its ``profile``; all metrics follow from that.
+    Only one-row results reach the driver.
     """
-    cutoff = tau(cost_fp, cost_fn)
+    return evaluate_profile(profile(df, target, p, score), p, score, cost_fp, cost_fn)
+
+
+def profile(
+    df: DataFrame, target: str = "target", p: str = "pd", score: str = "score", by: Sequence[str] = ()
+) -> Tally:
+    """Outcomes per (group, probability, score): what metrics and stability need of a scored table. Profiles add up."""
     rows = df.filter(F.col(p).isNotNull() & F.col(score).isNotNull())
-    profile = rows.groupBy(p, score).agg(*outcome_counts(target)).cache()
-    try:
-        tallies = [F.sum(c).alias(c) for c in ("total", "bads", "goods")]
-        flagged = F.col(p) >= cutoff
-        squares = F.col("bads") * F.pow(1 - F.col(p), F.lit(2.0)) + F.col("goods") * F.pow(F.col(p), F.lit(2.0))
-        by_score, few = settled(
-            profile.groupBy(score).agg(
-                *tallies,
-                F.sum(squares).alias("squares"),
-                F.sum(F.when(flagged, F.col("goods")).otherwise(0)).alias("fp"),
-                F.sum(F.when(flagged, F.col("bads")).otherwise(0)).alias("tp"),
-            )
-        )
-        counts = by_score if few else None
-        edges = score_edges(rows, counts, score, SCORE_DECILES)
-        separation = ks(_decile_table(by_score, score, cut_edges(edges))).first()["ks"]
-        area = _auc(_curve(profile.groupBy(p).agg(*tallies), p)).first()["roc_auc"]
-        sums = by_score.agg(*(F.sum(c).alias(c) for c in ("squares", "total", "bads", "fp", "tp"))).first()
-    finally:
-        profile.unpersist()
+    return Tally.of(rows.groupBy(*by, p, score).agg(*outcome_counts(target)))
+
+
+def evaluate_profile(
+    seen: Tally, p: str = "pd", score: str = "score", cost_fp: float = 300.0, cost_fn: float = 10_000.0
+) -> DataFrame:
+    """``evaluate`` from a profile."""
+    cutoff = tau(cost_fp, cost_fn)
+    tallies = [F.sum(c).alias(c) for c in ("total", "bads", "goods")]
+    flagged = F.col(p) >= cutoff
+    squares = F.col("bads") * F.pow(1 - F.col(p), F.lit(2.0)) + F.col("goods") * F.pow(F.col(p), F.lit(2.0))
+    losses = [
+        F.sum(squares).alias("squares"),
+        F.sum(F.when(flagged, F.col("goods")).otherwise(0)).alias("fp"),
+        F.sum(F.when(flagged, F.col("bads")).otherwise(0)).alias("tp"),
+    ]
+    separation = ks(_deciles(seen.fold([score], tallies), score, SCORE_DECILES)).first()["ks"]
+    area = _auc(_curve(seen.fold([p], tallies), p)).first()["roc_auc"]
+    sums = seen.rows.agg(*tallies, *losses).first()
     tp, fp = sums["tp"] or 0, sums["fp"] or 0
     fn = (sums["bads"] or 0) - tp
     result = (
@@ -333,7 +305,7 @@ def evaluate(
         "roc_auc", "gini", "ks_statistic", "brier_score",
         "cost_optimal_tau", "precision_at_tau", "recall_at_tau", "total_financial_loss",
     )
-    frame = local_frame(df.sparkSession, [result], ", ".join(f"{c} double" for c in names))
+    frame = local_frame(seen.rows.sparkSession, [result], ", ".join(f"{c} double" for c in names))
     digits = {"total_financial_loss": 2}
     return frame.select(
         *(

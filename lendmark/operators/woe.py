@@ -16,6 +16,7 @@ from lendmark.functions.state import local_frame, settled
 from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, sql_array
 
 FEW_CATEGORIES = 100
+FREQUENT = 64  # most frequent categories of a feature that are looked up in the projection
 MISSING_TEXT = "nan"  # fixed value: the category of missing text
 BIN_SCHEMA = (
     "feature string, kind string, bin_id int, lower double, upper double, category string, "
@@ -38,6 +39,7 @@ class WoeModel:
     category_woe: dict[str, dict[str, float]]  # features with few categories only
     bins: DataFrame
     rows: int = 0  # rows with a target that the bins were fitted on
+    distributed: bool = False  # ``bins`` is too large to be a local relation
 
     @property
     def categorical(self) -> list[str]:
@@ -214,7 +216,7 @@ def fit_woe(
         for row in table.filter("kind = 'categorical'").select("feature", "category", "woe").collect():
             levels.setdefault(row["feature"], {})[row["category"]] = row["woe"]
     few = {f: v for f, v in levels.items() if len(v) <= FEW_CATEGORIES}
-    return WoeModel(features, fitted, weights, few, table, sum(sums))
+    return WoeModel(features, fitted, weights, few, table, sum(sums), not small)
 
 
 # --------------------------------------------------------------- summaries
@@ -257,8 +259,11 @@ def map_bins(
 
     Numeric features compare against literal edges, categorical ones with few
     categories look up a literal map, all in one projection. Other categorical
-    features join the (feature, category, value) rows of ``table``, except for
-    missing text, which would be one hot key. Values without a bin get ``missing``.
+    features join the (feature, category, value) rows of ``table``. Where that is
+    too large to be sent to all tasks, a pass over ``df`` finds the ``FREQUENT``
+    most frequent categories first: these are looked up in the projection too, and
+    their rows are spread, so that no category fills a task of the join. Values
+    without a bin get ``missing``.
     """
     added, joined = {}, []
     for f in model.features:
@@ -268,8 +273,7 @@ def map_bins(
             index = bin_index(f, model.edges[f])
             added[f + suffix] = F.coalesce(F.get(sql_array(numeric[f]), index), F.lit(missing))
         elif few.get(f):
-            pairs = [F.lit(x) for pair in few[f].items() for x in pair]
-            found = F.try_element_at(F.create_map(*pairs), category_text(F.col(f)))
+            found = F.try_element_at(_literal_map(few[f]), category_text(F.col(f)))
             added[f + suffix] = F.coalesce(found, F.lit(missing))
         else:
             joined.append(f)
@@ -278,19 +282,43 @@ def map_bins(
         named = table.filter(F.col("feature") == f).select(
             F.col("category").alias("__category"), F.col("value").alias("__value")
         )
-        # missing text gets its value here; its rows are spread over keys that match nothing
-        unnamed = named.filter(F.col("__category") == MISSING_TEXT).select("__value").first()
-        spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(1024)).cast("string"))
-        text = F.col(f).cast("string")
-        value = F.when(text.isNull(), F.lit(unnamed["__value"] if unnamed else None)).otherwise(F.col("__value"))
-        out = (
-            out.join(named, F.coalesce(text, spread) == F.col("__category"), "left")
-            .withColumn(f + suffix, F.coalesce(value.cast("double"), F.lit(missing)))
-            .drop("__category", "__value")
-        )
+        heavy = frequent(df, f) if model.distributed else []
+        out = _looked_up(out, f, named, [*{*heavy, MISSING_TEXT}], suffix, missing)
     return out
 
 
+def _literal_map(values: Mapping[str, float | None]) -> Column:
+    return F.create_map(*(x if isinstance(x, Column) else F.lit(x) for pair in values.items() for x in pair))
+
+
+def frequent(df: DataFrame, feature: str, most: int = FREQUENT) -> list[str]:
+    """The ``most`` frequent categories; any other has less than one in ``most`` rows. Counted before the shuffle."""
+    counts = df.groupBy(category_text(F.col(feature)).alias("c")).agg(F.count("*").alias("n"))
+    return [r["c"] for r in counts.orderBy(F.desc("n"), "c").limit(most).collect()]
+
+
+def spread_key(df: DataFrame, feature: str, heavy: Sequence[str]) -> Column:
+    """The join key of a feature: rows of ``heavy`` categories get one of many keys that match nothing."""
+    text = category_text(F.col(feature))
+    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(1 << 20)).cast("string")
+    return F.when(text.isin(*heavy), F.concat(F.lit("\0"), salt)).otherwise(text)
+
+
+def _looked_up(
+    df: DataFrame, feature: str, named: DataFrame, heavy: Sequence[str], suffix: str, missing: float
+) -> DataFrame:
+    """Add a categorical feature's value: of ``heavy`` categories by a literal map, of the others by a join."""
+    known = {r["__category"]: r["__value"] for r in named.filter(F.col("__category").isin(*heavy)).collect()}
+    literal = F.try_element_at(_literal_map(known), category_text(F.col(feature))) if known else F.lit(None)
+    value = F.coalesce(literal.cast("double"), F.col("__value").cast("double"), F.lit(missing))
+    return (
+        df.withColumn("__key", spread_key(df, feature, heavy))
+        .join(named, F.col("__key") == F.col("__category"), "left")
+        .withColumn(feature + suffix, value)
+        .drop("__key", "__category", "__value")
+    )
+
+
 def apply_woe(df: DataFrame, model: WoeModel) -> DataFrame:
     """Add ``<feature>_woe``; null and unseen values get the neutral 0.0."""
     table = model.bins.filter("kind = 'categorical'").select("feature", "category", F.col("woe").alias("value"))

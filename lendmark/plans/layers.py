@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmark.functions.expr import (
     bad_flag,
@@ -57,6 +58,26 @@ def write_bronze(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("issue_year").parquet(path)
 
 
+def append_bronze(df: DataFrame, path: str) -> None:
+    """Ingest one batch into a bronze dataset with a folder per batch and issue year.
+
+    Batches may have different columns, see ``read_bronze``. A batch that is
+    ingested again replaces its own folders and no others.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("source_batch", "issue_year").parquet(path)
+
+
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All batches of a bronze dataset with the columns of any of them; null where a batch lacks one.
+
+    The columns come from the footers of all files, which a distributed job reads;
+    pass ``schema`` to skip that. A column that has two types that don't widen
+    into each other is an error.
+    """
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", True).parquet(path)
+
+
 def typed(df: DataFrame) -> DataFrame:
     """The 27 columns in their types; ``id`` is accepted as key. Malformed text becomes null."""
     key = "loan_id" if "loan_id" in df.columns else "id"

@@ -108,13 +108,12 @@ def lifecycle(
     seen = [epochs[name] for name in ("baseline", "inference", "drift") if name in epochs]
     years = window_of(loans, min(a for a, _ in seen), max(b for _, b in seen))
     watched = with_epoch(years, epochs).filter(F.col("epoch").isin("baseline", "inference", "drift"))
-    scores = first.score(watched).select("epoch", "pd", "score", "target").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        base_metrics = validate.evaluate(scores.filter(F.col("epoch") == "baseline")).first().asDict()
-        stability = drift.psi_by(scores.select("epoch", "score"), "epoch", "baseline")
-        verdict = [r.asDict() for r in govern.retrain_decision(stability, force=force_retrain).collect()]
-    finally:
-        scores.unpersist()
+    # outcomes per epoch, probability and score are all that is kept of it
+    seen = validate.profile(first.score(watched), by=["epoch"])
+    baseline = seen.where(F.col("epoch") == "baseline")
+    base_metrics = validate.evaluate_profile(baseline).first().asDict()
+    stability = drift.psi_of_tally(seen, "total", "epoch", "baseline")
+    verdict = [r.asDict() for r in govern.retrain_decision(stability, force=force_retrain).collect()]
 
     second = None
     if any(v["retrain"] for v in verdict):

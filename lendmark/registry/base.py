@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmark.functions.expr import POLICIES
+from lendmark.functions.state import kept
 from lendmark.operators.card import Card, scored
 from lendmark.operators.woe import WoeModel, apply_woe, fit_woe
 from lendmark.plans.layers import derive, preprocess
@@ -75,14 +76,20 @@ def fitted(loans: DataFrame, features: Sequence[str], **options) -> WoeModel:
         return fit_woe(rows, features, **options)
 
 
-def weighed_loans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, WoeModel]:
+def weighed_loans(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> tuple[DataFrame, WoeModel]:
+    """Loans with the weights of their bins. With ``columns`` only these and the card's features are read, and
+    written once for the fit and all that follows; otherwise all columns come, from the tables each time."""
     loans = model_loans(spark, sf_dir)
-    model = fitted(loans, CARD_FEATURES)
+    if columns is None:
+        model = fitted(loans, CARD_FEATURES)
+    else:
+        loans = kept(loans.select(*dict.fromkeys([*CARD_FEATURES, "target", *columns])), "loans")
+        model = fit_woe(loans, CARD_FEATURES)
     return apply_woe(loans, model), model
 
 
-def scored_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = weighed_loans(spark, sf_dir)
+def scored_loans(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
+    rows, _ = weighed_loans(spark, sf_dir, columns)
     return scored(rows, CARD)
 
 

@@ -30,6 +30,23 @@ def latest_per_key(spark, sf_dir):
     return history.latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+@contextmanager
+def own_layer(spark):
+    """The name of a layer that is gone afterwards."""
+    name = f"lendmark_{uuid.uuid4().hex[:12]}"
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def copied(df):
+    """What a layer holds now, beyond its end."""
+    path = fresh_path(df.sparkSession, "layer")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # Orders are loaded in two steps: an old state of all, then the newer half as updates.
 UPDATE_FROM = "1998-06-01"
 UPDATED = f"""changed AS (
@@ -46,15 +63,28 @@ def _changed(orders):
     return updates.unionByName(recent.withColumn("o_orderkey", F.col("o_orderkey") + 100_000_000))
 
 
-@query("upsert_by_key", with_(UPDATED, select=out("o_orderkey o_custkey o_orderstatus o_orderdate o_orderpriority",
+UPSERTED = with_(UPDATED, select=out("o_orderkey o_custkey o_orderstatus o_orderdate o_orderpriority",
        "o_totalprice", "(SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changed) "
-       "UNION ALL SELECT * FROM changed)")))
+       "UNION ALL SELECT * FROM changed)"))
+
+
+@query("upsert_by_key", UPSERTED)
 def upsert_by_key(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     merged = history.upsert(orders, _changed(orders), "o_orderkey", ["o_orderdate"])
     return rounded(merged.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice"))
 
 
+@query("upsert_bucketed", UPSERTED)
+def upsert_bucketed(spark, sf_dir):
+    """The same upsert into a bucketed table, whose rows are not shuffled."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    with own_layer(spark) as name:
+        history.write_bucketed(orders, name, "o_orderkey", 16)
+        return rounded(copied(history.upsert_bucketed(spark.table(name), _changed(orders), "o_orderkey", ["o_orderdate"], 16)))
+
+
 @query("incremental_watermark", "SELECT event_id, ts, event_type FROM events WHERE ts > "
        "(SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')")
 def incremental_watermark(spark, sf_dir):
@@ -81,23 +111,6 @@ def incremental_upsert_run(spark, sf_dir):
     return rounded(state)
 
 
-@contextmanager
-def own_layer(spark):
-    """The name of a layer that is gone afterwards."""
-    name = f"lendmark_{uuid.uuid4().hex[:12]}"
-    try:
-        yield name
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def copied(df):
-    """What a layer holds now, beyond its end."""
-    path = fresh_path(df.sparkSession, "layer")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 @query("incremental_upsert_stream", with_(LATEST_EVENT, select=out("user_id ts event_id event_type", "value",
        "ranked WHERE rn = 1")))
 def incremental_upsert_stream(spark, sf_dir):

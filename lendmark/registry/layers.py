@@ -116,6 +116,23 @@ def bronze_ingest(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(*columns))
 
 
+@query("bronze_schema_evolution", with_(PACKAGE, select=out("loan_id issue_year source_batch loan_status channel", "loan_amnt int_rate", """(
+  SELECT loan_id, issue_year, 'first' AS source_batch, loan_status, NULL::VARCHAR AS channel, loan_amnt, NULL::DOUBLE AS int_rate
+  FROM prepared WHERE issue_year < 1998
+  UNION ALL SELECT loan_id, issue_year, 'second', loan_status, verification_status, loan_amnt, int_rate
+  FROM prepared WHERE issue_year >= 1998)""")))
+def bronze_schema_evolution(spark, sf_dir):
+    """Two batches of different columns; the second is ingested twice, as after a failure."""
+    path = fresh_path(spark, "bronze")
+    loans = prepared(spark, sf_dir).select("loan_id", "issue_year", "loan_status", "loan_amnt", "int_rate", "verification_status")
+    first = loans.filter("issue_year < 1998").drop("int_rate", "verification_status")
+    second = loans.filter("issue_year >= 1998").withColumnRenamed("verification_status", "channel")
+    for batch, rows in (("first", first), ("second", second), ("second", second)):
+        layers.append_bronze(layers.bronze(rows, batch), path)
+    columns = ["loan_id", "issue_year", "source_batch", "loan_status", "channel", "loan_amnt", "int_rate"]
+    return rounded(layers.read_bronze(spark, path).select(*columns))
+
+
 @query(
     "sink_epoch_parquet",
     with_(PACKAGE, select=out("epoch loan_id issue_year target grade loan_status", "loan_amnt dti",

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from lendmark.functions.expr import clip
 from lendmark.functions.scale import tau
+from lendmark.functions.state import kept
 from lendmark.operators import drift, explain, govern, validate
 from lendmark.operators.card import scored
 from lendmark.operators.explain import FRAMEWORK, OTHER_REASON, REASONS
-from lendmark.operators.woe import apply_woe
+from lendmark.operators.woe import apply_woe, fit_woe
 from lendmark.plans.layers import preprocess, with_epoch, write_bronze
 from lendmark.plans.lifecycle import lifecycle
 from lendmark.registry.base import (
@@ -22,7 +23,6 @@ from lendmark.registry.base import (
     SCORED,
     WEIGHED,
     epoch_sql,
-    fitted,
     fresh_path,
     held,
     model_loans,
@@ -36,6 +36,7 @@ from lendmark.registry.base import (
     weighed_sql,
     with_,
 )
+from lendmark.registry.validation import AUC, DECILES, KS
 from lendmark.sources import files
 from lendmark.sources.tables import EPOCHS, loan_view
 
@@ -43,13 +44,13 @@ from lendmark.sources.tables import EPOCHS, loan_view
 
 
 def by_epoch(spark, sf_dir):
-    return with_epoch(scored_loans(spark, sf_dir), EPOCHS).select("epoch", "score", "target", "pd")
+    return with_epoch(scored_loans(spark, sf_dir, ["issue_year"]), EPOCHS).select("epoch", "score", "target", "pd")
 
 
 def shocked(spark, sf_dir):
     """Baseline scores, and the drift years rescored after a worsening of two features."""
-    loans = model_loans(spark, sf_dir)
-    model = fitted(loans, CARD_FEATURES)
+    loans = kept(model_loans(spark, sf_dir).select(*CARD_FEATURES, "target", "issue_year"), "loans")
+    model = fit_woe(loans, CARD_FEATURES)
     base = loans.filter(F.col("issue_year") <= 1997).withColumn("epoch", F.lit("baseline"))
     worse = (
         loans.filter(F.col("issue_year").between(1999, 2000))
@@ -183,15 +184,43 @@ def oot_gate(spark, sf_dir):
     return rounded(govern.oot_decision(validate.ks(validate.deciles(held_out))))
 
 
-@query("run_log")
+EVALUATED = [
+    ("roc_auc", "round(roc_auc, 4)"), ("gini", "round(2 * roc_auc - 1, 4)"), ("ks_statistic", "ks_percent"),
+    ("brier_score", "round(brier, 4)"), ("cost_optimal_tau", f"round({tau()!r}::DOUBLE, 4)"),
+    ("precision_at_tau", "round(coalesce(tp / nullif(tp + fp, 0), 0), 4)"),
+    ("recall_at_tau", "round(coalesce(tp / nullif(tp + fn, 0), 0), 4)"),
+    ("total_financial_loss", "round(fp * 300.0::DOUBLE + fn * 10000.0::DOUBLE, 2)"),
+]
+METRIC_LIST = ", ".join(f"{{'key': '{name}', 'value': CAST(CAST({text} AS DOUBLE) AS VARCHAR)}}" for name, text in EVALUATED)
+SUMS = f"""sums AS (
+  SELECT avg((pd - target) ** 2) AS brier, count(*) FILTER (WHERE pd >= {tau()!r} AND target = 0) AS fp,
+         count(*) FILTER (WHERE pd < {tau()!r} AND target = 1) AS fn,
+         count(*) FILTER (WHERE pd >= {tau()!r} AND target = 1) AS tp FROM scored)"""
+
+
+@query("run_log", with_(ROUTED, psi_sql(), DECILES, AUC, SUMS, f"""observed AS (
+  SELECT unnest([{{'key': 'rows', 'value': CAST(count(*) AS VARCHAR)}}, {{'key': 'bads', 'value': CAST(sum(target)::BIGINT AS VARCHAR)}},
+    {{'key': 'best_score', 'value': CAST(max(score) AS VARCHAR)}}, {{'key': 'seconds', 'value': 'true'}}]) AS m FROM scored),
+measured AS (SELECT unnest([{METRIC_LIST}]) AS m FROM area CROSS JOIN {KS} CROSS JOIN sums),
+watched AS (SELECT epoch, round(sum(psi_contribution), 4) AS psi FROM cells GROUP BY epoch)""", select=f"""
+SELECT 'scoring' AS run_name, 'metric' AS kind, m.key AS key, m.value AS value FROM observed
+UNION ALL SELECT 'scoring', 'tag', 'model', 'fixed card'
+UNION ALL SELECT 'baseline', 'param', 'pdo', '{CARD.pdo.pdo}'
+UNION ALL SELECT 'baseline', 'metric', m.key, m.value FROM measured
+UNION ALL SELECT 'baseline', 'tag', 'status', 'logged'
+UNION ALL SELECT 'watch', 'metric', epoch, CAST(psi AS VARCHAR) FROM watched"""))
 def run_log(spark, sf_dir):
-    """Metrics of the scored loans, appended in two runs and read back."""
-    path = fresh_path(spark, "runs")
-    metrics = validate.evaluate(scored_loans(spark, sf_dir)).first().asDict()
+    """A scoring run that logs what it writes while it writes it, then its metrics and its stability, read back."""
+    path, target = fresh_path(spark, "runs"), fresh_path(spark, "scores")
+    counts = {"bads": F.sum("target"), "best_score": F.max("score")}
+    govern.logged_write(by_epoch(spark, sf_dir), lambda df: df.write.parquet(target), path, "scoring", counts, tags={"model": "fixed card"})
+    seen = validate.profile(spark.read.parquet(target), by=["epoch"])
+    metrics = validate.evaluate_profile(seen).first().asDict()
     govern.log_run(spark, path, "baseline", {"pdo": CARD.pdo.pdo}, metrics, {"status": "logged"})
-    psi = drift.psi_by(by_epoch(spark, sf_dir), "epoch", "baseline").collect()
+    psi = drift.psi_of_tally(seen.where("epoch IS NOT NULL"), "total", "epoch", "baseline").collect()
     govern.log_run(spark, path, "watch", {}, {r["epoch"]: r["psi"] for r in psi})
-    return spark.read.parquet(path).drop("logged_at")
+    timed = F.when(F.col("key") == "seconds", (F.col("value").cast("double") >= 0).cast("string")).otherwise(F.col("value"))
+    return govern.runs(spark, path).drop("logged_at").withColumn("value", timed)
 
 
 @query("lifecycle_3_epochs")

@@ -87,7 +87,7 @@ FITTED = WEIGHED + ",\n" + newton_sql(COLUMNS)
 
 
 def fit(spark, sf_dir):
-    loans, model = weighed_loans(spark, sf_dir)
+    loans, model = weighed_loans(spark, sf_dir, [])
     return cards.fit_card(loans, woe_columns(model))
 
 
@@ -108,7 +108,7 @@ def coefficient_table(spark, sf_dir):
 
 @query("predict_pd", with_(SCORED, select=out("loan_id", "pd", "scored")))
 def predict_pd(spark, sf_dir):
-    rows, _ = weighed_loans(spark, sf_dir)
+    rows, _ = weighed_loans(spark, sf_dir, ["loan_id"])
     return rounded(cards.with_pd(rows, CARD).select("loan_id", "pd"))
 
 
@@ -134,13 +134,13 @@ def pdo_calibration(spark, sf_dir):
 
 @query("score_scale", with_(SCORED, select="SELECT loan_id, score FROM scored"))
 def score_scale(spark, sf_dir):
-    return scored_loans(spark, sf_dir).select("loan_id", "score")
+    return scored_loans(spark, sf_dir, ["loan_id"]).select("loan_id", "score")
 
 
 @query("score_from_pd", with_(SCORED, select="SELECT loan_id, " + SCORE_OF.format(
        x=f"{OFFSET}::DOUBLE - {FACTOR}::DOUBLE * ln(least(greatest(pd / (1 - pd), 1e-7), 1e7))") + " AS score FROM scored"))
 def score_from_pd_query(spark, sf_dir):
-    return scored_loans(spark, sf_dir).select("loan_id", score_from_pd(F.col("pd")).alias("score"))
+    return scored_loans(spark, sf_dir, ["loan_id"]).select("loan_id", score_from_pd(F.col("pd")).alias("score"))
 
 
 BETAS = " UNION ALL ".join(f"SELECT '{c.removesuffix('_woe')}' AS feature, {b!r}::DOUBLE AS coefficient" for c, b in CARD.coefs.items())
@@ -154,7 +154,7 @@ points AS (
 
 @query("points_table", with_(CARD_WOE, POINTS, select="SELECT feature, bin_id, category, goods, bads, woe, scorecard_points FROM points"))
 def points_table(spark, sf_dir):
-    _, model = weighed_loans(spark, sf_dir)
+    _, model = weighed_loans(spark, sf_dir, [])
     table = cards.points(model.bins, CARD)
     return table.select("feature", "bin_id", "category", "goods", "bads", "woe", "scorecard_points")
 
@@ -164,7 +164,7 @@ def points_table(spark, sf_dir):
   UNION ALL SELECT loan_id, scorecard_points FROM long_text t JOIN points p
   ON t.feature = p.feature AND t.value = p.category) GROUP BY loan_id"""))
 def score_by_points(spark, sf_dir):
-    loans, model = weighed_loans(spark, sf_dir)
+    loans, model = weighed_loans(spark, sf_dir, ["loan_id"])
     table = cards.points(model.bins, CARD)
     return cards.score_by_points(loans, model, table, CARD).select("loan_id", "points_score")
 
@@ -172,7 +172,7 @@ def score_by_points(spark, sf_dir):
 @query("sink_points_csv", with_(CARD_WOE, POINTS, select="SELECT feature, coalesce(category, printf('(%.2f, %.2f]', lower, upper)) "
        "AS bin, goods, bads, woe, scorecard_points FROM points"))
 def sink_points_csv(spark, sf_dir):
-    _, model = weighed_loans(spark, sf_dir)
+    _, model = weighed_loans(spark, sf_dir, [])
     path = fresh_path(spark, "points")
     table = cards.points(model.bins, CARD).select("feature", "bin", "goods", "bads", "woe", "scorecard_points")
     files.write_points(table, path)

@@ -31,7 +31,7 @@ KS = (
 
 
 def scores(spark, sf_dir):
-    return scored_loans(spark, sf_dir).select(*SCORE_COLUMNS)
+    return scored_loans(spark, sf_dir, ["loan_id"]).select(*SCORE_COLUMNS)
 
 
 @query("decile_table", with_(SCORED, DECILES, select=out("decile total bads goods min_score max_score",
@@ -104,7 +104,7 @@ def brier_decomposition(spark, sf_dir):
 def cost_cutoff(spark, sf_dir):
     flagged = F.count_if(F.col("pd") >= tau())
     return rounded(
-        scored_loans(spark, sf_dir)
+        scored_loans(spark, sf_dir, ["purpose"])
         .groupBy("purpose")
         .agg(F.lit(tau()).alias("tau"), F.count("*").alias("loans"), flagged.alias("above"))
     )
@@ -162,7 +162,7 @@ def pr_auc(spark, sf_dir):
        "(SELECT grade, count(*) AS loans, sum(loan_amnt) AS exposure, sum(pd * 0.45::DOUBLE * loan_amnt) AS expected_loss "
        "FROM scored GROUP BY grade)").replace("6) AS exp", "2) AS exp")))
 def expected_loss(spark, sf_dir):
-    rows = scored_loans(spark, sf_dir)
+    rows = scored_loans(spark, sf_dir, ["grade", "loan_amnt"])
     return rounded(validate.expected_loss(rows, F.col("pd"), F.lit(0.45), F.col("loan_amnt"), "grade"), 2)
 
 

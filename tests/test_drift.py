@@ -53,8 +53,10 @@ def test_breakdown_adds_up(spark):
 def test_an_integer_score_of_many_values_needs_no_single_buffer(spark, monkeypatch):
     df = spark.range(3000).select((F.col("id") * 17 % 2999).cast("int").alias("score"))
     plain = drift.psi_edges(df)
-    monkeypatch.setattr("lendmark.operators.validate.settled", lambda counts: (counts, False))
-    assert drift.psi_edges(df) == pytest.approx(plain)
+    monkeypatch.setattr("lendmark.functions.state.SETTLE_ROWS", 100)
+    monkeypatch.setattr("lendmark.operators.tally.RANGE_ROWS", 200)
+    assert drift.psi_edges(df) == plain
+    assert drift.psi_edges(df.withColumn("score", F.col("score").cast("double"))) == plain
 
 
 def test_identical_and_constant_samples_have_no_drift(spark):

@@ -1,3 +1,5 @@
+import uuid
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -24,6 +26,36 @@ def test_upsert_replaces_inserts_and_is_idempotent(spark):
     assert rows_of(history.upsert(once, source, "k", ["t"])) == rows_of(once)
 
 
+@pytest.fixture
+def bucketed(spark):
+    name = f"bucketed_{uuid.uuid4().hex[:10]}"
+    rows = [(k, k % 5, f"v{k}") for k in range(400)] + [(None, 1, "n")]
+    history.write_bucketed(spark.createDataFrame(rows, "k int, t int, v string"), name, "k", 6)
+    yield spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, bucketed):
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = spark.createDataFrame([(3, 9, "new"), (3, 8, "old"), (900, 1, "add"), (None, 2, "m")], "k int, t int, v string")
+        merged = history.upsert_bucketed(bucketed, source, "k", ["t"], 6)
+        plan = plan_of(merged)
+        assert rows_of(merged) == rows_of(history.upsert(bucketed, source, "k", ["t"]))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    target = plan[: plan.index("Scan parquet")].rsplit("Join", 1)[1]  # from the join down to the scan of the target
+    assert "Bucketed: true" in plan and "Exchange" not in target
+    assert plan.count("Exchange hashpartitioning(k") <= 2  # those of the source
+    assert "Exchange" not in plan_of(history.latest(bucketed, "k", ["t"]))
+
+
 def test_only_strictly_newer_rows_are_loaded(spark):
     landing = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-01'), (1, TIMESTAMP '2024-01-03') AS t(k, ts)")
     first = history.load_increment(landing.limit(1), None, "k", "ts")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, quantile_edges, running_totals
+from lendmark.operators.quantiles import even_probs, exact_quantiles, open_edges, quantile_edges
 
 
 def frame(spark, **columns):
@@ -44,23 +44,6 @@ def test_edges_collapse_on_ties(spark):
     assert open_edges([3.0, 3.0, 3.0]) == [-np.inf, np.inf]
 
 
-@pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_equal_a_plain_cumulative_sum(spark, descending):
-    rng = np.random.default_rng(3)
-    pdf = pd.DataFrame({"x": np.unique(rng.normal(size=3000)), "n": 1})
-    pdf["n"] = rng.integers(1, 9, len(pdf))
-    got = running_totals(spark.createDataFrame(pdf), "x", {"upto": "n"}, descending, slice_rows=200).toPandas()
-    want = pdf.sort_values("x", ascending=not descending)
-    merged = got.merge(want.assign(want=want.n.cumsum())[["x", "want"]], on="x")
-    assert (merged.upto == merged.want).all() and len(merged) == len(pdf)
-
-
-def test_running_totals_of_few_values(spark):
-    df = spark.createDataFrame([(1, 10), (2, 20)], "x int, n bigint")
-    assert [r["t"] for r in running_totals(df, "x", {"t": "n"}).orderBy("x").collect()] == [10, 30]
-    assert running_totals(df.filter(F.col("x") > 5), "x", {"t": "n"}).count() == 0
-
-
 @pytest.mark.parametrize("settle_rows", [0, 20_000])
 @pytest.mark.parametrize("values", ["above", "below", "equal"])
 def test_many_infinite_or_equal_values_settle(spark, settle_rows, values):

@@ -104,7 +104,7 @@ def test_unseen_categories_are_neutral_on_both_lookup_paths(spark, monkeypatch,
 
 
 def test_large_category_tables_stay_distributed(spark, monkeypatch):
-    monkeypatch.setattr("lendmark.operators.woe.settled", lambda df: (df, False))
+    monkeypatch.setattr("lendmark.functions.state.SETTLE_ROWS", 2)
     df = by_hand(spark).withColumn("x", F.rand(1))
     model = woe.fit_woe(df, ["bin", "x"])
     got = {r["category"]: r["woe"] for r in model.bins.filter("kind = 'categorical'").collect()}
@@ -112,6 +112,29 @@ def test_large_category_tables_stay_distributed(spark, monkeypatch):
     assert woe.apply_woe(df, model).agg(F.count("bin_woe")).first()[0] == 90
 
 
+def test_frequent_categories_of_a_large_table_fill_no_task(spark, monkeypatch):
+    monkeypatch.setattr("lendmark.functions.state.SETTLE_ROWS", 100)
+    rng = np.random.default_rng(4)
+    text = np.where(rng.random(16_000) < 0.5, "hot", rng.integers(0, 900, 16_000).astype(str)).astype(object)
+    text[::7] = None
+    df = spark.createDataFrame(pd.DataFrame({"c": text, "target": (rng.random(16_000) < 0.3).astype(int), "i": np.arange(16_000)}))
+    model = woe.fit_woe(df, ["c"])
+    assert model.distributed
+    heavy = woe.frequent(df, "c")
+    assert heavy[0] == "hot" and "nan" in heavy and len(heavy) == woe.FREQUENT
+    keys = df.select(woe.spread_key(df, "c", heavy).alias("k")).repartition(8, "k")
+    sizes = sorted(r["count"] for r in keys.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["i"]: r["c_woe"] for r in woe.apply_woe(df, model).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    known = {r["category"]: r["woe"] for r in model.bins.collect()}
+    assert len(got) == 16_000 and all(got[i] == known["nan" if t is None else t] for i, t in enumerate(text))
+
+
 def test_share_smoothing_uses_padded_edges(spark):
     df = spark.createDataFrame([(float(i), int(i >= 80)) for i in range(100)], "x double, target int")
     model = woe.fit_woe(df, ["x"], smoothing="share", monotone=False)
