@@ -1,9 +1,10 @@
-"""Duplicate passages by a relative Lempel-Ziv parse against the corpus.
+"""Duplicate passages by their windows' earliest occurrences in the corpus.
 
-A document is factored against everything that starts earlier in the corpus. A
-factor of at least ``WINDOW`` words is a run of windows that occur earlier, so
-the parse needs, for every window, its reference: an earlier start of the same
-words.
+A window of ``WINDOW`` words that occurs earlier has a reference: the earliest
+start of the same words. Runs of windows whose references run along with them are
+factors. Unlike those of a relative Lempel-Ziv parse, they are not extended to
+the longest match among all references and may overlap; the words they cover are
+the same.
 
 1. Documents are read in blocks. A block indexes its windows; repeats within the
    block get their reference there, so a window leaves a block once at most.
@@ -11,9 +12,7 @@ words.
    names: the smallest hash among the half-windows inside a window, which equal
    windows share. A shard holds every block's entries and answers those that
    have an earlier one.
-3. The answers return to their documents, which are factored greedily: a factor
-   goes on while its reference goes on; where it ends, the windows that cross
-   the border are looked at by themselves. What factors cover is removed.
+3. The answers return to their documents as runs. What they cover is removed.
 """
 
 from __future__ import annotations
@@ -23,7 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmark.llm.near_dups import mixed
@@ -40,7 +40,8 @@ ODD = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.u
 
 PAYLOAD = "shard int, docs binary, tags binary, anchors binary, owners binary, starts binary, sizes binary, checks binary, " \
     "local_owners binary, local_places binary, ref_owners binary, ref_places binary"
-ANSWER = "doc_id long, tag long, places array<int>, ref_docs array<long>, ref_places array<int>"
+ANSWER = "doc_id long, tag long, place int, size int, ref_doc long, ref_place int"
+RUNS = "runs"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -132,7 +133,7 @@ def _flush(buffer: list[tuple[np.ndarray, ...]], docs: np.ndarray, tags: np.ndar
         owner = owner.astype(np.uint32)
         cuts = np.cumsum([len(runs), len(own)])
         values = (
-            docs[used], tags[used].astype(np.uint32), anchor[runs], owner[: cuts[0]],
+            docs[used], tags[used], anchor[runs], owner[: cuts[0]],
             s_places[runs].astype(np.uint32), sizes[edges[k] : edges[k + 1]].astype(np.uint8),
             checks[window_edges[k] : window_edges[k + 1]], owner[cuts[0] : cuts[1]],
             places[own].astype(np.uint32), owner[cuts[1] :], places[refs].astype(np.uint32),
@@ -167,29 +168,29 @@ def entries(documents: DataFrame, width: int, shards: int) -> DataFrame:
 
 
 def _answers(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, ref_doc: np.ndarray, ref_place: np.ndarray) -> pa.Table:
-    """One row per document, its places in order."""
+    """One row per run of windows whose references run along with them.
+
+    How many there are follows from the texts, not from the number of shards.
+    """
     order = np.lexsort((place, tag, doc))
     doc, tag, place, ref_doc, ref_place = (x[order] for x in (doc, tag, place, ref_doc, ref_place))
     opens = np.ones(len(doc), dtype=bool)
-    opens[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
-    starts = np.flatnonzero(opens)
-    offsets = pa.array(np.append(starts, len(doc)), pa.int32())
-    return pa.table(
-        {
-            "doc_id": pa.array(doc[starts], pa.int64()),
-            "tag": pa.array(tag[starts], pa.int64()),
-            "places": pa.ListArray.from_arrays(offsets, pa.array(place, pa.int32())),
-            "ref_docs": pa.ListArray.from_arrays(offsets, pa.array(ref_doc, pa.int64())),
-            "ref_places": pa.ListArray.from_arrays(offsets, pa.array(ref_place, pa.int32())),
-        }
+    opens[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (ref_doc[1:] != ref_doc[:-1])
+    opens[1:] |= (place[1:].astype(np.int64) != place[:-1].astype(np.int64) + 1) | (
+        ref_place[1:].astype(np.int64) != ref_place[:-1].astype(np.int64) + 1
     )
+    starts = np.flatnonzero(opens)
+    sizes = np.diff(np.append(starts, len(doc)))
+    columns = (doc[starts], tag[starts], place[starts], sizes, ref_doc[starts], ref_place[starts])
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+    return pa.table({f.split()[0]: pa.array(c.astype(t.to_pandas_dtype())) for f, c, t in zip(ANSWER.split(", "), columns, types)})
 
 
 def _search(table: pa.Table) -> pa.Table:
     """Answers of one shard: entries of which an equal one starts earlier, and what the blocks found themselves."""
     docs, tags, places, keys, found = [], [], [], [], []
     for row in table.to_pylist():
-        doc, tag = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["tags"], np.uint32)
+        doc, tag = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["tags"], np.int64)
         sizes = np.frombuffer(row["sizes"], np.uint8).astype(np.int64)
         owner = np.repeat(np.frombuffer(row["owners"], np.uint32), sizes)
         start = np.frombuffer(row["starts"], np.uint32).astype(np.int64)
@@ -203,7 +204,7 @@ def _search(table: pa.Table) -> pa.Table:
         places.append((np.repeat(start, sizes) + step).astype(np.int32))
         own, ref = np.frombuffer(row["local_owners"], np.uint32), np.frombuffer(row["ref_owners"], np.uint32)
         found.append((
-            doc[own], tag[own].astype(np.int64), np.frombuffer(row["local_places"], np.uint32),
+            doc[own], tag[own], np.frombuffer(row["local_places"], np.uint32),
             doc[ref], np.frombuffer(row["ref_places"], np.uint32),
         ))
     key = np.concatenate(keys)
@@ -222,7 +223,7 @@ def _search(table: pa.Table) -> pa.Table:
     first = np.maximum.accumulate(np.where(later, 0, np.arange(len(key))))
     # the same row read by two blocks is one document
     later &= (doc != doc[first]) | (tag != tag[first]) | (place != place[first])
-    found.append((doc[later], tag[later].astype(np.int64), place[later], doc[first][later], place[first][later]))
+    found.append((doc[later], tag[later], place[later], doc[first][later], place[first][later]))
     return _answers(*(np.concatenate([f[k] for f in found]) for k in range(5)))
 
 
@@ -246,40 +247,62 @@ def factors(places: np.ndarray, ref_docs: np.ndarray, ref_places: np.ndarray, wi
 
 
 def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``doc_id, tag`` and, per window that also starts earlier, its place and its reference.
+    """``doc_id, tag`` and the ``runs`` of windows that also start earlier: place, size, reference's document and place.
 
     ``source`` has ``doc_id, tag, text``. A document that has no such window has no row.
     """
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     found = entries(source, width, shards).groupBy("shard").applyInArrow(_search, ANSWER)
-    flat = [F.flatten(F.collect_list(c)).alias(c) for c in ("places", "ref_docs", "ref_places")]
-    return found.groupBy("doc_id", "tag").agg(*flat)  # no more than a document's own windows
+    run = F.struct("place", "size", "ref_doc", "ref_place")
+    return found.groupBy("doc_id", "tag").agg(F.collect_list(run).alias(RUNS))  # no more than a document's own windows
 
 
 def keyed(documents: DataFrame, id_column: str, text_column: str) -> list:
-    """Id and tag that tell documents apart: rows without an id come last, rows of one id by their tag."""
+    """Id and tag that tell documents apart: rows without an id come last, rows of one id by their tag.
+
+    The tag is 63 bits of the text's hash beside a bit for a missing id, so any
+    long is an id. Two texts of one id are mistaken for each other with a
+    chance of about n^2 / 2^64 where n texts share the id.
+    """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    given = F.col(f"`{id_column}`").cast("long")
+    hashed = F.shiftrightunsigned(F.xxhash64(text), 1)
     return [
-        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST_ID)).alias("doc_id"),
-        F.xxhash64(text).bitwiseAND(0xFFFFFFFF).alias("tag"),
+        F.coalesce(given, F.lit(LAST_ID)).alias("doc_id"),
+        F.when(given.isNull(), hashed).otherwise(hashed.bitwiseOR(F.lit(-(1 << 63)))).alias("tag"),
         text.alias("text"),
     ]
 
 
-def _arrays(column: pa.Array) -> Iterator[np.ndarray]:
-    for value in column:
-        yield value.values.to_numpy() if value.is_valid else np.empty(0, np.int64)
+def _own_id() -> Column:
+    """The id again; null where the tag says that there is none."""
+    return F.when(F.col("tag") < 0, F.col("doc_id"))
+
+
+def _windows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per row the places of its windows in order, with their references' documents and places."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    runs = column.flatten()
+    place, size, ref_doc, ref_place = (
+        runs.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("place", "size", "ref_doc", "ref_place")
+    )
+    ends = np.cumsum([0, *(0 if n is None else n for n in pc.list_value_length(column).to_pylist())])
+    for a, b in zip(ends, ends[1:]):
+        order = a + np.argsort(place[a:b], kind="stable")
+        sizes = size[order]
+        step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.repeat(place[order], sizes) + step
+        by = np.argsort(at, kind="stable")  # runs of a row that is read twice lie across each other
+        yield at[by], np.repeat(ref_doc[order], sizes)[by], (np.repeat(ref_place[order], sizes) + step)[by]
 
 
 def _parsed(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray, list[tuple[int, int, int, int]]]]:
     """Per row its words, which of them factors cover, and the factors."""
     found = words(part.column("text"))
     values, codes, bounds = found.values.to_pylist(), found.codes.tolist(), found.bounds.tolist()
-    columns = (_arrays(part.column(c)) for c in ("places", "ref_docs", "ref_places"))
-    for a, b, place, ref_doc, ref_place in zip(bounds, bounds[1:], *columns):
-        order = np.argsort(place, kind="stable")
-        parsed = factors(place[order], ref_doc[order], ref_place[order], width)
+    for a, b, refs in zip(bounds, bounds[1:], _windows(part.column(RUNS))):
+        parsed = factors(*refs, width)
         covered = np.zeros(b - a, dtype=bool)
         for start, length, _, _ in parsed:
             covered[start : start + length] = True
@@ -300,7 +323,7 @@ def removal_digests(
     document and get the same result. Other columns are not read.
     """
     source = documents.select(*keyed(documents, id_column, text_column))
-    joined = source.join(references(source, width), ["doc_id", "tag"], "left")
+    joined = source.join(references(source, width), ["doc_id", "tag"], "left").withColumn("doc_id", _own_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,30 +341,31 @@ def removal_digests(
                     ["doc_id", "n_words", "n_removed", "kept_sha256", "n_factors"],
                 )
 
-    out = joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors long")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST_ID, F.col("doc_id")))
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors long")
 
 
 def duplicate_spans(
     documents: DataFrame, width: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, start, length, ref_doc, ref_start`` per factor, in words; edge cases as in ``removal_digests``."""
+    """``doc_id, start, length, ref_doc, ref_start`` per factor, in words; edge cases as in ``removal_digests``.
+
+    ``ref_doc`` is null for a reference without an id or with the largest long as its id.
+    """
     found = references(documents.select(*keyed(documents, id_column, text_column)), width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            columns = (_arrays(batch.column(c)) for c in ("places", "ref_docs", "ref_places"))
-            for doc, place, ref_doc, ref_place in zip(batch.column("doc_id").to_pylist(), *columns):
-                order = np.argsort(place, kind="stable")
-                rows += [(doc, *f) for f in factors(place[order], ref_doc[order], ref_place[order], width)]
+            ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
+            for doc, tag, refs in zip(ids, tags, _windows(batch.column(RUNS))):
+                rows += [(doc if tag < 0 else None, *f) for f in factors(*refs, width)]
             columns = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ref_doc", "ref_start"]
             )
 
     out = found.mapInArrow(run, "doc_id long, start long, length long, ref_doc long, ref_start long")
-    return out.select(*(F.when(F.col(c) < LAST_ID, F.col(c)).alias(c) for c in out.columns))
+    return out.withColumn("ref_doc", F.when(F.col("ref_doc") < LAST_ID, F.col("ref_doc")))
 
 
 def without_duplicates(
@@ -353,7 +377,7 @@ def without_duplicates(
     known = F.col(f"`{text_column}`").isNotNull().alias("known")
     rows = documents.select(*keys, rest, known)
     joined = rows.join(references(rows.select("doc_id", "tag", "text"), width), ["doc_id", "tag"], "left")
-    wanted = joined.select("text", "rest", "known", "places", "ref_docs", "ref_places")
+    wanted = joined.select("text", "rest", "known", RUNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendmark.llm import components, near_dups, substrings
 
@@ -138,6 +139,25 @@ def test_removal_equals_brute_force_with_one_block_and_many(docs, monkeypatch, b
     assert got == brute_removal(rows, 20)
 
 
+def test_texts_whose_short_hashes_agree_stay_apart(spark, docs):
+    words_of = " ".join(f"w{k}x', id, 'y" for k in range(25))
+    made = spark.range(150_000).selectExpr(f"concat('{words_of}') AS text")
+    low = F.xxhash64("text").bitwiseAND(0xFFFFFFFF)
+    pair = made.groupBy(low.alias("h")).agg(F.collect_list("text").alias("t")).filter(F.size("t") > 1).first()["t"][:2]
+    rows = [(1, "a text of its own"), (7, pair[0]), (7, pair[1]), (None, pair[0]), (None, pair[1] + " more")]
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.removal_digests(docs(rows)).collect()), key=repr)
+    assert got == sorted([(1, 5, 0), (7, 25, 0), (7, 25, 0), (None, 25, 25), (None, 26, 25)], key=repr)
+    left = sorted(r["text"] for r in substrings.without_duplicates(docs(rows)).collect())
+    assert left == sorted(["a text of its own", *pair, "", "more"])
+
+
+def test_the_largest_long_is_an_id(docs):
+    long, last = " ".join(f"w{i}" for i in range(30)), (1 << 63) - 1
+    rows = [(last, long), (None, long), (-last - 1, "z " + long[:-4])]
+    got = {(r["doc_id"], r["n_removed"]) for r in substrings.removal_digests(docs(rows)).collect()}
+    assert got == {(last, 29), (None, 30), (-last - 1, 0)}
+
+
 def test_removal_of_odd_rows(docs):
     long = " ".join(f"w{i}" for i in range(30))
     rows = [(3, long), (3, long), (None, long), (1, "x " + long), (5, "short text")]
