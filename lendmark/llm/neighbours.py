@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmark.llm import vectors
+from lendmark.llm.samples import smallest_hashes
 from lendmark.llm.scratch import kept
 
 SUBSTRING = 8
@@ -123,8 +124,7 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for rows whose id is divisible by ``every``, the ``k`` nearest found.
 
-    The coder is fitted on at most about ``max_sample`` rows, chosen by a hash
-    of the id; every row is indexed. A query with fewer than ``k`` codes within
+    The coder is fitted on the ``max_sample`` rows whose hashes are smallest; every row is indexed. A query with fewer than ``k`` codes within
     the radius is searched again without a radius, so it lacks rows only if the
     table does.
 
@@ -136,12 +136,8 @@ def nearest(
     spark = embeddings.sparkSession
     rows = vectors.usable(embeddings, id_column, vector_column, lambda v: F.exists(v, lambda x: x != 0))
     total = rows.count()
-    share = min(1.0, max_sample / max(total, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1_000_000)) < int(1_000_000 * share)).limit(2 * max_sample)
-    sample = chosen.toArrow().sort_by("id") if total else None
+    sample = smallest_hashes(rows, max_sample, "id", "vector", seed=3, total=total).toArrow().sort_by("id") if total else None
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not total or not sample.num_rows:
-        sample = rows.limit(max_sample).toArrow().sort_by("id") if total else None
     if sample is None:
         return empty
     coder = Coder(vectors.matrix(sample["vector"]), k=k)

@@ -23,7 +23,9 @@ from lendmark.functions.state import local_frame
 from lendmark.llm.scratch import kept
 from lendmark.llm.text import chunks, spread, units
 
-CACHE_ENTRIES = 200_000
+CACHE_BYTES = 48 << 20  # of what a worker keeps
+ENTRY_BYTES = 150  # of an entry beside its bytes
+LONGEST_KEPT = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,18 +60,27 @@ class UnitIds:
         else:
             library = tokenizer(path)
             self.encode = lambda texts: [c.ids for c in library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Free the ids that are kept between chunks."""
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows end to end, and the bounds of the rows."""
         pieces = units(texts, self.special)
         keys = pieces.values.to_pylist()
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
+        if self.held > CACHE_BYTES:
+            self.forget()
+        fresh: dict[bytes, bytes] = {}
         missing = [k for k in keys if k not in self.known]
         for key, ids in zip(missing, self.encode([k.decode("utf-8", "replace") for k in missing])):
-            self.known[key] = np.array(ids, dtype="<u4").tobytes()
-        runs = [self.known[k] for k in keys]
+            fresh[key] = np.array(ids, dtype="<u4").tobytes()
+        runs = [self.known[k] if k in self.known else fresh[k] for k in keys]
+        short = {k: v for k, v in fresh.items() if len(k) <= LONGEST_KEPT}
+        self.known.update(short)
+        self.held += sum(ENTRY_BYTES + len(k) + len(v) for k, v in short.items())
         offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])]).astype(np.int64)
         index, ends = spread(pieces.codes, offsets)
         return np.frombuffer(b"".join(runs), "<u4")[index], ends[pieces.bounds]
@@ -112,6 +123,7 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int, end_i
                      pa.array(length, pa.int64()), pa.array(sums, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        coder.forget()
 
     return documents.mapInArrow(cut, PIECES)
 

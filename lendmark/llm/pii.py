@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendmark.llm.samples import smallest_hashes
+from lendmark.llm.scratch import kept
 from lendmark.llm.text import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -161,25 +163,35 @@ RUNS = re.compile(r"9+|A+|a+|[^9Aa]+")
 CLASSES = {**{chr(c): "9" for c in range(48, 58)}, **{chr(c): "A" for c in range(65, 91)}}
 
 
-@lru_cache(maxsize=100_000)
+SHORT = 64  # longest words whose features are kept by a worker
+
+
 def shape(word: str) -> tuple[str, str]:
     """Shape with the lengths of runs, and without; letters beyond A-Z count as small ones."""
-    plain = "".join(CLASSES.get(c) or ("a" if c.isalpha() else c) for c in word[:200])
+    plain = "".join([CLASSES.get(c) or ("a" if c.isalpha() else c) for c in word])
     runs = RUNS.findall(plain)
     return (
-        "".join(f"{r[0]}{min(len(r), 20)}" if r[0] in "9Aa" else r for r in runs),
-        "".join(r[0] if r[0] in "9Aa" else r for r in runs),
+        "".join([f"{r[0]}{min(len(r), 20)}" if r[0] in "9Aa" else r for r in runs]),
+        "".join([r[0] if r[0] in "9Aa" else r for r in runs]),
     )
 
 
+@lru_cache(maxsize=50_000)
+def _short_shape(word: str) -> tuple[str, str]:
+    return shape(word)
+
+
+def _shape(word: str) -> tuple[str, str]:
+    return _short_shape(word) if len(word) <= SHORT else shape(word)
+
+
 def _bucket(name: str) -> int:
     return zlib.crc32(name.encode()) % BUCKETS
 
 
-@lru_cache(maxsize=200_000)
 def features(word: str, before: str, after: str) -> tuple[int, ...]:
     """Hashed features of a word (its shapes, digits and marks) and of its neighbours' shapes."""
-    fine, coarse = shape(word)
+    fine, coarse = _shape(word)
     digits = sum(map(str.isdigit, word))
     names = (
         "bias", f"f={fine}", f"c={coarse}", f"d={min(digits, 20)}", f"first={fine[:1]}", f"at={'@' in word}",
@@ -188,10 +200,26 @@ def features(word: str, before: str, after: str) -> tuple[int, ...]:
     return tuple(map(_bucket, names))
 
 
+@lru_cache(maxsize=50_000)
+def _short_features(word: str, before: str, after: str) -> tuple[int, ...]:
+    return features(word, before, after)
+
+
+def forget() -> None:
+    """Free what a worker keeps between texts."""
+    _short_shape.cache_clear()
+    _short_features.cache_clear()
+
+
 def island_features(text: str, words: list[tuple[int, int]]) -> np.ndarray:
-    surfaces = [text[a:b] if b - a <= 200 else text[a : a + 200] for a, b in words]
-    shapes = ["^", *(shape(w)[1] for w in surfaces), "$"]
-    return np.array([features(w, shapes[i], shapes[i + 2]) for i, w in enumerate(surfaces)], dtype=np.int32)
+    """Features of the words of an island; whole words, however long."""
+    surfaces = [text[a:b] for a, b in words]
+    shapes = ["^", *(_shape(w)[1] for w in surfaces), "$"]
+    out = []
+    for i, w in enumerate(surfaces):
+        short = len(w) + len(shapes[i]) + len(shapes[i + 2]) <= 3 * SHORT
+        out.append((_short_features if short else features)(w, shapes[i], shapes[i + 2]))
+    return np.array(out, dtype=np.int32)
 
 
 def island_labels(words: list[tuple[int, int]], spans: list[Span]) -> list[int]:
@@ -379,18 +407,20 @@ def found_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[S
 
 # ------------------------------------------------------------ as DataFrames
 
+ISLANDS_OF_A_TEXT = 32
 ISLAND = T.StructType(
-    [T.StructField("features", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("labels", T.ArrayType(T.IntegerType()))]
+    [T.StructField("h", T.LongType()), T.StructField("features", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("labels", T.ArrayType(T.IntegerType()))]
 )
 
 
 def labelled_sample(documents: DataFrame, rows: int = 2000, text_column: str = "text") -> DataFrame:
-    """A small labelled table ``text, spans`` of about ``rows`` rows that hold a digit or an at sign,
-    labelled by ``taught_spans``; the rows are chosen by a hash of the text."""
+    """A small labelled table ``text, spans`` of ``rows`` distinct texts at most that hold a digit or an at sign,
+    labelled by ``taught_spans``: those whose hashes are smallest, copies counting once."""
     source = documents.select(F.col(text_column).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    held = source.count()
-    share = min(1.0, rows / max(held, 1))
-    chosen = source.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * share))
+    # distinct texts by their hash, so that no text is shuffled; copies can only lie beside each other
+    hashes = kept(source.select(F.xxhash64("text").alias("h")).distinct(), "hashes")
+    chosen = smallest_hashes(hashes, rows, "h")
+    chosen = source.join(F.broadcast(chosen), F.xxhash64("text") == F.col("h"), "left_semi").distinct()
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,13 +429,14 @@ def labelled_sample(documents: DataFrame, rows: int = 2000, text_column: str = "
                 [batch.column(0), pa.array([spans_text(taught_spans(t)) for t in texts], pa.string())], ["text", "spans"]
             )
 
-    return chosen.limit(2 * rows).mapInArrow(label, "text string, spans string")
+    return chosen.mapInArrow(label, "text string, spans string")
 
 
 def fit(labelled: DataFrame, max_islands: int = 6000) -> Field:
     """Train on ``text, spans`` (spans as ``kind:start:end`` joined by commas; null is none).
 
-    Only islands reach the driver, at most ``max_islands`` of them. Islands of
+    Only islands reach the driver: at most ``ISLANDS_OF_A_TEXT`` of each text, those
+    that hash lowest, and of these the ``max_islands`` that hash lowest. Islands of
     over 64 words are left out. An empty table gives a field that adds nothing.
     """
 
@@ -414,16 +445,18 @@ def fit(labelled: DataFrame, max_islands: int = 6000) -> Field:
             rows = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 known = parse_spans(spans)
-                for words in islands(text or ""):
-                    if len(words) <= 64:
-                        rows.append((island_features(text, words).tolist(), island_labels(words, known)))
-            lists = list(zip(*rows)) if rows else [[], []]
+                found = [w for w in islands(text or "") if len(w) <= 64]
+                order = [(zlib.crc32(text[w[0][0] : w[-1][1]].encode("utf-8", "replace")), w) for w in found]
+                for h, words in sorted(order)[:ISLANDS_OF_A_TEXT]:
+                    rows.append((h, island_features(text, words).tolist(), island_labels(words, known)))
+            lists = list(zip(*rows)) if rows else [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lists[0], pa.list_(pa.list_(pa.int32()))), pa.array(lists[1], pa.list_(pa.int32()))],
-                ["features", "labels"],
-            )
+                [pa.array(lists[0], pa.int64()), pa.array(lists[1], pa.list_(pa.list_(pa.int32()))),
+                 pa.array(lists[2], pa.list_(pa.int32()))], ["h", "features", "labels"],
+            )
 
-    rows = labelled.select("text", "spans").mapInArrow(cut, ISLAND).limit(max_islands).collect()
+    found = labelled.select("text", "spans").mapInArrow(cut, ISLAND)
+    rows = found.orderBy("h", "features", "labels").limit(max_islands).collect()
     rows.sort(key=lambda r: (r["features"], r["labels"]))
     return Field.fit([np.array(r["features"], dtype=np.int32) for r in rows], [r["labels"] for r in rows])
 
@@ -456,6 +489,7 @@ def find(documents: DataFrame, field: Field, id_column: str = "doc_id", text_col
                      pa.array(digests, pa.string()), pa.array(spans, pa.string())],
                     ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
                 )
+        forget()
 
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return source.mapInArrow(
@@ -488,5 +522,6 @@ def redact(documents: DataFrame, field: Field, text_column: str = "text") -> Dat
                 clean = [c if known else None for c, known in zip(clean, column.is_valid().to_pylist())]
                 place = part.schema.get_field_index(text_column)
                 yield part.set_column(place, part.schema.field(place), pa.array(clean, column.type))
+        forget()
 
     return documents.select(*others).mapInArrow(run, documents.schema)

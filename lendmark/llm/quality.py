@@ -11,7 +11,6 @@ logit, and a temperature fitted on rows kept aside makes it a probability.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendmark.llm.text import Parts, chunks, words
+from lendmark.llm.samples import smallest_hashes
+from lendmark.llm.text import LOWER, Parts, chunks, encoded, raw, words
 
 WORDS = 1 << 16
 SHAPES = 2048
@@ -32,7 +32,14 @@ NONZEROS = 4
 WINDOW = 2
 REJECT_BELOW = 0.7
 
-RUNS = re.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+|(.)\1*")
+# The kind of a byte of a word: small letters and all beyond ASCII, capitals, digits; a mark is its own kind.
+KIND = np.arange(256, dtype=np.uint8)
+KIND[[*range(97, 123), *range(128, 256)]] = ord("a")
+KIND[65:91] = ord("A")
+KIND[48:58] = ord("9")
+MARK = KIND == np.arange(256)
+MARK[[ord(c) for c in "aA9"]] = False
+LONGEST_REPEAT = 3  # of a mark
 
 
 def held_out(id_column: Column) -> Column:
@@ -40,17 +47,6 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-@lru_cache(maxsize=150_000)
-def buckets(word: bytes) -> tuple[int, int]:
-    """Of a word: the bucket of its lower-cased text, and that of the kinds of its runs."""
-    lower = word.lower() if word.isascii() else word.decode("utf-8", "replace").lower().encode("utf-8", "replace")
-    kinds = []
-    for m in RUNS.finditer(word):
-        c = m[0][0]
-        kinds.append(b"a" if 97 <= c <= 122 or c >= 128 else b"A" if 65 <= c <= 90 else b"9" if 48 <= c <= 57 else m[0][:3])
-    return xxhash.xxh3_64_intdigest(lower) % WORDS, WORDS + xxhash.xxh3_64_intdigest(b"s" + b"".join(kinds)) % SHAPES
-
-
 @lru_cache(maxsize=1)
 def nonzeros() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the nonzeros of each bucket's index vector."""
@@ -67,15 +63,72 @@ def index_vectors() -> np.ndarray:
     return vectors
 
 
+def shapes(words_of: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Of each word the kinds of its runs, as codes into distinct shapes; a repeated mark stays up to three times."""
+    data, offsets = raw(words_of)
+    kind = KIND[data]
+    opens = np.ones(len(data), dtype=bool)
+    opens[1:] = kind[1:] != kind[:-1]
+    opens[offsets[:-1]] = True
+    at = np.arange(len(data))
+    stays = opens | (MARK[data] & (at - np.maximum.accumulate(np.where(opens, at, 0)) < LONGEST_REPEAT))
+    ends = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    return encoded(kind[stays], ends[:-1])
+
+
+def _hashed(values: list[bytes], modulo: int) -> np.ndarray:
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values))
+    return (hashes % np.uint64(modulo)).astype(np.int64)
+
+
+def _value_buckets(parts: Parts) -> np.ndarray:
+    """Buckets of each distinct word: of its lower-cased text, and of its shape."""
+    out = np.empty((len(parts.values), 2), dtype=np.int64)
+    if not len(out):
+        return out
+    data, offsets = raw(parts.values)
+    lower = pa.Array.from_buffers(
+        pa.large_binary(), len(out), [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(LOWER[data])]
+    )
+    out[:, 0] = _hashed(lower.to_pylist(), WORDS)
+    beyond = np.flatnonzero(np.logical_or.reduceat(data >= 128, offsets[:-1]))
+    texts = (word.decode("utf-8", "replace").lower() for word in parts.values.take(pa.array(beyond)).to_pylist())
+    out[beyond, 0] = _hashed([text.encode("utf-8", "replace") for text in texts], WORDS)
+    codes, distinct = shapes(parts.values)
+    out[:, 1] = WORDS + _hashed([b"s" + shape for shape in distinct.to_pylist()], SHAPES)[codes]
+    return out
+
+
 def _buckets(parts: Parts) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words and of the shapes of all parts."""
-    per_value = np.array([buckets(v) for v in parts.values.to_pylist()], dtype=np.int64).reshape(-1, 2)
+    per_value = _value_buckets(parts)
     return per_value[parts.codes, 0], per_value[parts.codes, 1]
 
 
 # --------------------------------------------------------------- word vectors
 
 
+def _add_neighbours(
+    sums: np.ndarray, used: np.ndarray, rows: np.ndarray, codes: np.ndarray, places: np.ndarray, signs: np.ndarray
+) -> None:
+    """Add the index vectors of the neighbours of each bucket; a chunk counts in its own buckets first."""
+    here = np.zeros(BUCKETS, dtype=bool)
+    here[codes] = True
+    some = np.flatnonzero(here)
+    slots = np.empty(BUCKETS, dtype=np.int64)
+    slots[some] = np.arange(len(some)) * DIMENSIONS
+    own_sums = np.zeros(len(some) * DIMENSIONS)
+    for step in range(1, WINDOW + 1):
+        same = rows[step:] == rows[:-step]
+        left, right = codes[:-step][same], codes[step:][same]
+        for own, other in ((left, right), (right, left)):
+            used[own] = True
+            slot = slots[own]
+            for j in range(NONZEROS):
+                own_sums += np.bincount(slot + places[other, j], signs[other, j], minlength=len(own_sums))
+    sums[some] += own_sums.reshape(-1, DIMENSIONS)
+
+
 def neighbour_sums(texts: DataFrame) -> DataFrame:
     """``bucket, vector`` per task: sums of neighbours' index vectors over its rows (column ``text``).
 
@@ -85,25 +138,18 @@ def neighbour_sums(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = nonzeros()
-        sums = np.zeros(BUCKETS * DIMENSIONS)
+        sums = np.zeros((BUCKETS, DIMENSIONS))
         used = np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
             for part in chunks(batch):
                 found = words(part.column("text"), cut=True)
                 rows = found.rows
                 for codes in _buckets(found):
-                    for step in range(1, WINDOW + 1):
-                        same = rows[step:] == rows[:-step]
-                        left, right = codes[:-step][same], codes[step:][same]
-                        for own, other in ((left, right), (right, left)):
-                            used[own] = True
-                            for j in range(NONZEROS):
-                                at = own * DIMENSIONS + places[other, j]
-                                sums += np.bincount(at, signs[other, j], minlength=len(sums))
+                    _add_neighbours(sums, used, rows, codes, places, signs)
         some = np.flatnonzero(used)
         for start in range(0, len(some), 8192):
             own = some[start : start + 8192]
-            flat = sums.reshape(BUCKETS, DIMENSIONS)[own].ravel()
+            flat = sums[own].ravel()
             lists = pa.FixedSizeListArray.from_arrays(pa.array(flat), DIMENSIONS).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), lists], ["bucket", "vector"])
 
@@ -136,8 +182,13 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
         return out
     some = np.flatnonzero(n)
     figures = out[:, 2 * DIMENSIONS :]
-    for k, codes in enumerate(_buckets(found)):
-        keys, times = np.unique(rows * BUCKETS + codes, return_counts=True)
+    # one sort of all words; the buckets are merged on the distinct words of each row
+    size = len(found.values)
+    pairs, often = np.unique(rows.astype(np.int64) * size + found.codes, return_counts=True)
+    pair_row, pair_value = pairs // size, pairs % size
+    for k, codes in enumerate(_value_buckets(found).T):
+        keys, place = np.unique(pair_row * BUCKETS + codes[pair_value], return_inverse=True)
+        times = np.bincount(place, often)
         row_of, share = keys // BUCKETS, times / n[keys // BUCKETS]
         starts = np.searchsorted(row_of, some)
         weighed = vectors[keys % BUCKETS]
@@ -147,8 +198,7 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
         figures[some, 4 + 3 * k] = np.linalg.norm(means, axis=1)
         figures[some, 5 + 3 * k] = np.maximum.reduceat(share, starts)
         figures[some, 6 + 3 * k] = np.add.reduceat(share * share, starts)
-    pairs = np.unique(rows.astype(np.int64) * len(found.values) + found.codes)
-    distinct = np.bincount(pairs // len(found.values), minlength=n_rows)
+    distinct = np.bincount(pair_row, minlength=n_rows)
     same_row = rows[1:] == rows[:-1]
     again = np.bincount(rows[1:][same_row & (found.codes[1:] == found.codes[:-1])], minlength=n_rows)
     sizes = np.fromiter(map(len, found.values.to_pylist()), np.int64, len(found.values))
@@ -244,9 +294,10 @@ def fit(
 ) -> QualityModel:
     """Learn from rows that are not held out.
 
-    Word vectors use all of them. The network uses about ``max_labelled``
-    labelled rows, chosen by a hash of the id; a null label is no label, and an
-    id with both labels counts as both. Labels, ids and other columns are never
+    Word vectors use all of them. The network uses ``max_labelled`` labels at most,
+    those whose ids hash lowest, and twice as many rows at most, as repeated rows
+    of an id count each; a null label is no label, and an id with both labels
+    counts as both. Labels, ids and other columns are never
     inputs of a score.
     """
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
@@ -254,19 +305,23 @@ def fit(
     vectors = word_vectors(learning.select("text"))
     known = labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label_column).cast("int").alias("y"))
     known = known.filter(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
-    share = min(1.0, max_labelled / max(known.count(), 1))
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)).limit(2 * max_labelled)
+    chosen = smallest_hashes(known, max_labelled, "doc_id", "y")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 x = pooled(part.column("text"), vectors).astype(np.float64)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), lists], ["doc_id", "y", "x"])
-
-    joined = source.join(F.broadcast(chosen), "doc_id")  # 2 * max_labelled short rows at most
-    rows = joined.select("doc_id", "y", "text").mapInArrow(measure, "doc_id long, y int, x array<double>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending")])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("y"), part.column("h"), lists], ["doc_id", "y", "h", "x"]
+                )
+
+    joined = source.join(F.broadcast(chosen), "doc_id")  # max_labelled short rows at most
+    hashed = joined.select("doc_id", "y", F.xxhash64("doc_id", "text").alias("h"), "text")
+    measured = hashed.mapInArrow(measure, "doc_id long, y int, h long, x array<double>")
+    # a labelled id may have any number of rows
+    rows = measured.orderBy("h", "doc_id", "y").limit(2 * max_labelled).toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("h", "ascending")])
     x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, INPUTS)
     return QualityModel(vectors, train(x, rows["y"].to_numpy().astype(np.float64)))
 
