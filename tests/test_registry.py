@@ -19,7 +19,7 @@ def canonical(columns, rows):
 def test_every_sql_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
     queries, oracles = load()
-    assert set(queries) - set(oracles) == {"run_log", "lifecycle_3_epochs"}
+    assert set(queries) - set(oracles) == {"lifecycle_3_epochs"}
 
 
 def test_entry_has_rows(spark):
