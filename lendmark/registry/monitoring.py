@@ -14,14 +14,21 @@ from lendmark.operators.card import scored
 from lendmark.operators.explain import FRAMEWORK, OTHER_REASON, REASONS
 from lendmark.operators.woe import apply_woe, fit_woe
 from lendmark.plans.layers import preprocess, with_epoch, write_bronze
-from lendmark.plans.lifecycle import lifecycle
+from lendmark.plans.lifecycle import CATEGORICAL as LIFE_CATEGORICAL
+from lendmark.plans.lifecycle import NUMERIC as LIFE_NUMERIC
+from lendmark.plans.lifecycle import VIF_CANDIDATES, lifecycle
 from lendmark.registry.base import (
     CARD,
     CARD_FEATURES,
     CARD_NUMERIC,
+    FACTOR,
     FIRST_YEAR,
+    LOANS,
+    OFFSET,
+    SCORE_OF,
     SCORED,
     WEIGHED,
+    YEAR,
     epoch_sql,
     fresh_path,
     held,
@@ -29,13 +36,17 @@ from lendmark.registry.base import (
     out,
     probs_sql,
     query,
+    resolved_sql,
     rounded,
     scored_loans,
     scored_sql,
+    target_sql,
     weighed_loans,
     weighed_sql,
     with_,
+    woe_sql,
 )
+from lendmark.registry.statistics import named_sql, screen_sql
 from lendmark.registry.validation import AUC, DECILES, KS
 from lendmark.sources import files
 from lendmark.sources.tables import EPOCHS, loan_view
@@ -223,12 +234,126 @@ def run_log(spark, sf_dir):
     return govern.runs(spark, path).drop("logged_at").withColumn("value", timed)
 
 
-@query("lifecycle_3_epochs")
+# The lifecycle as one statement. Every fit is a CTE with its own inner WITH, and a feature that the screen
+# dropped keeps weight 0 everywhere, which the penalty turns into the coefficient 0.
+LIFE_FEATURES = [*VIF_CANDIDATES, *LIFE_CATEGORICAL]
+ROLLING = (1997, 2000)
+
+
+def between(years: tuple[int, int]) -> str:
+    return f"issue_year BETWEEN {years[0]} AND {years[1]}"
+
+
+def ready_sql(tag: str, years: tuple[int, int]) -> str:
+    """CTE ``ready_<tag>``: all loans, imputed from a window and with the modelling ratios."""
+    window = f"(SELECT * FROM prepared WHERE {between(years)})"
+    fills = [f"median({c}) AS {c}" for c in LIFE_NUMERIC]
+    fills += [
+        f"(SELECT {c} FROM {window} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS {c}"
+        for c in LIFE_CATEGORICAL
+    ]
+    filled = ", ".join(f"coalesce(p.{c}, f.{c}) AS {c}" for c in [*LIFE_NUMERIC, *LIFE_CATEGORICAL])
+    return f"""fills_{tag} AS MATERIALIZED (SELECT {', '.join(fills)} FROM {window}),
+imputed_{tag} AS (SELECT loan_id, target, issue_year, {filled} FROM prepared p CROSS JOIN fills_{tag} f),
+ready_{tag} AS MATERIALIZED (
+  SELECT * EXCLUDE (revol_util), (fico_range_low + fico_range_high) / 2.0 AS fico_mid,
+         least(greatest(revol_util, 0.0), 100.0)::DOUBLE AS revol_util,
+         least(greatest(installment / greatest(annual_inc / 12.0, 1.0) * 100.0, 0.0), 100.0)::DOUBLE AS installment_to_inc
+  FROM imputed_{tag})"""
+
+
+def beta_sql(source: str, d: int, rounds: int = 10) -> str:
+    """Statement for the coefficients ``b`` of the balanced fit on ``source(x, target)``, x beginning with one.
+
+    A Newton step sums gradient and Hessian, and a recursion eliminates one unknown after the other.
+    """
+    text = f"""WITH cells AS MATERIALIZED (
+  SELECT x, target, n * sum(n) OVER () / (2.0::DOUBLE * sum(n) OVER (PARTITION BY target)) AS w
+  FROM (SELECT x, target, count(*) AS n FROM {source} GROUP BY x, target)),
+b0 AS MATERIALIZED (SELECT [{', '.join(['0.0::DOUBLE'] * d)}] AS b)"""
+    sums = [f"sum(h * x[{i + 1}] * x[{j + 1}]) AS h{i}_{j}" for i in range(d) for j in range(i + 1)]
+    sums += [f"sum(e * x[{i + 1}]) AS g{i}" for i in range(d)]
+    lines = []
+    for i in range(d):
+        cells = [f"h{max(i, j)}_{min(i, j)}" + (" + 1.0::DOUBLE" if i == j and i else "") for j in range(d)]
+        lines.append(f"[{', '.join([*cells, f'g{i} + b[{i + 1}]' if i else f'g{i}'])}]")
+    for r in range(rounds):
+        text += f""",
+p{r} AS (SELECT x, w * (q - target) AS e, w * q * (1 - q) AS h
+         FROM (SELECT *, 1 / (1 + exp(-list_dot_product(b, x))) AS q FROM cells CROSS JOIN b{r})),
+n{r} AS MATERIALIZED (SELECT {', '.join(sums)} FROM p{r}),
+b{r + 1} AS MATERIALIZED (
+  WITH RECURSIVE swept(k, m) AS (
+    SELECT 1, [{', '.join(lines)}] FROM n{r} CROSS JOIN b{r}
+    UNION ALL
+    SELECT k + 1, list_transform(m, lambda line, i: list_transform(line, lambda v, j:
+             CASE WHEN i = k THEN v / m[k][k] ELSE v - line[k] * m[k][j] / m[k][k] END))
+    FROM swept WHERE k <= {d})
+  SELECT list_transform(range(1, {d + 1}), lambda i: b[i] - m[i][{d + 1}]) AS b FROM swept CROSS JOIN b{r} WHERE k = {d + 1})"""
+    return text + f"\nSELECT b FROM b{rounds}"
+
+
+def model_sql(tag: str, years: tuple[int, int]) -> str:
+    """CTE ``scored_<tag>``: all loans with the probability and the score of the card fitted on a window."""
+    weights = ", ".join(f"{f}_woe" for f in LIFE_FEATURES)
+    score = SCORE_OF.format(x=f"{OFFSET}::DOUBLE - {FACTOR}::DOUBLE * z")
+    return f"""woe_{tag} AS MATERIALIZED (
+  WITH base AS (SELECT * FROM ready_{tag} WHERE {between(years)}),
+  {woe_sql(VIF_CANDIDATES, LIFE_CATEGORICAL)}
+  SELECT * FROM woe WHERE category IS NOT NULL OR feature IN (SELECT feature FROM screened)),
+weighed_{tag} AS MATERIALIZED (
+  WITH woe AS (SELECT * FROM woe_{tag}),
+  {weighed_sql(VIF_CANDIDATES, LIFE_CATEGORICAL, f"ready_{tag}", "weighed")}
+  SELECT loan_id, target, issue_year, [1.0::DOUBLE, {weights}] AS x FROM weighed),
+window_{tag} AS (SELECT * FROM weighed_{tag} WHERE {between(years)}),
+beta_{tag} AS MATERIALIZED ({beta_sql(f"window_{tag}", len(LIFE_FEATURES) + 1)}),
+scored_{tag} AS MATERIALIZED (
+  SELECT loan_id, target, issue_year, {epoch_sql()} AS epoch, 1.0 / (1.0 + exp(-z)) AS pd, {score} AS score
+  FROM (SELECT *, list_dot_product(b, x) AS z FROM weighed_{tag} CROSS JOIN beta_{tag}))"""
+
+
+def measured_sql(name: str, source: str) -> str:
+    """CTE of (metric, value) rows of scored loans."""
+    rows = ", ".join(f"{{'metric': '{metric}', 'value': CAST({text} AS DOUBLE)}}" for metric, text in EVALUATED)
+    inner = with_(f"scored AS (SELECT * FROM {source})", DECILES, AUC, SUMS,
+                  select=f"SELECT unnest([{rows}]) AS m FROM area CROSS JOIN {KS} CROSS JOIN sums")
+    return f"{name} AS MATERIALIZED (SELECT m.metric AS metric, m.value AS value FROM ({inner}))"
+
+
+LIFECYCLE = with_(
+    LOANS,
+    f"""prepared AS MATERIALIZED (
+  SELECT loan_id, {target_sql('package')} AS target, {YEAR} AS issue_year, {', '.join([*LIFE_NUMERIC, *LIFE_CATEGORICAL])}
+  FROM loans WHERE {resolved_sql('package')} AND {YEAR} >= {FIRST_YEAR})""",
+    ready_sql("v1", EPOCHS["baseline"]),
+    f"""screened AS MATERIALIZED (
+  WITH base AS (SELECT * FROM ready_v1 WHERE {between(EPOCHS['baseline'])}),
+  {screen_sql(VIF_CANDIDATES)}
+  SELECT {named_sql(VIF_CANDIDATES)} AS feature FROM e{len(VIF_CANDIDATES) - 2} WHERE i = j)""",
+    model_sql("v1", EPOCHS["baseline"]),
+    ready_sql("v2", ROLLING),
+    model_sql("v2", ROLLING),
+    "trained AS (SELECT * FROM scored_v1 WHERE epoch = 'baseline')",
+    "kept_out AS (SELECT * FROM scored_v2 WHERE epoch = 'holdout')",
+    measured_sql("before", "trained"),
+    measured_sql("after", "kept_out"),
+    "pool AS (SELECT epoch, score FROM scored_v1 WHERE epoch IN ('baseline', 'inference', 'drift'))",
+    psi_sql(),
+    select="""SELECT 'baseline' AS stage, 'v1' AS model, metric, value FROM before
+UNION ALL SELECT 'holdout', 'v2', metric, value FROM after
+UNION ALL SELECT epoch, 'v1', 'psi', round(sum(psi_contribution), 4) FROM cells GROUP BY epoch
+UNION ALL SELECT 'holdout', 'v2', 'promoted', CASE WHEN value >= 20.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+          FROM after WHERE metric = 'ks_statistic'
+UNION ALL SELECT 'holdout', 'v2', 'notices', count(*)::DOUBLE FROM kept_out WHERE target = 1 OR score < 600""",
+)
+
+
+@query("lifecycle_3_epochs", LIFECYCLE)
 def lifecycle_3_epochs(spark, sf_dir):
     """Batches are written per year first, so that every later step reads the folders of its years only."""
     path = fresh_path(spark, "batches")
     write_bronze(preprocess(loan_view(spark, sf_dir), "package", FIRST_YEAR), path)
-    result = lifecycle(spark.read.parquet(path), EPOCHS, rolling=(1997, 2000))
+    result = lifecycle(spark.read.parquet(path), EPOCHS, rolling=ROLLING)
     model = F.lit("v1" if result.second is None else "v2")
     promoted = result.gate.select(F.lit("promoted"), (F.col("decision") == "PROMOTE").cast("double"))
     letters = result.notices.agg(F.count("*").cast("double")).select(F.lit("notices"), "*")

@@ -112,8 +112,11 @@ def vif_oneshot(spark, sf_dir):
         return collinearity.vif_oneshot(loans, VIF_FEATURES)
 
 
-def vif_filter_sql(features: Sequence[str], threshold: float = 10.0) -> str:
-    """Greedy elimination on the inverse: removing a feature is one Schur complement."""
+def screen_sql(features: Sequence[str], threshold: float = 10.0) -> str:
+    """CTEs ``e<n>(i, j, v)``, the last one of the kept features: greedy elimination on the inverse.
+
+    Removing a feature is one Schur complement.
+    """
     text = inverse_sql(features) + ",\ne0 AS MATERIALIZED (SELECT * FROM inverse)"
     rounds = len(features) - 2
     for k in range(rounds):
@@ -128,13 +131,17 @@ e{k + 1} AS MATERIALIZED (
   LEFT JOIN e{k} c ON c.i = a.i AND c.j = worst LEFT JOIN e{k} r ON r.i = worst AND r.j = a.j
   LEFT JOIN e{k} p ON p.i = worst AND p.j = worst
   WHERE worst IS NULL OR (a.i <> worst AND a.j <> worst))"""
-    name = named_sql(features)
+    return text
+
+
+def vif_filter_sql(features: Sequence[str]) -> str:
+    rounds, name = len(features) - 2, named_sql(features)
     steps = [f"SELECT {name} AS feature, round(v, 2) AS vif, 'kept' AS decision, 0 AS step FROM e{rounds} WHERE i = j"]
     steps += [
         f"SELECT {name} AS feature, vif, 'dropped' AS decision, {k + 1} AS step FROM (SELECT worst AS i, vif FROM w{k})"
         for k in range(rounds)
     ]
-    return with_(MODEL_LOANS, text, select=" UNION ALL ".join(steps))
+    return with_(MODEL_LOANS, screen_sql(features), select=" UNION ALL ".join(steps))
 
 
 @query("vif_filter", vif_filter_sql(VIF_FEATURES))
