@@ -40,6 +40,8 @@ STAGING_DEFAULTS = {
 # Attributes whose change opens a new version of a borrower.
 SCD2_CHECK = ("grade", "sub_grade", "home_ownership", "annual_inc", "verification_status")
 
+INGEST_TIME = "bronze_ingest_time"
+
 # Year ranges of the published batches.
 EPOCH_RANGES = {"baseline": (2013, 2015), "inference": (2016, 2016), "drift": (2017, 2018)}
 
@@ -50,7 +52,7 @@ def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def bronze(df: DataFrame, batch: str) -> DataFrame:
     """Raw rows with their ingest time and batch label."""
-    return df.withColumns({"bronze_ingest_time": F.current_timestamp(), "source_batch": F.lit(batch)})
+    return df.withColumns({INGEST_TIME: F.current_timestamp(), "source_batch": F.lit(batch)})
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
@@ -79,7 +81,10 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def typed(df: DataFrame) -> DataFrame:
-    """The 27 columns in their types; ``id`` is accepted as key. Malformed text becomes null."""
+    """The 27 columns in their types, and the ingest time of a bronze row; ``id`` is accepted as key.
+
+    Malformed text becomes null.
+    """
     key = "loan_id" if "loan_id" in df.columns else "id"
     columns = []
     for f in LOAN_SCHEMA:
@@ -92,7 +97,7 @@ def typed(df: DataFrame) -> DataFrame:
         else:
             value = to_number(source, kind)
         columns.append(value.alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *(F.col(c) for c in df.columns if c == INGEST_TIME))
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object] = STAGING_DEFAULTS) -> DataFrame:
@@ -118,9 +123,13 @@ def staging(raw: DataFrame, policy: str = "curated") -> DataFrame:
 
 
 def silver(staged: DataFrame, ingest_time: str | None = None) -> DataFrame:
-    """One row per loan: the newest by ingest time, all columns breaking ties."""
-    order = [ingest_time] if ingest_time else ["issue_year"]
-    return latest(staged, "loan_id", order)
+    """One row per loan: the newest by ingest time, all columns breaking ties.
+
+    The ingest time is that of the bronze layer unless another column is named.
+    Rows that never had one are ordered by their year.
+    """
+    known = ingest_time or (INGEST_TIME if INGEST_TIME in staged.columns else "issue_year")
+    return latest(staged, "loan_id", [known])
 
 
 def gold_domain(df: DataFrame) -> DataFrame:

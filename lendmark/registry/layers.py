@@ -116,6 +116,20 @@ def bronze_ingest(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(*columns))
 
 
+@query("silver_newest_ingest", with_(PACKAGE, select=out("loan_id issue_year target", "annual_inc loan_amnt", """(
+  SELECT loan_id, issue_year, target, loan_amnt, CASE WHEN issue_year >= 1998 THEN annual_inc - 5000 ELSE annual_inc END AS annual_inc
+  FROM prepared)""")))
+def silver_newest_ingest(spark, sf_dir):
+    """A later batch corrects the incomes of the newer loans; the silver layer keeps what was ingested last."""
+    path = fresh_path(spark, "bronze")
+    loans = prepared(spark, sf_dir)
+    corrected = loans.filter("issue_year >= 1998").withColumn("annual_inc", F.col("annual_inc") - 5000)
+    for batch, rows in (("first", loans), ("second", corrected)):
+        layers.append_bronze(layers.bronze(rows, batch), path)
+    newest = layers.silver(layers.staging(layers.read_bronze(spark, path), "package"))
+    return rounded(newest.select("loan_id", "issue_year", "target", "annual_inc", "loan_amnt"))
+
+
 @query("bronze_schema_evolution", with_(PACKAGE, select=out("loan_id issue_year source_batch loan_status channel", "loan_amnt int_rate", """(
   SELECT loan_id, issue_year, 'first' AS source_batch, loan_status, NULL::VARCHAR AS channel, loan_amnt, NULL::DOUBLE AS int_rate
   FROM prepared WHERE issue_year < 1998

@@ -33,6 +33,18 @@ def test_batches_of_different_columns_are_read_together(spark, tmp_path):
     assert rows_of(again) == sorted([(1, "a", "one"), (2, "x", "one"), (3, None, "two"), (4, "c", "three")], key=repr)
 
 
+def test_silver_keeps_what_was_ingested_last(spark):
+    rows = spark.createDataFrame(
+        [(1, 2014, "2020-01-01 00:00:00", "G"), (1, 2013, "2020-01-02 00:00:00", "A"), (2, 2013, None, "B"),
+         (2, 2013, "2020-01-01 00:00:00", "A"), (3, 2013, "2020-01-01 00:00:00", "C"), (3, 2013, "2020-01-01 00:00:00", "D")],
+        "loan_id int, issue_year int, at string, grade string",
+    )
+    staged = rows.select("loan_id", "issue_year", F.col("at").cast("timestamp").alias(layers.INGEST_TIME), "grade")
+    assert rows_of(layers.silver(staged).select("loan_id", "grade")) == [(1, "A"), (2, "A"), (3, "D")]
+    assert rows_of(layers.silver(staged.drop(layers.INGEST_TIME)).select("loan_id", "grade")) == [(1, "G"), (2, "B"), (3, "D")]
+    assert rows_of(layers.silver(rows, "at").select("loan_id", "grade")) == [(1, "A"), (2, "A"), (3, "D")]
+
+
 def test_types_that_do_not_widen_are_an_error(spark, tmp_path):
     path = str(tmp_path / "bronze")
     for value, batch in (("1", "one"), ("'x'", "two")):
