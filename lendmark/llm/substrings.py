@@ -1,18 +1,25 @@
-"""Duplicate passages by their windows' earliest occurrences in the corpus.
+"""Duplicate passages by relative Lempel-Ziv factors against the corpus.
 
 A window of ``WINDOW`` words that occurs earlier has a reference: the earliest
-start of the same words. Runs of windows whose references run along with them are
-factors. Unlike those of a relative Lempel-Ziv parse, they are not extended to
-the longest match among all references and may overlap; the words they cover are
-the same.
+start of the same words. Factors grow from there to the longest match.
 
 1. Documents are read in blocks. A block indexes its windows; repeats within the
    block get their reference there, so a window leaves a block once at most.
 2. The first occurrences go to the shard of the corpus index that their anchor
    names: the smallest hash among the half-windows inside a window, which equal
    windows share. A shard holds every block's entries and answers those that
-   have an earlier one.
-3. The answers return to their documents as runs. What they cover is removed.
+   have an earlier one. What a block found itself then follows these answers, so that
+   equal windows have equal references: two windows are compared by them.
+3. A run of windows whose references run along with them is a match. Where the
+   next window has its reference elsewhere, the text of the match may go on all the
+   same, if its document took those words from there too: matches are extended over such
+   borders on both sides, against the runs of the documents they refer to.
+4. A document is parsed greedily: from a word on, the match that reaches furthest is the
+   factor, and the parse goes on behind it. A factor has at least ``WINDOW`` words; behind
+   another one it may be shorter, as windows across the border have their reference too.
+
+References are texts that hold the first occurrence of at least one window of the
+match; a text that only repeats others is not searched for longer matches.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmark.llm.near_dups import mixed
+from lendmark.llm.scratch import kept
 from lendmark.llm.text import Parts, chunks, words
 
 WINDOW = 20
@@ -40,8 +48,16 @@ ODD = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.u
 
 PAYLOAD = "shard int, docs binary, tags binary, anchors binary, owners binary, starts binary, sizes binary, checks binary, " \
     "local_owners binary, local_places binary, ref_owners binary, ref_places binary"
-ANSWER = "doc_id long, tag long, place int, size int, ref_doc long, ref_place int"
+ANSWER = "doc_id long, tag long, place int, size int, ref_doc long, ref_tag long, ref_place int"
 RUNS = "runs"
+SIDES = "sides"
+RUN_FIELDS = ("place", "size", "ref_doc", "ref_tag", "ref_place")
+RUN_TYPE = pa.list_(
+    pa.struct([("place", pa.int32()), ("size", pa.int32()), ("ref_doc", pa.int64()), ("ref_tag", pa.int64()), ("ref_place", pa.int32())])
+)
+RUN_SCHEMA = "array<struct<place:int,size:int,ref_doc:bigint,ref_tag:bigint,ref_place:int>>"
+BORDER = "doc_id long, tag long, run long, side long, ref_doc long, ref_tag long, ref_at long, far_doc long, far_tag long, far_at long"
+SLICE = 256
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -167,22 +183,28 @@ def entries(documents: DataFrame, width: int, shards: int) -> DataFrame:
     return documents.mapInArrow(run, PAYLOAD)
 
 
-def _answers(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, ref_doc: np.ndarray, ref_place: np.ndarray) -> pa.Table:
+def _grouped(owners: list[np.ndarray], place: np.ndarray, refs: list[np.ndarray], ref_place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of ordered windows whose references run along with them."""
+    opens = np.ones(len(place), dtype=bool)
+    opens[1:] = (place[1:] != place[:-1] + 1) | (ref_place[1:] != ref_place[:-1] + 1)
+    for x in (*owners, *refs):
+        opens[1:] |= x[1:] != x[:-1]
+    starts = np.flatnonzero(opens)
+    return starts, np.diff(np.append(starts, len(place)))
+
+
+def _answers(
+    doc: np.ndarray, tag: np.ndarray, place: np.ndarray, ref_doc: np.ndarray, ref_tag: np.ndarray, ref_place: np.ndarray
+) -> pa.Table:
     """One row per run of windows whose references run along with them.
 
     How many there are follows from the texts, not from the number of shards.
     """
     order = np.lexsort((place, tag, doc))
-    doc, tag, place, ref_doc, ref_place = (x[order] for x in (doc, tag, place, ref_doc, ref_place))
-    opens = np.ones(len(doc), dtype=bool)
-    opens[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (ref_doc[1:] != ref_doc[:-1])
-    opens[1:] |= (place[1:].astype(np.int64) != place[:-1].astype(np.int64) + 1) | (
-        ref_place[1:].astype(np.int64) != ref_place[:-1].astype(np.int64) + 1
-    )
-    starts = np.flatnonzero(opens)
-    sizes = np.diff(np.append(starts, len(doc)))
-    columns = (doc[starts], tag[starts], place[starts], sizes, ref_doc[starts], ref_place[starts])
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+    doc, tag, place, ref_doc, ref_tag, ref_place = (x[order] for x in (doc, tag, place, ref_doc, ref_tag, ref_place))
+    starts, sizes = _grouped([doc, tag], place.astype(np.int64), [ref_doc, ref_tag], ref_place.astype(np.int64))
+    columns = (doc[starts], tag[starts], place[starts], sizes, ref_doc[starts], ref_tag[starts], ref_place[starts])
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
     return pa.table({f.split()[0]: pa.array(c.astype(t.to_pandas_dtype())) for f, c, t in zip(ANSWER.split(", "), columns, types)})
 
 
@@ -205,7 +227,7 @@ def _search(table: pa.Table) -> pa.Table:
         own, ref = np.frombuffer(row["local_owners"], np.uint32), np.frombuffer(row["ref_owners"], np.uint32)
         found.append((
             doc[own], tag[own], np.frombuffer(row["local_places"], np.uint32),
-            doc[ref], np.frombuffer(row["ref_places"], np.uint32),
+            doc[ref], tag[ref], np.frombuffer(row["ref_places"], np.uint32),
         ))
     key = np.concatenate(keys)
     order = np.argsort(key)
@@ -223,39 +245,190 @@ def _search(table: pa.Table) -> pa.Table:
     first = np.maximum.accumulate(np.where(later, 0, np.arange(len(key))))
     # the same row read by two blocks is one document
     later &= (doc != doc[first]) | (tag != tag[first]) | (place != place[first])
-    found.append((doc[later], tag[later], place[later], doc[first][later], place[first][later]))
-    return _answers(*(np.concatenate([f[k] for f in found]) for k in range(5)))
+    found.append((doc[later], tag[later], place[later], doc[first][later], tag[first][later], place[first][later]))
+    return _answers(*(np.concatenate([f[k] for f in found]) for k in range(6)))
+
+
+def _matrices(column: pa.Array) -> Iterator[np.ndarray]:
+    """Per row its runs as whole numbers, one line per run, in the order of ``RUN_FIELDS`` and further fields."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten()
+    fields = [flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(flat.type.num_fields)]
+    lines = np.stack(fields, axis=1) if fields else np.empty((0, 5), np.int64)
+    ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(column).to_pylist())])
+    for a, b in zip(ends, ends[1:]):
+        yield lines[a:b]
+
+
+def _column(matrices: list[np.ndarray]) -> pa.Array:
+    lines = np.concatenate(matrices) if matrices else np.empty((0, 5), np.int64)
+    offsets = np.cumsum([0, *(len(m) for m in matrices)]).astype(np.int32)
+    fields = [pa.array(lines[:, k].astype(f.type.to_pandas_dtype())) for k, f in enumerate(RUN_TYPE.value_type)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(RUN_TYPE.value_type)))
 
 
-def factors(places: np.ndarray, ref_docs: np.ndarray, ref_places: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
-    """Spans ``(start, length, ref_doc, ref_start)`` of the windows that have a reference; no longest match is searched.
+def _maximal(runs: np.ndarray) -> np.ndarray:
+    """Longest runs of the same windows; a window named twice follows its deepest reference, the last field."""
+    place, size, ref_doc, ref_tag, ref_place, depth = runs[np.lexsort((runs[:, 0], -runs[:, 5]))].T
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    at, once = np.unique(np.repeat(place, size) + step, return_index=True)
+    docs, tags, places = np.repeat(ref_doc, size)[once], np.repeat(ref_tag, size)[once], (np.repeat(ref_place, size) + step)[once]
+    starts, sizes = _grouped([], at, [docs, tags], places)
+    return np.stack([at[starts], sizes, docs[starts], tags[starts], places[starts]], axis=1)
 
-    A factor goes on while the reference of the next window follows its own; the
-    windows at a border open factors of their own, so overlaps are possible.
+
+def _deepest(answers: DataFrame) -> DataFrame:
+    """Of answers whose reference has an answer itself, the parts it answers: a join of ranges by slices of places."""
+
+    def sliced(place: str, names: dict[str, str]) -> DataFrame:
+        covered = F.sequence(F.expr(f"{place} div {SLICE}"), F.expr(f"({place} + size - 1) div {SLICE}"))
+        columns = [F.col(c).alias(names.get(c, c)) for c in answers.columns]
+        return answers.select(*columns, (F.col(place) + F.col("size")).alias(names["end"]), F.explode(covered).alias("slice"))
+
+    own = sliced("ref_place", {"ref_doc": "at_doc", "ref_tag": "at_tag", "ref_place": "at_place", "end": "at_end"}).drop("size")
+    their = sliced("place", {"doc_id": "at_doc", "tag": "at_tag", "place": "from_place", "end": "from_end"}).drop("size")
+    start = F.greatest("at_place", "from_place", F.col("slice") * SLICE)
+    stop = F.least("at_end", "from_end", (F.col("slice") + 1) * SLICE)
+    met = own.join(their, ["at_doc", "at_tag", "slice"]).withColumn("start", start).withColumn("stop", stop).filter("start < stop")
+    return met.selectExpr(
+        "doc_id", "tag", "cast(place + start - at_place AS int) AS place", "cast(stop - start AS int) AS size",
+        "ref_doc", "ref_tag", "cast(ref_place + start - from_place AS int) AS ref_place",
+    )
+
+
+def _borders(found: DataFrame) -> DataFrame:
+    """Per side of a run on which another run follows: where its reference's document would go on, and with what."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [[] for _ in range(10)]
+            for doc, tag, m in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), _matrices(batch.column(RUNS))):
+                meet = np.flatnonzero(m[1:, 0] == m[:-1, 0] + m[:-1, 1])
+                for side, at, other in ((0, meet + 1, meet), (1, meet, meet + 1)):
+                    last = side * m[at, 1]
+                    values = (doc, tag, at, side, m[at, 2], m[at, 3], m[at, 4] + last,
+                              m[other, 2], m[other, 3], m[other, 4] + (1 - side) * m[other, 1])
+                    for column, value in zip(rows, values):
+                        column.append(np.broadcast_to(value, at.shape))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([*c, np.empty(0, np.int64)]).astype(np.int64)) for c in rows], [f.split()[0] for f in BORDER.split(", ")]
+            )
+
+    return found.mapInArrow(run, BORDER)
+
+
+def _stretches(found: DataFrame) -> DataFrame:
+    """Runs that follow each other without a gap, as seen from behind their end (side 0) and from their start (side 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = [], []
+            for doc, tag, m in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), _matrices(batch.column(RUNS))):
+                cuts = np.flatnonzero(m[1:, 0] != m[:-1, 0] + m[:-1, 1]) + 1
+                for part in np.split(m, cuts):
+                    first, last = part[0].tolist(), part[-1].tolist()
+                    keys.append((doc, tag, last[0] + last[1], 0, last[2], last[3], last[4] + last[1]))
+                    keys.append((doc, tag, first[0], 1, first[2], first[3], first[4]))
+                    lists += [part, part]
+            columns = list(zip(*keys)) if keys else [[]] * 7
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in columns), _column(lists)],
+                ["ref_doc", "ref_tag", "ref_at", "side", "far_doc", "far_tag", "far_at", "stretch"],
+            )
+
+    schema = "ref_doc long, ref_tag long, ref_at long, side long, far_doc long, far_tag long, far_at long, stretch " + RUN_SCHEMA
+    return found.mapInArrow(run, schema)
+
+
+def _reach(own: np.ndarray, their: np.ndarray, side: int) -> int:
+    """How many windows two stretches share from their common border on, outwards.
+
+    Where their runs end apart, one of them has left the other's reference.
     """
-    if not len(places):
-        return []
-    places, once = np.unique(places, return_index=True)  # rows that are read twice are answered twice
-    ref_docs, ref_places = ref_docs[once], ref_places[once]
-    breaks = np.ones(len(places), dtype=bool)
-    breaks[1:] = (places[1:] != places[:-1] + 1) | (ref_docs[1:] != ref_docs[:-1]) | (ref_places[1:] != ref_places[:-1] + 1)
-    starts = np.flatnonzero(breaks)
-    sizes = np.diff(np.append(starts, len(places)))
-    return [
-        (int(places[a]), int(n) + width - 1, int(ref_docs[a]), int(ref_places[a])) for a, n in zip(starts, sizes)
-    ]
+    if side == 0:
+        own, their = own[::-1], their[::-1]
+    n, total = min(len(own), len(their)), 0
+    for a, b in zip(own[:n].tolist(), their[:n].tolist()):
+        last = (1 - side) * a[1], (1 - side) * b[1]
+        if a[2:4] != b[2:4] or a[4] + last[0] != b[4] + last[1]:
+            break
+        total += min(a[1], b[1])
+        if a[1] != b[1]:
+            break
+    return total
+
+
+def factors(runs: np.ndarray, sides: list[tuple[int, int, np.ndarray]], width: int) -> list[tuple[int, int, int, int, int]]:
+    """Greedy factors ``(start, length, ref_doc, ref_tag, ref_start)`` in words; they don't overlap.
+
+    ``runs`` are a document's longest runs of windows in order. ``sides`` names for a run and a
+    side (0 before, 1 behind) the stretch of its reference's document on that side.
+    """
+    spans: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+    for place, size, doc, tag, ref in runs.tolist():
+        spans.setdefault((doc, tag, ref - place), []).append((place, place + size))
+    meets = runs[1:, 0] == runs[:-1, 0] + runs[:-1, 1]
+    opens = np.concatenate([[0], np.flatnonzero(~meets) + 1, [len(runs)]])
+    for at, side, stretch in sides:
+        place, size, doc, tag, ref = runs[at].tolist()
+        k = int(np.searchsorted(opens, at, side="right"))
+        if side == 0:
+            reach = _reach(runs[opens[k - 1] : at], stretch, 0)
+            span = (place - reach, place)
+        else:
+            reach = _reach(runs[at + 1 : opens[k]], stretch, 1)
+            span = (place + size, place + size + reach)
+        spans[(doc, tag, ref - place)].append(span)
+    matches = []
+    for (doc, tag, shift), parts in spans.items():
+        start, stop = None, None
+        for a, b in sorted(parts):
+            if start is not None and a <= stop:
+                stop = max(stop, b)
+                continue
+            if start is not None:
+                matches.append((start, stop, doc, tag, shift))
+            start, stop = a, b
+        matches.append((start, stop, doc, tag, shift))
+    matches.sort()
+    out, word, best, k = [], 0, None, 0
+    while True:
+        while k < len(matches) and matches[k][0] <= word:
+            if best is None or matches[k][1] > best[1]:
+                best = matches[k]
+            k += 1
+        if best is not None and best[1] + width - 1 > word:
+            _, stop, doc, tag, shift = best
+            out.append((word, stop + width - 1 - word, doc, tag, word + shift))
+            word = stop + width - 1
+        elif k < len(matches):
+            word = matches[k][0]
+        else:
+            return out
 
 
 def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``doc_id, tag`` and the ``runs`` of windows that also start earlier: place, size, reference's document and place.
+    """``doc_id, tag``, the ``runs`` of windows that also start earlier, and the ``sides`` on which they may be extended.
 
     ``source`` has ``doc_id, tag, text``. A document that has no such window has no row.
     """
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    found = entries(source, width, shards).groupBy("shard").applyInArrow(_search, ANSWER)
-    run = F.struct("place", "size", "ref_doc", "ref_place")
-    return found.groupBy("doc_id", "tag").agg(F.collect_list(run).alias(RUNS))  # no more than a document's own windows
+    answers = kept(entries(source, width, shards).groupBy("shard").applyInArrow(_search, ANSWER), "window-answers")
+    deep = answers.withColumn("depth", F.lit(0)).unionByName(_deepest(answers).withColumn("depth", F.lit(1)))
+    run = F.struct(*RUN_FIELDS, "depth")
+
+    def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [_maximal(m) for m in _matrices(batch.column("all_runs"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), _column(runs)], ["doc_id", "tag", RUNS])
+
+    gathered = deep.groupBy("doc_id", "tag").agg(F.collect_list(run).alias("all_runs"))  # no more than a document's own windows
+    found = kept(gathered.mapInArrow(longest, f"doc_id long, tag long, {RUNS} {RUN_SCHEMA}"), "factor-runs")
+    key = ["ref_doc", "ref_tag", "ref_at", "side", "far_doc", "far_tag", "far_at"]
+    met = _borders(found).join(_stretches(found), key)
+    sides = met.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("run", "side", "stretch")).alias(SIDES))
+    return found.join(sides, ["doc_id", "tag"], "left")
 
 
 def keyed(documents: DataFrame, id_column: str, text_column: str) -> list:
@@ -280,31 +453,24 @@ def _own_id() -> Column:
     return F.when(F.col("tag") < 0, F.col("doc_id"))
 
 
-def _windows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per row the places of its windows in order, with their references' documents and places."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    runs = column.flatten()
-    place, size, ref_doc, ref_place = (
-        runs.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("place", "size", "ref_doc", "ref_place")
-    )
-    ends = np.cumsum([0, *(0 if n is None else n for n in pc.list_value_length(column).to_pylist())])
-    for a, b in zip(ends, ends[1:]):
-        order = a + np.argsort(place[a:b], kind="stable")
-        sizes = size[order]
-        step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.repeat(place[order], sizes) + step
-        by = np.argsort(at, kind="stable")  # runs of a row that is read twice lie across each other
-        yield at[by], np.repeat(ref_doc[order], sizes)[by], (np.repeat(ref_place[order], sizes) + step)[by]
+def _factored(part: pa.RecordBatch, width: int) -> Iterator[list[tuple[int, int, int, int, int]]]:
+    """Per row its factors."""
+    for runs, sides in zip(_matrices(part.column(RUNS)), part.column(SIDES)):
+        near = [] if sides.values is None else sides.values
+        kept_sides = []
+        if len(near):
+            stretches = _matrices(near.field("stretch"))
+            kept_sides = list(zip(near.field("run").to_pylist(), near.field("side").to_pylist(), stretches))
+        yield factors(runs, kept_sides, width)
 
 
-def _parsed(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray, list[tuple[int, int, int, int]]]]:
+def _parsed(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray, list[tuple[int, int, int, int, int]]]]:
     """Per row its words, which of them factors cover, and the factors."""
     found = words(part.column("text"))
     values, codes, bounds = found.values.to_pylist(), found.codes.tolist(), found.bounds.tolist()
-    for a, b, refs in zip(bounds, bounds[1:], _windows(part.column(RUNS))):
-        parsed = factors(*refs, width)
+    for a, b, parsed in zip(bounds, bounds[1:], _factored(part, width)):
         covered = np.zeros(b - a, dtype=bool)
-        for start, length, _, _ in parsed:
+        for start, length, *_ in parsed:
             covered[start : start + length] = True
         yield [values[c] for c in codes[a:b]], covered, parsed
 
@@ -349,7 +515,7 @@ def duplicate_spans(
 ) -> DataFrame:
     """``doc_id, start, length, ref_doc, ref_start`` per factor, in words; edge cases as in ``removal_digests``.
 
-    ``ref_doc`` is null for a reference without an id or with the largest long as its id.
+    ``ref_doc`` is null for a reference without an id.
     """
     found = references(documents.select(*keyed(documents, id_column, text_column)), width)
 
@@ -357,15 +523,15 @@ def duplicate_spans(
         for batch in batches:
             rows = []
             ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
-            for doc, tag, refs in zip(ids, tags, _windows(batch.column(RUNS))):
-                rows += [(doc if tag < 0 else None, *f) for f in factors(*refs, width)]
+            for doc, tag, parsed in zip(ids, tags, _factored(batch, width)):
+                for start, length, ref_doc, ref_tag, ref_start in parsed:
+                    rows.append((doc if tag < 0 else None, start, length, ref_doc if ref_tag < 0 else None, ref_start))
             columns = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ref_doc", "ref_start"]
             )
 
-    out = found.mapInArrow(run, "doc_id long, start long, length long, ref_doc long, ref_start long")
-    return out.withColumn("ref_doc", F.when(F.col("ref_doc") < LAST_ID, F.col("ref_doc")))
+    return found.mapInArrow(run, "doc_id long, start long, length long, ref_doc long, ref_start long")
 
 
 def without_duplicates(
@@ -377,7 +543,7 @@ def without_duplicates(
     known = F.col(f"`{text_column}`").isNotNull().alias("known")
     rows = documents.select(*keys, rest, known)
     joined = rows.join(references(rows.select("doc_id", "tag", "text"), width), ["doc_id", "tag"], "left")
-    wanted = joined.select("text", "rest", "known", RUNS)
+    wanted = joined.select("text", "rest", "known", RUNS, SIDES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -158,6 +158,55 @@ def test_the_largest_long_is_an_id(docs):
     assert got == {(last, 29), (None, 30), (-last - 1, 0)}
 
 
+def spans_of(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+@pytest.mark.parametrize("block", [600_000, 10])
+def test_factors_are_extended_to_the_longest_match(docs, monkeypatch, block):
+    monkeypatch.setattr(substrings, "BLOCK_WINDOWS", block)
+    w = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(w[:30])), (2, " ".join(w)), (3, " ".join(w))]
+    assert spans_of(substrings.duplicate_spans(docs(rows).coalesce(1))) == [(2, 0, 30, 1, 0), (3, 0, 60, 2, 0)]
+    # the middle stands in document 1, all of it in document 2
+    rows = [(1, "x " + " ".join(w[15:45])), (2, "y y " + " ".join(w)), (3, " ".join(w) + " z")]
+    assert spans_of(substrings.duplicate_spans(docs(rows).coalesce(1))) == [(2, 17, 30, 1, 1), (3, 0, 60, 2, 2)]
+
+
+def test_a_factor_behind_another_starts_where_that_one_ends(docs):
+    w = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(w[:30])), (2, " ".join(w[15:45])), (3, " ".join(w))]
+    assert spans_of(substrings.duplicate_spans(docs(rows))) == [(3, 0, 30, 1, 0), (3, 30, 15, 2, 15)]
+
+
+def test_versions_of_a_text_are_one_factor_of_the_version_before(docs):
+    versions, w = [], [f"w{i}" for i in range(200)]
+    for k in range(5):
+        w = list(w)
+        w[30 + 30 * k] = f"new{k}"
+        versions.append(w)
+    rows = [(k, " ".join(v)) for k, v in enumerate(versions)] + [(9, " ".join(versions[-1]))]
+    got = [s for s in spans_of(substrings.duplicate_spans(docs(rows))) if s[0] == 9]
+    assert got == [(9, 0, 200, 4, 0)]
+
+
+@pytest.mark.parametrize("block", [600_000, 60])
+def test_factors_are_true_matches_and_cover_what_is_removed(docs, monkeypatch, block):
+    monkeypatch.setattr(substrings, "BLOCK_WINDOWS", block)
+    monkeypatch.setattr(substrings, "SHARD_BYTES", 2000)
+    rows = list(enumerate(texts(11, 60))) + [(900, "again and " * 300), (901, "again and " * 40)]
+    split = {i: words(t) for i, t in rows}
+    removed = {r["doc_id"]: r["n_removed"] for r in substrings.removal_digests(docs(rows).repartition(3)).collect()}
+    covered = {i: 0 for i in split}
+    end = {}
+    for doc, start, length, ref, ref_start in spans_of(substrings.duplicate_spans(docs(rows).repartition(3))):
+        assert split[doc][start : start + length] == split[ref][ref_start : ref_start + length]
+        assert (ref, ref_start) < (doc, start) and start >= end.get(doc, 0)
+        end[doc] = start + length
+        covered[doc] += length
+    assert covered == removed
+
+
 def test_removal_of_odd_rows(docs):
     long = " ".join(f"w{i}" for i in range(30))
     rows = [(3, long), (3, long), (None, long), (1, "x " + long), (5, "short text")]
