@@ -13,13 +13,17 @@ start of the same words. Factors grow from there to the longest match.
 3. A run of windows whose references run along with them is a match. Where the
    next window has its reference elsewhere, the text of the match may go on all the
    same, if its document took those words from there too: matches are extended over such
-   borders on both sides, against the runs of the documents they refer to.
+   borders on both sides. A border asks by hashes of its next 1, 2, 3, 4, 6, 8, 12, ... and of all
+   adjoining runs whether the document it refers to has the same ones.
 4. A document is parsed greedily: from a word on, the match that reaches furthest is the
    factor, and the parse goes on behind it. A factor has at least ``WINDOW`` words; behind
    another one it may be shorter, as windows across the border have their reference too.
 
 References are texts that hold the first occurrence of at least one window of the
-match; a text that only repeats others is not searched for longer matches.
+match; a text that only repeats others is not searched for longer matches. A match that
+crosses more than four borders in a row, and ends among further adjoining runs, may be followed
+for two thirds of them only. What is removed depends on none of this, as every window of an
+extension has a reference.
 """
 
 from __future__ import annotations
@@ -56,7 +60,10 @@ RUN_TYPE = pa.list_(
     pa.struct([("place", pa.int32()), ("size", pa.int32()), ("ref_doc", pa.int64()), ("ref_tag", pa.int64()), ("ref_place", pa.int32())])
 )
 RUN_SCHEMA = "array<struct<place:int,size:int,ref_doc:bigint,ref_tag:bigint,ref_place:int>>"
-BORDER = "doc_id long, tag long, run long, side long, ref_doc long, ref_tag long, ref_at long, far_doc long, far_tag long, far_at long"
+BORDER = "key long, doc_id long, tag long, run int, far int"
+ENDS = "key long, far_size int"
+MULTIPLIER = ODD[60]
+INVERSE = np.uint64(pow(int(ODD[60]), -1, 1 << 64))
 SLICE = 256
 
 
@@ -296,99 +303,128 @@ def _deepest(answers: DataFrame) -> DataFrame:
     )
 
 
+def _combined(*fields: np.ndarray | int) -> np.ndarray:
+    """A hash of several whole numbers per line."""
+    total = np.uint64(0)
+    for k, x in enumerate(fields):
+        total = mixed(total + np.atleast_1d(np.asarray(x, dtype=np.int64)).view(np.uint64) * ODD[52 + k])
+    return total
+
+
+class _Chains:
+    """Hashes of a document's runs, from borders outwards: all runs but the last with their sizes."""
+
+    def __init__(self, runs: np.ndarray):
+        self.runs = runs
+        n = len(runs)
+        apart = np.ones(n + 1, dtype=bool)
+        apart[1:-1] = runs[1:, 0] != runs[:-1, 0] + runs[:-1, 1]
+        cuts = np.flatnonzero(apart)
+        self.first = np.repeat(cuts[:-1], np.diff(cuts))  # of the stretch of runs without a gap
+        self.stop = np.repeat(cuts[1:], np.diff(cuts))
+        _, size, doc, tag, ref = runs.T
+        self.starts, self.ends = _combined(doc, tag, ref), _combined(doc, tag, ref + size)
+        power = np.cumprod(np.concatenate([[1], np.full(n, MULTIPLIER)]).astype(np.uint64))
+        self.undo = np.cumprod(np.concatenate([[1], np.full(n, INVERSE)]).astype(np.uint64))
+        whole = _combined(size, doc, tag, ref)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(whole * power[:-1], dtype=np.uint64)])
+
+    def _between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.sums[b] - self.sums[a]) * self.undo[a]
+
+    def before(self, at: np.ndarray, far: np.ndarray, place: np.ndarray, doc, tag) -> np.ndarray:
+        """Keys of runs ``far`` to ``at``, which end where the document ``doc, tag`` is at ``place``."""
+        return mixed(self._between(far + 1, at) * ODD[61] + mixed(self.ends[far] + _combined(doc, tag, place, 0)))
+
+    def behind(self, at: np.ndarray, far: np.ndarray, place: np.ndarray, doc, tag) -> np.ndarray:
+        """Keys of runs ``at`` to ``far``, ``far`` included, which start where the document is at ``place``."""
+        return mixed(self._between(at, far) * ODD[62] + mixed(self.starts[far] + _combined(doc, tag, place, 1)))
+
+
+def _steps(longest: int) -> Iterator[int]:
+    """1, 2, 3, 4, 6, 8, 12, 16, 24, ..."""
+    k = 1
+    while k <= longest:
+        yield k
+        if k > 1 and 3 * k // 2 <= longest:
+            yield 3 * k // 2
+        k *= 2
+
+
 def _borders(found: DataFrame) -> DataFrame:
-    """Per side of a run on which another run follows: where its reference's document would go on, and with what."""
+    """Keys of the runs before and behind each run that follows others; ``far`` is the last of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[] for _ in range(10)]
+            rows: list[list] = [[np.empty(0, np.int64)] for _ in range(5)]
             for doc, tag, m in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), _matrices(batch.column(RUNS))):
-                meet = np.flatnonzero(m[1:, 0] == m[:-1, 0] + m[:-1, 1])
-                for side, at, other in ((0, meet + 1, meet), (1, meet, meet + 1)):
-                    last = side * m[at, 1]
-                    values = (doc, tag, at, side, m[at, 2], m[at, 3], m[at, 4] + last,
-                              m[other, 2], m[other, 3], m[other, 4] + (1 - side) * m[other, 1])
-                    for column, value in zip(rows, values):
-                        column.append(np.broadcast_to(value, at.shape))
+                if len(m) < 2:
+                    continue
+                chains, every = _Chains(m), np.arange(len(m))
+                ahead, behind = every - chains.first, chains.stop - 1 - every
+                steps = list(_steps(int((chains.stop - chains.first).max()) - 1))
+                rest = [np.where(np.isin(x, steps), 0, x) for x in (ahead, behind)]
+                for back, on in [*((np.full(len(m), k), np.full(len(m), k)) for k in steps), rest]:
+                    early, late = every[(back > 0) & (back <= ahead)], every[(on > 0) & (on <= behind)]
+                    first, last = early - back[early], late + on[late]
+                    keys = (
+                        chains.before(early, first, m[early, 4], m[early, 2], m[early, 3]),
+                        chains.behind(late + 1, last, m[late, 4] + m[late, 1], m[late, 2], m[late, 3]),
+                    )
+                    for key, at, far in zip(keys, (early, late), (first, last)):
+                        for column, value in zip(rows, (key.view(np.int64), np.full(len(at), doc), np.full(len(at), tag), at, far)):
+                            column.append(value)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*c, np.empty(0, np.int64)]).astype(np.int64)) for c in rows], [f.split()[0] for f in BORDER.split(", ")]
+                [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(rows, types)],
+                [f.split()[0] for f in BORDER.split(", ")],
             )
 
     return found.mapInArrow(run, BORDER)
 
 
-def _stretches(found: DataFrame) -> DataFrame:
-    """Runs that follow each other without a gap, as seen from behind their end (side 0) and from their start (side 1)."""
+def _ends(found: DataFrame) -> DataFrame:
+    """Keys of all runs of each stretch, counted from its end and from its start, with the size of the last run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, lists = [], []
+            keys, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for doc, tag, m in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), _matrices(batch.column(RUNS))):
-                cuts = np.flatnonzero(m[1:, 0] != m[:-1, 0] + m[:-1, 1]) + 1
-                for part in np.split(m, cuts):
-                    first, last = part[0].tolist(), part[-1].tolist()
-                    keys.append((doc, tag, last[0] + last[1], 0, last[2], last[3], last[4] + last[1]))
-                    keys.append((doc, tag, first[0], 1, first[2], first[3], first[4]))
-                    lists += [part, part]
-            columns = list(zip(*keys)) if keys else [[]] * 7
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in columns), _column(lists)],
-                ["ref_doc", "ref_tag", "ref_at", "side", "far_doc", "far_tag", "far_at", "stretch"],
-            )
+                chains, every = _Chains(m), np.arange(len(m))
+                last = m[chains.stop - 1]
+                keys.append(chains.before(chains.stop, every, last[:, 0] + last[:, 1], doc, tag))
+                keys.append(chains.behind(chains.first, every, m[chains.first, 0], doc, tag))
+                sizes += [m[:, 1], m[:, 1]]
+            key, size = np.concatenate(keys).view(np.int64), np.concatenate(sizes).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(size)], ["key", "far_size"])
 
-    schema = "ref_doc long, ref_tag long, ref_at long, side long, far_doc long, far_tag long, far_at long, stretch " + RUN_SCHEMA
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(run, ENDS)
 
 
-def _reach(own: np.ndarray, their: np.ndarray, side: int) -> int:
-    """How many windows two stretches share from their common border on, outwards.
-
-    Where their runs end apart, one of them has left the other's reference.
-    """
-    if side == 0:
-        own, their = own[::-1], their[::-1]
-    n, total = min(len(own), len(their)), 0
-    for a, b in zip(own[:n].tolist(), their[:n].tolist()):
-        last = (1 - side) * a[1], (1 - side) * b[1]
-        if a[2:4] != b[2:4] or a[4] + last[0] != b[4] + last[1]:
-            break
-        total += min(a[1], b[1])
-        if a[1] != b[1]:
-            break
-    return total
-
-
-def factors(runs: np.ndarray, sides: list[tuple[int, int, np.ndarray]], width: int) -> list[tuple[int, int, int, int, int]]:
+def factors(runs: np.ndarray, sides: np.ndarray, width: int) -> list[tuple[int, int, int, int, int]]:
     """Greedy factors ``(start, length, ref_doc, ref_tag, ref_start)`` in words; they don't overlap.
 
-    ``runs`` are a document's longest runs of windows in order. ``sides`` names for a run and a
-    side (0 before, 1 behind) the stretch of its reference's document on that side.
+    ``runs`` are a document's longest runs of windows in order. A line ``run, far, size`` of ``sides``
+    says that the match of a run goes on over all runs up to ``far``, of which it holds ``size`` windows at most.
     """
     spans: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
     for place, size, doc, tag, ref in runs.tolist():
         spans.setdefault((doc, tag, ref - place), []).append((place, place + size))
-    meets = runs[1:, 0] == runs[:-1, 0] + runs[:-1, 1]
-    opens = np.concatenate([[0], np.flatnonzero(~meets) + 1, [len(runs)]])
-    for at, side, stretch in sides:
+    for at, far, held in sides.tolist():
         place, size, doc, tag, ref = runs[at].tolist()
-        k = int(np.searchsorted(opens, at, side="right"))
-        if side == 0:
-            reach = _reach(runs[opens[k - 1] : at], stretch, 0)
-            span = (place - reach, place)
-        else:
-            reach = _reach(runs[at + 1 : opens[k]], stretch, 1)
-            span = (place + size, place + size + reach)
+        far_place, far_size = runs[far, :2].tolist()
+        held = min(held, far_size)
+        span = (far_place + far_size - held, place) if far < at else (place + size, far_place + held)
         spans[(doc, tag, ref - place)].append(span)
     matches = []
     for (doc, tag, shift), parts in spans.items():
-        start, stop = None, None
-        for a, b in sorted(parts):
-            if start is not None and a <= stop:
-                stop = max(stop, b)
-                continue
-            if start is not None:
+        parts.sort()
+        start, stop = parts[0]
+        for a, b in parts[1:]:
+            if a > stop:
                 matches.append((start, stop, doc, tag, shift))
-            start, stop = a, b
+                start = a
+            stop = max(stop, b)
         matches.append((start, stop, doc, tag, shift))
     matches.sort()
     out, word, best, k = [], 0, None, 0
@@ -425,9 +461,8 @@ def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
 
     gathered = deep.groupBy("doc_id", "tag").agg(F.collect_list(run).alias("all_runs"))  # no more than a document's own windows
     found = kept(gathered.mapInArrow(longest, f"doc_id long, tag long, {RUNS} {RUN_SCHEMA}"), "factor-runs")
-    key = ["ref_doc", "ref_tag", "ref_at", "side", "far_doc", "far_tag", "far_at"]
-    met = _borders(found).join(_stretches(found), key)
-    sides = met.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("run", "side", "stretch")).alias(SIDES))
+    met = _borders(found).join(_ends(found), "key")
+    sides = met.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("run", "far", F.col("far_size").alias("size"))).alias(SIDES))
     return found.join(sides, ["doc_id", "tag"], "left")
 
 
@@ -455,13 +490,8 @@ def _own_id() -> Column:
 
 def _factored(part: pa.RecordBatch, width: int) -> Iterator[list[tuple[int, int, int, int, int]]]:
     """Per row its factors."""
-    for runs, sides in zip(_matrices(part.column(RUNS)), part.column(SIDES)):
-        near = [] if sides.values is None else sides.values
-        kept_sides = []
-        if len(near):
-            stretches = _matrices(near.field("stretch"))
-            kept_sides = list(zip(near.field("run").to_pylist(), near.field("side").to_pylist(), stretches))
-        yield factors(runs, kept_sides, width)
+    for runs, sides in zip(_matrices(part.column(RUNS)), _matrices(part.column(SIDES))):
+        yield factors(runs, sides, width) if len(runs) else []
 
 
 def _parsed(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray, list[tuple[int, int, int, int, int]]]]:

@@ -190,6 +190,14 @@ def test_versions_of_a_text_are_one_factor_of_the_version_before(docs):
     assert got == [(9, 0, 200, 4, 0)]
 
 
+def test_matches_are_followed_over_many_borders(docs):
+    w = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(w[20 * k : 20 * k + 40])) for k in range(9)]  # each overlaps the next one
+    rows += [(50, " ".join(w[:200] + ["own"])), (60, "y " + " ".join(w[:200] + ["own"]) + " z")]
+    got = [s for s in spans_of(substrings.duplicate_spans(docs(rows))) if s[0] == 60]
+    assert sum(s[2] for s in got) == 201 and len(got) <= 3 and got[-1][3] == 50 and got[-1][2] >= 140
+
+
 @pytest.mark.parametrize("block", [600_000, 60])
 def test_factors_are_true_matches_and_cover_what_is_removed(docs, monkeypatch, block):
     monkeypatch.setattr(substrings, "BLOCK_WINDOWS", block)
