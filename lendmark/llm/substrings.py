@@ -1,4 +1,4 @@
-"""Duplicate passages by relative Lempel-Ziv factors against the corpus.
+"""Duplicate passages: windows with earlier occurrences, and relative Lempel-Ziv factors made of them.
 
 A window of ``WINDOW`` words that occurs earlier has a reference: the earliest
 start of the same words. Factors grow from there to the longest match.
@@ -22,8 +22,9 @@ start of the same words. Factors grow from there to the longest match.
 References are texts that hold the first occurrence of at least one window of the
 match; a text that only repeats others is not searched for longer matches. A match that
 crosses more than four borders in a row, and ends among further adjoining runs, may be followed
-for two thirds of them only. What is removed depends on none of this, as every window of an
-extension has a reference.
+for two thirds of them only, and a run that repeats the one before it, as in "a a a a", asks
+nothing. What is removed depends on none of this, as every window of an extension has a reference:
+``removal_digests`` and ``without_duplicates`` take the windows alone, ``duplicate_spans`` parses.
 """
 
 from __future__ import annotations
@@ -324,8 +325,9 @@ class _Chains:
         self.stop = np.repeat(cuts[1:], np.diff(cuts))
         _, size, doc, tag, ref = runs.T
         self.starts, self.ends = _combined(doc, tag, ref), _combined(doc, tag, ref + size)
-        power = np.cumprod(np.concatenate([[1], np.full(n, MULTIPLIER)]).astype(np.uint64))
-        self.undo = np.cumprod(np.concatenate([[1], np.full(n, INVERSE)]).astype(np.uint64))
+        power, self.undo = (np.full(n + 1, x, dtype=np.uint64) for x in (MULTIPLIER, INVERSE))
+        power[0] = self.undo[0] = 1
+        power, self.undo = np.cumprod(power, dtype=np.uint64), np.cumprod(self.undo, dtype=np.uint64)
         whole = _combined(size, doc, tag, ref)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(whole * power[:-1], dtype=np.uint64)])
 
@@ -361,11 +363,13 @@ def _borders(found: DataFrame) -> DataFrame:
                 if len(m) < 2:
                     continue
                 chains, every = _Chains(m), np.arange(len(m))
+                asks = np.ones(len(m), dtype=bool)
+                asks[1:] = chains.starts[1:] != chains.starts[:-1]
                 ahead, behind = every - chains.first, chains.stop - 1 - every
                 steps = list(_steps(int((chains.stop - chains.first).max()) - 1))
                 rest = [np.where(np.isin(x, steps), 0, x) for x in (ahead, behind)]
                 for back, on in [*((np.full(len(m), k), np.full(len(m), k)) for k in steps), rest]:
-                    early, late = every[(back > 0) & (back <= ahead)], every[(on > 0) & (on <= behind)]
+                    early, late = every[asks & (back > 0) & (back <= ahead)], every[asks & (on > 0) & (on <= behind)]
                     first, last = early - back[early], late + on[late]
                     keys = (
                         chains.before(early, first, m[early, 4], m[early, 2], m[early, 3]),
@@ -443,14 +447,22 @@ def factors(runs: np.ndarray, sides: np.ndarray, width: int) -> list[tuple[int,
             return out
 
 
-def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``doc_id, tag``, the ``runs`` of windows that also start earlier, and the ``sides`` on which they may be extended.
-
-    ``source`` has ``doc_id, tag, text``. A document that has no such window has no row.
-    """
+def _answered(source: DataFrame, width: int) -> DataFrame:
+    """Runs of windows of ``doc_id, tag, text`` that also start earlier."""
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    answers = kept(entries(source, width, shards).groupBy("shard").applyInArrow(_search, ANSWER), "window-answers")
+    return entries(source, width, shards).groupBy("shard").applyInArrow(_search, ANSWER)
+
+
+def repeated(source: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``doc_id, tag`` and the ``runs`` (place, size) of windows that also start earlier; documents without any have no row."""
+    run = F.struct("place", "size")
+    return _answered(source, width).groupBy("doc_id", "tag").agg(F.collect_list(run).alias(RUNS))  # no more than a document's own windows
+
+
+def references(source: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``doc_id, tag``, the longest ``runs`` of windows that also start earlier, and the ``sides`` on which matches go on."""
+    answers = kept(_answered(source, width), "window-answers")
     deep = answers.withColumn("depth", F.lit(0)).unionByName(_deepest(answers).withColumn("depth", F.lit(1)))
     run = F.struct(*RUN_FIELDS, "depth")
 
@@ -494,21 +506,21 @@ def _factored(part: pa.RecordBatch, width: int) -> Iterator[list[tuple[int, int,
         yield factors(runs, sides, width) if len(runs) else []
 
 
-def _parsed(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray, list[tuple[int, int, int, int, int]]]]:
-    """Per row its words, which of them factors cover, and the factors."""
+def _covered(part: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Per row its words, and which of them lie in a window of its runs."""
     found = words(part.column("text"))
     values, codes, bounds = found.values.to_pylist(), found.codes.tolist(), found.bounds.tolist()
-    for a, b, parsed in zip(bounds, bounds[1:], _factored(part, width)):
+    for a, b, runs in zip(bounds, bounds[1:], _matrices(part.column(RUNS))):
         covered = np.zeros(b - a, dtype=bool)
-        for start, length, *_ in parsed:
-            covered[start : start + length] = True
-        yield [values[c] for c in codes[a:b]], covered, parsed
+        for place, size in runs.tolist():
+            covered[place : place + size + width - 1] = True
+        yield [values[c] for c in codes[a:b]], covered
 
 
 def removal_digests(
     documents: DataFrame, width: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256, n_factors`` per row.
+    """``doc_id, n_words, n_removed, kept_sha256`` per row.
 
     A word is removed if it lies in a window of ``width`` words whose words also
     start earlier: in a document with a smaller id, or further ahead in the same
@@ -519,25 +531,24 @@ def removal_digests(
     document and get the same result. Other columns are not read.
     """
     source = documents.select(*keyed(documents, id_column, text_column))
-    joined = source.join(references(source, width), ["doc_id", "tag"], "left").withColumn("doc_id", _own_id())
+    joined = source.join(repeated(source, width), ["doc_id", "tag"], "left").withColumn("doc_id", _own_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                n_words, n_removed, digests, n_factors = [], [], [], []
-                for own, covered, parsed in _parsed(part, width):
+                n_words, n_removed, digests = [], [], []
+                for own, covered in _covered(part, width):
                     n_words.append(len(own))
                     n_removed.append(int(covered.sum()))
-                    left = [own[i] for i in np.flatnonzero(~covered)] if parsed else own
+                    left = [own[i] for i in np.flatnonzero(~covered)] if covered.any() else own
                     digests.append(hashlib.sha256(b" ".join(left)).hexdigest())
-                    n_factors.append(len(parsed))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                     pa.array(digests, pa.string()), pa.array(n_factors, pa.int64())],
-                    ["doc_id", "n_words", "n_removed", "kept_sha256", "n_factors"],
+                     pa.array(digests, pa.string())],
+                    ["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors long")
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def duplicate_spans(
@@ -572,15 +583,15 @@ def without_duplicates(
     rest = F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != text_column)).alias("rest")
     known = F.col(f"`{text_column}`").isNotNull().alias("known")
     rows = documents.select(*keys, rest, known)
-    joined = rows.join(references(rows.select("doc_id", "tag", "text"), width), ["doc_id", "tag"], "left")
-    wanted = joined.select("text", "rest", "known", RUNS, SIDES)
+    joined = rows.join(repeated(rows.select("doc_id", "tag", "text"), width), ["doc_id", "tag"], "left")
+    wanted = joined.select("text", "rest", "known", RUNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 texts = part.column("text").to_pylist()
-                for k, (own, covered, parsed) in enumerate(_parsed(part, width)):
-                    if parsed:
+                for k, (own, covered) in enumerate(_covered(part, width)):
+                    if covered.any():
                         texts[k] = b" ".join([own[i] for i in np.flatnonzero(~covered)]).decode()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(texts, pa.string()), part.column("rest"), part.column("known")], ["text", "rest", "known"]
