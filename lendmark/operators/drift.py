@@ -17,7 +17,7 @@ from lendmark.operators.tally import Tally, weighted_quantiles
 
 
 def _quantiles(df: DataFrame, score: str, n: int) -> list[float]:
-    counts = Tally.of(df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n")))
+    counts = Tally.of_values(df.groupBy(score).agg(F.count("*").alias("n")), score)
     return weighted_quantiles(counts, score, "n", even_probs(n))
 
 
@@ -68,8 +68,7 @@ def psi_cells(
     baseline epoch. Without a baseline, equal shares are expected.
     ``mode="hist"`` uses left-closed bins between finite ends.
     """
-    rows = df.filter(F.col(score).isNotNull() & F.col(epoch).isNotNull())
-    counts = Tally.of(rows.groupBy(epoch, score).agg(F.count("*").alias("n")))
+    counts = Tally.of_values(df.groupBy(epoch, score).agg(F.count("*").alias("n")), epoch, score)
     return tally_cells(counts, "n", epoch, baseline, score, n, eps, mode, edges)
 
 

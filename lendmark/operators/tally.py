@@ -32,6 +32,18 @@ class Tally:
         """Evaluate an aggregate once."""
         return Tally(*settled(counted))
 
+    @staticmethod
+    def of_values(counted: DataFrame, *values: str) -> Tally:
+        """Evaluate an aggregate once, without its rows that have a null among ``values``.
+
+        These are dropped from the counts: a filter on the rows would have Catalyst put a copy of
+        the expression behind each value into its condition, and a score is a large one.
+        """
+        tally = Tally.of(counted)
+        for value in values:
+            tally = tally.where(F.col(value).isNotNull())
+        return tally
+
     def where(self, condition: Column | str) -> Tally:
         return Tally(self.rows.filter(condition), self.small)
 

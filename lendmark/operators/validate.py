@@ -32,8 +32,8 @@ def outcome_counts(target: str) -> list[Column]:
 
 
 def value_tally(df: DataFrame, value: str, target: str = "target", by: Sequence[str] = ()) -> Tally:
-    """Outcomes per distinct value (and group), in one pass over the rows; nulls are a value."""
-    return Tally.of(df.groupBy(*by, value).agg(*outcome_counts(target)))
+    """Outcomes per distinct value (and group), in one pass over the rows; nulls have none."""
+    return Tally.of_values(df.groupBy(*by, value).agg(*outcome_counts(target)), value)
 
 
 def cut_edges(quantiles: Sequence[float]) -> list[float]:
@@ -48,7 +48,7 @@ def deciles(df: DataFrame, target: str = "target", score: str = "score", q: int
     Equal scores stay together, so there may be fewer than ``q`` bins. Shares
     are null when a class is absent.
     """
-    counts = value_tally(df.filter(F.col(score).isNotNull()), score, target)
+    counts = value_tally(df, score, target)
     return _deciles(counts, score, q)
 
 
@@ -103,7 +103,7 @@ def ks(decile_table: DataFrame) -> DataFrame:
 
 def ks_exact(df: DataFrame, target: str = "target", score: str = "score") -> DataFrame:
     """Largest separation over every distinct score."""
-    counts = value_tally(df.filter(F.col(score).isNotNull()), score, target)
+    counts = value_tally(df, score, target)
     running = running_totals(counts, score, {"cum_bads": "bads", "cum_goods": "goods"})
     separation = F.abs(F.try_divide("cum_bads", "all_cum_bads") - F.try_divide("cum_goods", "all_cum_goods"))
     return running.agg(
@@ -117,7 +117,7 @@ def ks_exact(df: DataFrame, target: str = "target", score: str = "score") -> Dat
 
 def curve(df: DataFrame, target: str = "target", p: str = "pd") -> DataFrame:
     """Per distinct probability, from the highest down: own and cumulative counts, and those of all rows."""
-    return _curve(value_tally(df.filter(F.col(p).isNotNull()), p, target), p)
+    return _curve(value_tally(df, p, target), p)
 
 
 def _curve(counts: Tally, p: str) -> DataFrame:
@@ -269,8 +269,7 @@ def profile(
     df: DataFrame, target: str = "target", p: str = "pd", score: str = "score", by: Sequence[str] = ()
 ) -> Tally:
     """Outcomes per (group, probability, score): what metrics and stability need of a scored table. Profiles add up."""
-    rows = df.filter(F.col(p).isNotNull() & F.col(score).isNotNull())
-    return Tally.of(rows.groupBy(*by, p, score).agg(*outcome_counts(target)))
+    return Tally.of_values(df.groupBy(*by, p, score).agg(*outcome_counts(target)), p, score)
 
 
 def evaluate_profile(

@@ -110,3 +110,19 @@ def test_metrics_take_few_jobs(spark, metric, limit):
     metric(df).write.format("noop").mode("overwrite").save()
     assert jobs(spark) - before <= limit
     df.unpersist()
+
+
+def test_scores_are_computed_once_and_null_ones_left_out(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr("lendmark.operators.tally.settled", lambda df: (counted.append(df), state.settled(df))[1])
+    rows = [("a", 1.0, 1), ("a", None, 0), ("a", 3.0, 0), (None, 2.0, 1)]
+    df = spark.createDataFrame(rows, "epoch string, x double, target int").repartition(2)
+    df = df.withColumns({"pd": F.when(F.col("x") > 2, F.exp("x")).otherwise(F.col("x") / 4), "score": (F.col("x") * 2).cast("int")})
+    seen = validate.profile(df, by=["epoch"])
+    assert sorted((r["epoch"] or "", r["score"], r["total"]) for r in seen.rows.collect()) == [("", 4, 1), ("a", 2, 1), ("a", 6, 1)]
+    assert [r["target"] for r in validate.curve(df).withColumnRenamed("bads", "target").orderBy("pd").collect()] == [1, 1, 0]
+    assert drift.psi_edges(df, "score", 2) == [float("-inf"), 4.0, float("inf")]
+    drift.psi_cells(df, "epoch", "a").collect()
+    # a filter below the counts would hold a second copy of the whole expression
+    plans = [c._jdf.queryExecution().optimizedPlan().toString() for c in counted]
+    assert len(plans) == 4 and not any("Filter" in p for p in plans)
