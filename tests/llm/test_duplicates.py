@@ -227,3 +227,29 @@ def test_removal_of_odd_rows(docs):
     assert kept.columns == docs([]).columns
     texts_of = {r["doc_id"]: (r["text"], r["tag"], r["places"], r["row"]) for r in kept.collect()}
     assert texts_of[3] == ("", None, "x", 1) and texts_of[8][0] is None and texts_of[9][0] == "a\n b"
+
+
+@pytest.mark.parametrize("few", [components.FEW_EDGES, 3])
+def test_components_of_few_edges_take_few_jobs(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    rng = random.Random(5)
+    edges = [(k, k + 1) for k in range(-40, -1)] + [(rng.randrange(200), rng.randrange(200)) for _ in range(90)]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    links = spark.createDataFrame([*edges, (7, None), (None, 8), (2**62, 2**62 + 1)], "a long, b long")
+    spark.sparkContext.setJobGroup(f"components {few}", "")
+    found = {r["node"]: r["root"] for r in components.components(links).collect()}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {x: top(x) for x in root} | {2**62: 2**62, 2**62 + 1: 2**62}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components {few}"))
+    assert jobs <= 8 if few > 200 else jobs > 15
+    assert components.components(links.filter("a > 2 and a < 2")).count() == 0
