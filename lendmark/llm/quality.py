@@ -322,7 +322,7 @@ def fit(
     # a labelled id may have any number of rows
     rows = measured.orderBy("h", "doc_id", "y").limit(2 * max_labelled).toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("h", "ascending")])
-    x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, INPUTS)
+    x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, INPUTS)
     return QualityModel(vectors, train(x, rows["y"].to_numpy().astype(np.float64)))
 
 
