@@ -2,7 +2,8 @@
 
 A search meets every block with every shard: the stated query set against all
 rows, in blocks. A task keeps the best of each query over its shards, so what
-leaves it doesn't grow with them.
+leaves it doesn't grow with them. Blocks are copied once for each task, not for
+each shard, and shards once for every ``HELD_BLOCKS`` blocks.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 1_024
 HELD_BLOCKS = 64
+TASK_SHARDS = 16
 
 PACKED = "part int, ids binary, vectors binary"
 
@@ -69,16 +71,33 @@ def packed(rows: DataFrame, size: int, finish: Callable[[np.ndarray, np.ndarray]
     return dealt.groupBy("part").applyInArrow(pack, PACKED + extra)
 
 
+def _parts(packed_rows: DataFrame) -> int:
+    last = packed_rows.agg(F.max("part")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def meeting(shards: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every query block with every shard; columns of blocks get the prefix ``q_``.
+    """Rows of both for tasks in which every query block meets every shard; columns of blocks get the prefix ``q_``.
 
-    Blocks are dealt to the shards by an equi-join on the shard's number, so a
-    task holds one shard and one block at a time.
+    A partition is one task: up to ``HELD_BLOCKS`` blocks come first, then up to ``TASK_SHARDS`` shards, fewer
+    if there are cores for more tasks. There is no join: copies of the blocks are many times what the planner
+    takes them for, so it would gather them on the driver for a broadcast.
     """
-    last = shards.agg(F.max("part")).first()[0]
-    names = [F.col(c).alias(f"q_{c}") for c in blocks.columns]
-    numbers = F.sequence(F.lit(0), F.lit(0 if last is None else last))
-    return shards.join(blocks.select(*names, F.explode(numbers).alias("part")), "part")
+    n_shards, n_blocks = _parts(shards), _parts(blocks)
+    rounds = max(1, -(-n_blocks // HELD_BLOCKS))
+    wanted = -(-3 * shards.sparkSession.sparkContext.defaultParallelism // rounds)
+    runs = max(1, min(n_shards, max(wanted, -(-n_shards // TASK_SHARDS))))
+    asked = blocks.select(
+        *(F.col(c).alias(f"q_{c}") for c in blocks.columns),
+        F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"),
+        (F.col("part") % rounds).alias("round"),
+    )
+    held = shards.select(
+        "*", (F.col("part") % runs).alias("run"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round")
+    )
+    dealt = asked.unionByName(held, allowMissingColumns=True).withColumn("task", F.col("round") * runs + F.col("run"))
+    dealt = dealt.drop("round", "run").repartitionById(rounds * runs, "task")
+    return dealt.drop("task").sortWithinPartitions(F.asc_nulls_last("q_part"), "part")
 
 
 def _sorted_best(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,23 +168,24 @@ class Best:
 FOUND = "query_id long, vec_id long, value double"
 
 
-def searched(pairs: DataFrame, k: int, search: Callable[[dict, Best], None]) -> DataFrame:
-    """``query_id, vec_id, value`` of each task's best for the shards and blocks it met."""
+def searched(dealt: DataFrame, k: int, search: Callable[[dict, Best], None]) -> DataFrame:
+    """``query_id, vec_id, value`` of each task's best for the shards and blocks that ``meeting`` dealt it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Best] = {}
+        held: list[tuple[dict, Best]] = []
         for batch in batches:
             for k_row in range(batch.num_rows):
                 row = {name: batch.column(name)[k_row].as_py() for name in batch.schema.names}
-                if row["q_part"] not in held:
-                    if len(held) >= HELD_BLOCKS:
-                        yield held.pop(next(iter(held))).found()
-                    held[row["q_part"]] = Best(np.frombuffer(row["q_ids"], np.int64), k)
-                search(row, held[row["q_part"]])
-        for best in held.values():
+                block = {name: value for name, value in row.items() if name.startswith("q_")}
+                if row["q_part"] is not None:
+                    held.append((block, Best(np.frombuffer(row["q_ids"], np.int64), k)))
+                    continue
+                for block, best in held:
+                    search(row | block, best)
+        for _, best in held:
             yield best.found()
 
-    return pairs.mapInArrow(run, FOUND)
+    return dealt.mapInArrow(run, FOUND)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

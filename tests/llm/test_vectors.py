@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendmark.llm import neighbours, top_inner, vectors
+from lendmark.llm.scratch import kept
 
 SCHEMA = "vec_id long, embedding array<float>, part int, ids string"
 
@@ -80,6 +81,30 @@ def test_an_id_with_many_vectors_takes_one_place(spark, small_parts):
     assert max(len(r["ids"]) // 8 for r in parts.collect()) < 300
 
 
+def test_blocks_meet_shards_without_a_join_or_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "HELD_BLOCKS", 4)
+    rows = vectors.usable(frame(spark, enumerate(sample(800, 8, 4))), "vec_id", "embedding", lambda v: F.lit(True))
+    shards = kept(vectors.packed(rows, 5), "shards")
+    blocks = kept(vectors.packed(rows.filter("id % 10 = 0"), 8), "blocks")
+    dealt = vectors.meeting(shards, blocks).withColumn("task", F.spark_partition_id()).select("task", "q_part", "part")
+    tasks = {}
+    for r in dealt.collect():
+        tasks.setdefault(r["task"], []).append((r["q_part"], r["part"]))
+    met = []
+    for met_rows in tasks.values():
+        asked, held = [q for q, _ in met_rows if q is not None], [p for q, p in met_rows if q is None]
+        assert [q for q, _ in met_rows] == asked + [None] * len(held)  # blocks come first
+        assert len(asked) <= 4 and len(held) <= vectors.TASK_SHARDS
+        met += [(q, p) for q in asked for p in held]
+    numbers = [[r["part"] for r in x.select("part").collect()] for x in (blocks, shards)]
+    assert sorted(met) == sorted((q, p) for q in numbers[0] for p in numbers[1])
+    assert sum(map(len, tasks.values())) < len(met) / 2  # a block comes once for several shards
+    found = vectors.searched(vectors.meeting(shards, blocks), 5, lambda row, best: None)
+    assert not found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Broadcast" not in plan and "Join" not in plan
+
+
 def test_codes_within_the_radius_are_all_probed():
     x = sample(400, 16, 3).astype(np.float64)
     coder = neighbours.Coder(x)
