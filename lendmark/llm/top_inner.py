@@ -3,9 +3,10 @@
 Vectors are turned to integers first. A shard's tree has leaves of few vectors
 with their centre and radius; q.c + |q| r is an upper bound for a leaf, and a
 leaf's bound is no more than those of the balls around it. Each query visits
-the leaves in the order of their bounds and stops at the first that can't beat
-its current k-th score. This score is shared: it starts from a bounded sample
-of the rows and is carried from shard to shard within a task.
+the leaves in the order of their bounds and stops where none can beat its
+current k-th score. Rounds of 1, 2, 4 ... leaves let queries share a leaf's
+product. The k-th score is shared too: it starts from a bounded sample of the
+rows and is carried from shard to shard within a task.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from lendmark.llm.scratch import kept
 
 LEAF = 128
 SAMPLE = 4_096
+SCORES = 1 << 18  # in one product, but for those of one query
 EXACT = float(1 << 53)
 LONG = (1 << 63) - 1
 
@@ -99,20 +101,27 @@ def _search(k: int):
             bound = asked @ centres[:, level].T + length[:, None] * radii[:, level]
             bounds = np.minimum(bounds, bound + 1e-9 * np.abs(bound) + 1.0)  # rounding can't hide a score
         visits = np.argsort(-bounds, axis=1, kind="stable")
-        alive = np.arange(len(asked))
-        for turn in range(n_leaves):
-            leaf = visits[alive, turn]
-            needed = np.maximum(floor[alive], -best.limit[alive])
-            live = bounds[alive, leaf] >= needed
-            alive, leaf = alive[live], leaf[live]
-            if not len(alive):
+        turn, width = 0, 1
+        while turn < n_leaves:
+            leaf = visits[:, turn : turn + width]
+            needed = np.maximum(floor, -best.limit)
+            row, column = np.nonzero(np.take_along_axis(bounds, leaf, 1) >= needed[:, None])
+            if not len(row):
                 break
+            leaf = leaf[row, column]
             order = np.argsort(leaf, kind="stable")
             starts = np.flatnonzero(np.diff(leaf[order], prepend=-1))
             for some in np.split(order, starts[1:]):
-                a, b = edges[leaf[some[0]]], edges[leaf[some[0]] + 1]
-                scores = _products(asked[alive[some]], x[a:b])
-                best.take(alive[some], -scores.astype(np.float64), ids[a:b][None, :])
+                at = leaf[some[0]]
+                a, b = edges[at], edges[at + 1]
+                some = row[some]
+                some = some[bounds[some, at] >= np.maximum(floor[some], -best.limit[some])]
+                step = max(1, SCORES // int(b - a))
+                for first in range(0, len(some), step):
+                    few = some[first : first + step]
+                    scores = _products(asked[few], x[a:b])
+                    best.take(few, -scores.astype(np.float64), ids[a:b][None, :])
+            turn, width = turn + width, 2 * width
 
     return search
 

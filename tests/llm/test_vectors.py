@@ -133,6 +133,25 @@ def test_odd_vectors(spark):
         assert search(frame(spark, [(1, [1, 2]), (2, [2, 1])])).count() == 0
 
 
+def test_queries_share_the_products_of_a_leaf(monkeypatch):
+    x = np.random.default_rng(8).normal(size=(4096, 16))
+    x[:300] = x[0]  # a leaf of equal vectors
+    row = top_inner._build(np.arange(4096), x)
+    n_leaves, z = len(row["edges"]) // 8, top_inner._integers(x)
+    row |= {"q_vectors": x[::8].tobytes(), "q_floors": np.full(512, -np.inf).tobytes()}
+    shapes, products = [], top_inner._products
+    monkeypatch.setattr(top_inner, "_products", lambda a, b: shapes.append((len(a), len(b))) or products(a, b))
+    monkeypatch.setattr(top_inner, "SCORES", 1 << 15)
+    best = vectors.Best(np.arange(0, 4096, 8), 5)
+    top_inner._search(5)(row, best)
+    scores = z[::8] @ z.T
+    scores[np.arange(512), np.arange(0, 4096, 8)] = -np.inf
+    assert (best.ids == np.argsort(-scores, axis=1, kind="stable")[:, :5]).all()
+    assert (-best.values == -np.sort(-scores, axis=1)[:, :5]).all()
+    assert sum(a * b for a, b in shapes) / (1 << 15) + n_leaves * 8 > len(shapes)
+    assert all(a * b <= 1 << 15 for a, b in shapes)
+
+
 def test_products_beyond_doubles_stay_exact():
     a = np.array([[2.0**40 + 1, 3.0]])
     b = np.array([[2.0**20 + 1, 5.0]])
