@@ -141,17 +141,16 @@ def nearest(
     if sample is None:
         return empty
     coder = Coder(vectors.matrix(sample["vector"]), k=k)
-    index = kept(
-        vectors.packed(rows, vectors.SHARD_ROWS, _index(coder), ", codes binary, orders binary, edges binary"), "index"
-    )
+    shards = vectors.packed(rows, vectors.SHARD_ROWS, _index(coder), ", codes binary, orders binary, edges binary")
+    index = kept(shards, "index", vectors.FILE_SHARDS)
     queries = rows.filter(F.col("id") % every == 0)
-    blocks = kept(vectors.packed(queries, vectors.BLOCK_ROWS), "queries")
+    blocks = kept(vectors.packed(queries, vectors.BLOCK_ROWS), "queries", vectors.FILE_BLOCKS)
     if blocks.isEmpty():
         return empty
     first = kept(vectors.searched(vectors.meeting(index, blocks), k, _search(coder, coder.radius)), "found")
     counts = first.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n"))
     short = queries.join(counts, queries["id"] == counts["query_id"], "left").filter(F.coalesce("n", F.lit(0)) < min(k, total - 1))
-    short = kept(vectors.packed(short.select("id", "vector"), vectors.BLOCK_ROWS), "short")
+    short = kept(vectors.packed(short.select("id", "vector"), vectors.BLOCK_ROWS), "short", vectors.FILE_BLOCKS)
     if not short.isEmpty():
         whole = 2 * SUBSTRING * len(coder.mean)
         first = first.unionByName(vectors.searched(vectors.meeting(index, short), k, _search(coder, whole)))

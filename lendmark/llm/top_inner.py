@@ -164,7 +164,8 @@ def top_products(
                 low = np.partition(scores, len(known) - k, axis=1)[:, len(known) - k]
         return {"floors": low.tobytes()}
 
-    index = kept(vectors.packed(rows, vectors.SHARD_ROWS, _build, ", edges binary, centres binary, radii binary"), "trees")
-    blocks = kept(vectors.packed(queries, vectors.BLOCK_ROWS, floors, ", floors binary"), "queries")
+    trees = vectors.packed(rows, vectors.SHARD_ROWS, _build, ", edges binary, centres binary, radii binary")
+    index = kept(trees, "trees", vectors.FILE_SHARDS)
+    blocks = kept(vectors.packed(queries, vectors.BLOCK_ROWS, floors, ", floors binary"), "queries", vectors.FILE_BLOCKS)
     found = vectors.searched(vectors.meeting(index, blocks), k, _search(k))
     return vectors.ranked(found, k).select("query_id", "rank", "vec_id", (-F.col("value")).cast("long").alias("score"))

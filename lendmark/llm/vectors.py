@@ -19,6 +19,7 @@ SHARD_ROWS = 16_384
 BLOCK_ROWS = 1_024
 HELD_BLOCKS = 64
 TASK_SHARDS = 16
+FILE_SHARDS, FILE_BLOCKS = 1, 16
 
 PACKED = "part int, ids binary, vectors binary"
 

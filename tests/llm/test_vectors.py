@@ -105,6 +105,13 @@ def test_blocks_meet_shards_without_a_join_or_broadcast(spark, monkeypatch):
     assert "MapInArrow" in plan and "Broadcast" not in plan and "Join" not in plan
 
 
+def test_files_of_shards_hold_few_rows(spark):
+    shards = spark.range(5).coalesce(1).selectExpr("cast(id as int) part", "cast(repeat('x', 1000) as binary) vectors")
+    files = kept(shards, "shards", 2).groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in files) == [1, 2, 2]
+    assert kept(shards, "shards").select(F.input_file_name()).distinct().count() == 1
+
+
 def test_codes_within_the_radius_are_all_probed():
     x = sample(400, 16, 3).astype(np.float64)
     coder = neighbours.Coder(x)
